@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,5 +25,20 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing,)}
-ORACLE_SQL: dict[str, str] = {}
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import is_contaminated, mark
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = mark(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        is_contaminated().alias("contaminated"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op3_decontamination)}
+ORACLE_SQL = {"op3_decontamination": oracles.OP3}
