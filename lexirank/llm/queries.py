@@ -25,6 +25,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import payload_facts, read_records, write_archives
+
+    return payload_facts(read_records(write_archives(table(spark, sf_dir, "pages"))))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import is_contaminated, mark
 
@@ -40,5 +46,5 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_decontamination)}
-ORACLE_SQL = {"op3_decontamination": oracles.OP3}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_warc, op3_decontamination)}
+ORACLE_SQL = {"op2_warc": oracles.OP2, "op3_decontamination": oracles.OP3}
