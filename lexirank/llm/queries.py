@@ -46,5 +46,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_warc, op3_decontamination)}
-ORACLE_SQL = {"op2_warc": oracles.OP2, "op3_decontamination": oracles.OP3}
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import link_components
+
+    return link_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_warc, op3_decontamination, op10_ngram_join)}
+ORACLE_SQL = {"op2_warc": oracles.OP2, "op3_decontamination": oracles.OP3, "op10_ngram_join": oracles.OP10}
