@@ -51,3 +51,37 @@ both_ways AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
 r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, both_ways.y FROM r JOIN both_ways ON r.b = both_ways.x)
 SELECT n.doc_id, n.n AS n_shingles, min(r.b) AS component_id FROM n JOIN r ON r.a = n.doc_id GROUP BY 1, 2
 """
+
+_KINDS = [
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("forge", r"gh[opsu]_[A-Za-z0-9]{36,}", 0, 1),
+    ("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+]
+
+
+def _of_kind(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    p = "'" + pattern.replace("'", "''") + "'"
+    return f"""
+    SELECT doc_row, {rank} AS rank, '{kind}' AS kind, s AS start, s + len(m[i]) AS "end" FROM (
+        SELECT doc_row, m, i, CAST(list_sum(list_transform(gaps[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: len(x))), 0) AS BIGINT) AS s
+        FROM (SELECT doc_row, string_split_regex(text, {p}) AS gaps, regexp_extract_all(text, {p}) AS m, regexp_extract_all(text, {p}, {group}) AS part FROM doc),
+             unnest(range(1, len(m) + 1)) AS r(i) WHERE len(part[i]) >= {least})"""
+
+
+_SPAN = "kind || ':' || start || ':' || \"end\""
+
+OP9 = f"""
+WITH doc AS (SELECT row_number() OVER () AS doc_row, doc_id, coalesce(text, '') AS text FROM documents),
+span AS ({" UNION ALL ".join(_of_kind(i, *k) for i, k in enumerate(_KINDS))}),
+all_of AS (
+    SELECT doc_row, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg({_SPAN}, ',' ORDER BY start, rank) FILTER (rank < 3) AS base, string_agg({_SPAN}, ',' ORDER BY start, rank) AS spans
+    FROM span GROUP BY 1)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM doc LEFT JOIN all_of USING (doc_row)
+"""

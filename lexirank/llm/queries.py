@@ -46,11 +46,25 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import BASE_RULES, secret_spans, span_text
+
+    found = secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda x: x["rank"] < len(BASE_RULES))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        *[count(rule.kind).alias(f"n_{rule.kind}") for rule in BASE_RULES],
+        F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import link_components
 
     return link_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_warc, op3_decontamination, op10_ngram_join)}
-ORACLE_SQL = {"op2_warc": oracles.OP2, "op3_decontamination": oracles.OP3, "op10_ngram_join": oracles.OP10}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_warc, op3_decontamination, op9_secrets, op10_ngram_join)}
+ORACLE_SQL = {"op2_warc": oracles.OP2, "op3_decontamination": oracles.OP3, "op9_secrets": oracles.OP9, "op10_ngram_join": oracles.OP10}
