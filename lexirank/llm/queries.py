@@ -46,6 +46,16 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import THRESHOLD, crc_of, score, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_of(F.col("doc_id")) % 3 == 1
+    model = train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = score(docs, model).select(F.col("doc.doc_id").alias("doc_id"), "score")
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import BASE_RULES, secret_spans, span_text
 
@@ -66,5 +76,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_warc, op3_decontamination, op9_secrets, op10_ngram_join)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_warc, op3_decontamination, op4_toxicity, op9_secrets, op10_ngram_join)}
 ORACLE_SQL = {"op2_warc": oracles.OP2, "op3_decontamination": oracles.OP3, "op9_secrets": oracles.OP9, "op10_ngram_join": oracles.OP10}
