@@ -56,6 +56,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_scoring import score_documents
+
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    scored = score_documents(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ann import nearest
 
@@ -66,7 +74,7 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import BASE_RULES, secret_spans, span_text
 
-    found = secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secret_spans(table(spark, sf_dir, "documents"), keep=["doc_id"])
     base = F.filter("spans", lambda x: x["rank"] < len(BASE_RULES))
     count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
     return found.select(
@@ -83,5 +91,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_warc, op3_decontamination, op4_toxicity, op8_neighbours, op9_secrets, op10_ngram_join)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_warc, op3_decontamination, op4_toxicity, op7_lm_scoring, op8_neighbours, op9_secrets, op10_ngram_join)}
 ORACLE_SQL = {"op2_warc": oracles.OP2, "op3_decontamination": oracles.OP3, "op9_secrets": oracles.OP9, "op10_ngram_join": oracles.OP10}
