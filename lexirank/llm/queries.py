@@ -56,6 +56,18 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+#: The key of op5's surrogates; a deployment gives one of its own.
+SURROGATE_KEY = b"demonstration key"
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import with_surrogates
+
+    done = with_surrogates(table(spark, sf_dir, "documents"), SURROGATE_KEY, keep=["doc_id"])
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.col("entities.kind"))), ",")
+    return done.select(F.col("doc.doc_id").alias("doc_id"), F.size("entities").cast("long").alias("n_entities"), kinds.alias("kinds"), "text")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import cotrain_scores
 
@@ -98,5 +110,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_warc, op3_decontamination, op4_toxicity, op6_quality, op7_lm_scoring, op8_neighbours, op9_secrets, op10_ngram_join)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_warc, op3_decontamination, op4_toxicity, op5_pii, op6_quality, op7_lm_scoring, op8_neighbours, op9_secrets, op10_ngram_join)}
 ORACLE_SQL = {"op2_warc": oracles.OP2, "op3_decontamination": oracles.OP3, "op9_secrets": oracles.OP9, "op10_ngram_join": oracles.OP10}
