@@ -254,7 +254,7 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sizes = of_class.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams"), F.array_distinct(F.array(*[rank(i) for i in range(PIVOTS)])).alias("pivots"))
     sizes = materialize(sizes.withColumn("blocks", F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")), "sizes")
     dealt = of_class.join(sizes, "cluster")
-    texts = rows.select("key", "text").join(of_class.select("key"), "key", "left_semi").dropDuplicates(["key"])
+    texts = rows.select("key", "text").join(of_class.select("key").hint("merge"), "key", "left_semi").dropDuplicates(["key"])
     own = F.pmod(F.xxhash64("set_id", F.lit("block")), F.col("blocks")).cast("int")
     blocks = F.when(F.array_contains("pivots", F.col("set_id")), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
     members = materialize(dealt.join(texts, "key").select("cluster", "set_id", "text", "blocks", own.alias("own"), blocks.alias("in_blocks")), "texts")
