@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -221,13 +221,19 @@ def _product(rows: DataFrame, k: int, percent: int) -> DataFrame:
     return rows.mapInArrow(_multiplier(k, percent), "a long, b long")
 
 
-def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+def document_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A hash of id and text, by which the operator finds a document's row again."""
+    return F.xxhash64(docs[id_col].cast("long"), F.coalesce(docs[text_col].cast("string"), F.lit("")))
+
+
+def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, detail: bool = False) -> DataFrame:
     """Each document's doc_id, n_shingles and component_id: documents with 100 * intersection >= percent * union are linked.
 
     A document's set has its distinct shingles of `shingle` words (split at ASCII white space, A-Z lower-cased);
     a text of fewer words is one shingle; a null text, or one without words, has none and no link. component_id is
     the smallest id that links reach, the document's own included. Rows that repeat an id are documents of their
     own; a null id counts in no minimum, and the component of null ids alone is null. Other columns are not read.
+    With detail also key (document_key() of the row) and group_id, which tells components of null ids apart; null without n-grams.
 
     1. Equal sets become one row of the matrix, so exact copies are never paired.
     2. Size-derived bounds: sets with a link differ in so few n-grams that of so many parts of their n-grams one is alike.
@@ -239,7 +245,7 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
        of near copies costs its size times what is not near its pivots, not its square.
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    rows = docs.select(F.xxhash64(docs[id_col].cast("long"), text).alias("key"), docs[id_col].cast("long").alias("doc_id"), text.alias("text"))
+    rows = docs.select(document_key(docs, id_col, text_col).alias("key"), docs[id_col].cast("long").alias("doc_id"), text.alias("text"))
     sketch = materialize(rows.mapInArrow(_sketcher(shingle, percent), SKETCH), "sketch")
     found = sketch.filter("n_shingles > 0")
     classes = materialize(
@@ -267,9 +273,11 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     of_class = classes.select("set_id", "least").join(reached, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = of_class.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_set = of_class.join(least, "root").select("set_id", "component_id")
-    linked = found.select("doc_id", "n_shingles", "set_id").join(by_set, "set_id").select("doc_id", "n_shingles", "component_id")
-    return linked.unionByName(sketch.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    by_set = of_class.join(least, "root").select("set_id", "component_id", F.col("root").alias("group_id"))
+    linked = found.join(by_set, "set_id").select("doc_id", "n_shingles", "component_id", "key", "group_id")
+    none = F.lit(None).cast("long").alias("group_id")
+    out = linked.unionByName(sketch.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "key", none))
+    return out if detail else out.drop("key", "group_id")
 
 
 def _to_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -17,6 +18,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers of this session find the package where this process found it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other call gets."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
