@@ -127,8 +127,11 @@ def surrogate(kind: str, entity: str, gender: str, key: bytes, redraw: int = 0)
         return f"{_like(local, key, f'{tweak}|{host}')}@{_like('.'.join(labels[:-1]), key, tweak)}.{labels[-1]}"
     if kind == "card":
         body = entity[0] + _like(entity[1:-1], key, tweak + entity[0])
-        valid = _luhn(entity[:-1]) == int(entity[-1])
-        return body + (str(_luhn(body)) if valid else _like(entity[-1], key, f"{tweak}|{body}") if _like(entity[-1], key, f"{tweak}|{body}") != str(_luhn(body)) else str((_luhn(body) + 1) % 10))
+        was, check, last = _luhn(entity[:-1]), _luhn(body), int(entity[-1])
+        if last == was:
+            return body + str(check)
+        wrong = lambda right: [d for d in range(10) if d != right]  # noqa: E731  as many either way, so none meet
+        return body + str(wrong(check)[permuted(wrong(was).index(last), 9, key, f"{tweak}|{body}")])
     if kind == "iban":
         country, rest = entity[:2], _like(entity[4:], key, tweak + entity[:2])
         number = int("".join(str(int(c, 36)) for c in f"{rest}{country}00"))
