@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import base64
+import contextlib
+import ctypes
 import math
 import pickle
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,7 @@ THRESHOLD = 0.7
 
 def clean_texts(texts: pa.Array) -> Iterator[tuple[bytes, np.ndarray]]:
     """Of each text: its words in lower case, each after one space, and where each word's space is; then one space."""
-    for block in words(texts, ALNUM):
+    for block in words(texts, ALNUM, 1 << 20):
         inside = ALNUM[block.data]
         size = block.ends - block.starts + 1
         at = np.cumsum(size) - size
@@ -47,7 +50,7 @@ def clean_texts(texts: pa.Array) -> Iterator[tuple[bytes, np.ndarray]]:
                 yield b"", at[:0]
             else:
                 end = int(at[b - 1] + size[b - 1])
-                yield raw[at[a] : end] + b" ", at[a:b] - at[a]
+                yield raw[at[a] : end] + b" ", (at[a:b] - at[a]).astype(np.int32)
 
 
 def windows(text: bytes, spaces: np.ndarray) -> list[bytes]:
@@ -72,11 +75,13 @@ def _apart(texts: list[tuple[bytes, np.ndarray]]) -> list[tuple[bytes, np.ndarra
     return out
 
 
-def _in_contexts(texts: list[list[bytes]]) -> dict[bytes, int]:
-    """In how many texts each word is, those in which it follows, or precedes, the same word counted once: shared passages tell nothing."""
+def _in_contexts(texts: Iterable[list[bytes]], words: set[bytes]) -> dict[bytes, int]:
+    """In how many texts each of the words is, those in which it follows, or precedes, the same word counted once: shared passages tell nothing."""
     seen: dict[bytes, tuple[set, set, set]] = {}
     for i, w in enumerate(texts):
         for before, word, after in zip([b"", *w], w, [*w[1:], b""]):
+            if word not in words:
+                continue
             found = seen.setdefault(word, (set(), set(), set()))
             found[0].add(i)
             found[1].add(before)
@@ -145,31 +150,37 @@ class ToxicityModel:
 def fit(rows: list[tuple[int, str, int, int]], counts: dict[int, int]) -> ToxicityModel:
     """A model from (crc, text, label) rows: dictionaries from two thirds of them by crc, weights from the others.
 
-    counts: how many labels of each kind there are, to which the sample's are weighted. With only one kind of
+    The list of rows is emptied. counts: how many labels of each kind there are, to which the sample's are weighted. With only one kind of
     label every score is that kind's share.
     """
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.0
-    cleaned = list(zip(rows, clean_texts(pa.array([r[1] for r in rows], type=pa.string()))))
-    own = lambda r: r[0] // 3 % 3 != 0
-    toxic = _apart([c for r, c in cleaned if r[2] == 1 and own(r)])
-    ordinary = _apart([c for r, c in cleaned if r[2] == 0 and own(r)])
+    marks = [(r[0] // 3 % 3 != 0, r[2]) for r in rows]
+    texts = pa.array([r[1] for r in rows], type=pa.string())
+    rows.clear()  # the texts stay in one form only
+    cleaned = [(own, label, c) for (own, label), c in zip(marks, clean_texts(texts))]
+    del texts
+    toxic = _apart([c for own, label, c in cleaned if own and label == 1])
+    ordinary = _apart([c for own, label, c in cleaned if own and label == 0])
     if not toxic or not ordinary:
         return ToxicityModel(prior=prior)
     n1, n0 = len(toxic), len(ordinary)
-    in_toxic = _in_contexts([t.split() for t, _ in toxic])
-    in_ordinary = Counter(w for t, _ in ordinary for w in set(t.split()))
+    in_toxic = Counter(w for t, _ in toxic for w in set(t.split()))
+    limit = math.log(CHANCE / len(in_toxic)) if in_toxic else 0.0
+    in_toxic = {w: n for w, n in in_toxic.items() if n > 1}
+    in_ordinary = Counter(w for t, _ in ordinary for w in set(t.split()) if w in in_toxic)
     expected = lambda w: (in_ordinary[w] + 0.5) * n1 / n0
     tail = lambda n, mu: n * math.log(mu) - mu - math.lgamma(n + 1) if n > 2 * mu else 0.0  # noqa: E731  of a Poisson variable, about
-    limit = math.log(CHANCE / len(in_toxic)) if in_toxic else 0.0
     telling = {w for w, n in in_toxic.items() if tail(n, expected(w)) < limit}
+    apart = _in_contexts((t.split() for t, _ in toxic), telling)
+    telling = {w for w, n in apart.items() if tail(n, expected(w)) < limit}
     phrases = [b" " + w + b" " for t, _ in toxic for w in t.split() if w in telling]
     model = ToxicityModel(
         _trained([b"".join(phrases[i : i + 4]) for i in range(0, len(phrases), 4)], TOXIC_BYTES) if phrases else b"",
-        _trained([w for t in ordinary for w in windows(*t)][:200_000], ORDINARY_BYTES),
+        _trained(list(islice((w for t in ordinary for w in windows(*t)), 200_000)), ORDINARY_BYTES),
         prior=prior,
     )
-    held = [(r[2], c) for r, c in cleaned if not own(r)] or [(r[2], c) for r, c in cleaned]
+    held = [(label, c) for own, label, c in cleaned if not own] or [(label, c) for _, label, c in cleaned]
     x, y = np.array([model.features(*c) for _, c in held]), np.array([label for label, _ in held], dtype=float)
     if y.min() == y.max():
         return ToxicityModel(prior=prior)
@@ -207,7 +218,11 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, *
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).filter(F.length("text") <= ROW_CHARS)
     found = texts.join(F.broadcast(picked), "doc_id").select(crc_of(F.col("doc_id")).alias("crc"), "text", "label", "doc_id")
     rows = sorted((r[0], r[1], r[2], r[3]) for r in found.toLocalIterator())
-    return fit(rows, counts)
+    model = fit(rows, counts)
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)  # what the sample took goes back: a driver lives long
+    return model
 
 
 def _scorer(packed: str):
