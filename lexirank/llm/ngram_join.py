@@ -96,28 +96,52 @@ def _longs(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64).view(np.int64))
 
 
-SKETCH = "key long, doc_id long, n_shingles long, set_id long, parts array<long>"
+SKETCH = "key long, doc_id long, n_shingles long, set_id long"
+#: Sets that a task remembers to have given the parts of.
+GIVEN_SETS = 1_000_000
 
 
-def _sketcher(k: int, percent: int):
+def _set_ids(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A hash of each set."""
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(sets + _PART), dtype=np.uint64)])
+    return mix(sums[bounds[1:]] - sums[bounds[:-1]] + np.diff(bounds).astype(np.uint64))
+
+
+def _sketcher(k: int):
     def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
             for docs, sets, bounds in gram_sets(batch.column(2), k):
-                values, at = signatures(sets, bounds, percent)
-                n = np.diff(bounds)
-                sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(sets + _PART), dtype=np.uint64)])
-                set_id = mix(sums[bounds[1:]] - sums[bounds[:-1]] + n.astype(np.uint64))
-                parts = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), _longs(values))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(done, docs), batch.column(1).slice(done, docs), pa.array(n), _longs(set_id), parts],
-                    names=["key", "doc_id", "n_shingles", "set_id", "parts"],
-                )
+                arrays = [batch.column(0).slice(done, docs), batch.column(1).slice(done, docs), pa.array(np.diff(bounds)), _longs(_set_ids(sets, bounds))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["key", "doc_id", "n_shingles", "set_id"])
                 done += docs
 
     return sketch_batches
 
 
+def _parter(k: int, percent: int):
+    """Rows (part, set_id) of texts; of equal sets in a task those of the first, as far as it remembers. They are not stored, but shuffled at once."""
+
+    def part_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
+        for batch in batches:
+            for _, sets, bounds in gram_sets(batch.column(0), k):
+                fresh, ids = [], _set_ids(sets, bounds)
+                for i, name in enumerate(ids.tolist()):
+                    if name not in given:
+                        given.add(name)
+                        fresh.append(i)
+                if len(given) > GIVEN_SETS:
+                    given.clear()
+                if not fresh:
+                    continue
+                n = np.diff(bounds)[fresh]
+                values, at = signatures(np.concatenate([sets[bounds[i] : bounds[i + 1]] for i in fresh]), np.concatenate([[0], np.cumsum(n)]), percent)
+                yield pa.RecordBatch.from_arrays([_longs(values), _longs(np.repeat(ids[fresh], np.diff(at)))], names=["part", "set_id"])
+
+    return part_batches
+
+
 def overlap_links(sets: list[np.ndarray], others: list[np.ndarray] | None, percent: int) -> np.ndarray:
     """Pairs (i, j) of linked sets: i < j of sets, or i of sets and j of others.
 
@@ -246,12 +270,10 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(document_key(docs, id_col, text_col).alias("key"), docs[id_col].cast("long").alias("doc_id"), text.alias("text"))
-    sketch = materialize(rows.mapInArrow(_sketcher(shingle, percent), SKETCH), "sketch")
+    sketch = materialize(rows.mapInArrow(_sketcher(shingle), SKETCH), "sketch")
     found = sketch.filter("n_shingles > 0")
-    classes = materialize(
-        found.groupBy("set_id").agg(F.min("doc_id").alias("least"), F.min("key").alias("key"), F.first("n_shingles").alias("n"), F.first("parts").alias("parts")), "classes"
-    )
-    in_part = classes.select(F.explode("parts").alias("part"), "set_id").repartition("part").sortWithinPartitions("part", "set_id")
+    classes = materialize(found.groupBy("set_id").agg(F.min("doc_id").alias("least"), F.min("key").alias("key"), F.first("n_shingles").alias("n")), "classes")
+    in_part = rows.select("text").mapInArrow(_parter(shingle, percent), "part long, set_id long").repartition("part").sortWithinPartitions("part", "set_id")
     candidates = in_part.mapInArrow(_to_first, "a long, b long").distinct()
     clusters = connected_components(candidates)
 
