@@ -32,6 +32,9 @@ TOXIC_ROWS, ORDINARY_ROWS, ROW_CHARS = 3000, 7000, 100_000
 #: times any word at all would be in so many by chance.
 CHANCE = 0.01
 THRESHOLD = 0.7
+#: What ends both dictionaries and is put before every window: no text holds it, so it is the first match under both,
+#: and what a compressed block costs by itself hides no later match.
+ANCHOR = bytes(range(1, 17))
 
 
 def clean_texts(texts: pa.Array) -> Iterator[tuple[bytes, np.ndarray]]:
@@ -122,9 +125,9 @@ class ToxicityModel:
 
         if not hasattr(self, "_pair"):
             self._pair = []
-            for content in (self.ordinary, self.toxic + self.ordinary):
+            for content in (self.ordinary + ANCHOR, self.toxic + self.ordinary + ANCHOR):
                 p = z.ZstdCompressionParameters(
-                    window_log=15, hash_log=12, chain_log=13, search_log=5, target_length=64, strategy=z.STRATEGY_LAZY2, min_match=6,
+                    window_log=15, hash_log=12, chain_log=13, search_log=5, target_length=64, strategy=z.STRATEGY_LAZY2, min_match=4,
                     write_content_size=1, write_checksum=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS,
                 )
                 d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
@@ -132,13 +135,17 @@ class ToxicityModel:
                 self._pair.append(z.ZstdCompressor(dict_data=d, compression_params=p).compress)
         return self._pair
 
+    def gains(self, parts: list[bytes]) -> np.ndarray:
+        """By how many bytes the toxic dictionary makes each window shorter."""
+        by_ordinary, by_toxic = self._compressors()
+        return np.array([len(by_ordinary(w)) - len(by_toxic(w)) for w in (ANCHOR + p for p in parts)], dtype=np.int64)
+
     def features(self, text: bytes, spaces: np.ndarray) -> list[float]:
         """What the gains of a text's windows, in bytes, come to."""
-        by_ordinary, by_toxic = self._compressors()
-        gains = np.array([len(by_ordinary(w)) - len(by_toxic(w)) for w in windows(text, spaces)] or [0])
+        gains = self.gains(windows(text, spaces) or [b""])
         top = np.sort(gains)[-3:]
         up = np.maximum(gains, 0)
-        return [float(top[-1]), float(top.sum()), float(np.log1p(100 * up.mean())), float(np.log1p((gains >= 3).sum())), float(np.log1p((gains >= 5).sum())), float(np.log1p(len(gains)))]
+        return [float(top[-1]), float(top.sum()), float(np.log1p(100 * up.mean())), float(np.log1p((gains >= 2).sum())), float(np.log1p((gains >= 4).sum())), float(np.log1p(len(gains)))]
 
     def score(self, features: np.ndarray) -> np.ndarray:
         if not self.weights:

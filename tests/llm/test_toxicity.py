@@ -32,6 +32,18 @@ def corpus(n, seed):
     return rows
 
 
+def test_one_short_word_shortens_a_window():
+    short = ["ass", "damn", "scum", "loser", "clown"]
+    clean = [t for _, t, y in corpus(400, 9) if y == 0]
+    model = ToxicityModel(" ".join(["", *short * 20, ""]).encode(), "".join(f" {t} " for t in clean[:100]).encode()[-8192:])
+    top = lambda text: next(model.features(*c)[0] for c in clean_texts(pa.array([text])))
+    cut = [t.split()[:7] for t in clean[100:]]
+    assert sum(top(" ".join(w)) > 0 for w in cut) == 0
+    for word in short:
+        share = np.mean([top(" ".join([*w[:3], word, *w[3:]])) > 0 for w in cut])
+        assert share > (0.4 if len(word) == 3 else 0.8), word
+
+
 def test_held_out_accuracy(spark):
     rows = corpus(900, 4)
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
