@@ -8,7 +8,6 @@ import ctypes
 import math
 import pickle
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import islice
@@ -28,9 +27,9 @@ TOXIC_BYTES, ORDINARY_BYTES = 4096, 8192
 #: The labelled rows that a model is fitted to: so many of each label at most, by the order of a hash of the
 #: id, and of those texts of up to so many characters.
 TOXIC_ROWS, ORDINARY_ROWS, ROW_CHARS = 3000, 7000, 100_000
-#: A word tells toxic text when it is in so many toxic texts that, at its rate in ordinary text, one in a hundred
-#: times any word at all would be in so many by chance.
-CHANCE = 0.01
+#: A run of words tells toxic text when it is in so many toxic texts that, at its rate in ordinary text, one in a
+#: hundred times any run of its size at all would be in so many by chance. Runs have up to so many words.
+CHANCE, RUN_WORDS = 0.01, WINDOW_WORDS
 THRESHOLD = 0.7
 #: What ends both dictionaries and is put before every window: no text holds it, so it is the first match under both,
 #: and what a compressed block costs by itself hides no later match.
@@ -78,18 +77,81 @@ def _apart(texts: list[tuple[bytes, np.ndarray]]) -> list[tuple[bytes, np.ndarra
     return out
 
 
-def _in_contexts(texts: Iterable[list[bytes]], words: set[bytes]) -> dict[bytes, int]:
-    """In how many texts each of the words is, those in which it follows, or precedes, the same word counted once: shared passages tell nothing."""
-    seen: dict[bytes, tuple[set, set, set]] = {}
-    for i, w in enumerate(texts):
-        for before, word, after in zip([b"", *w], w, [*w[1:], b""]):
-            if word not in words:
-                continue
-            found = seen.setdefault(word, (set(), set(), set()))
-            found[0].add(i)
-            found[1].add(before)
-            found[2].add(after)
-    return {word: min(map(len, found)) for word, found in seen.items()}
+def _runs(text: bytes, apart: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each size up to RUN_WORDS: where a text's runs of so many words start, and their hashes; none that holds a word set apart."""
+    own = np.fromiter((zlib.crc32(w) for w in text.split()), dtype=np.uint64)
+    free = np.ones(len(own), dtype=bool) if apart is None else ~apart
+    hashes, whole = np.zeros(len(own), dtype=np.uint64), np.ones(len(own), dtype=bool)
+    for n in range(1, min(RUN_WORDS, len(own)) + 1):
+        count = len(own) - n + 1
+        hashes = mix(hashes[:count] * np.uint64(0x9E3779B97F4A7C15) + own[n - 1 :] + np.uint64(1))
+        whole = whole[:count] & free[n - 1 :]
+        at = np.flatnonzero(whole)
+        yield n, at, hashes[at]
+
+
+def _counted(texts: Iterable[Iterator[tuple[int, np.ndarray, np.ndarray]]], sizes: range, among: dict[int, np.ndarray] | None = None) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By size the hashes of runs, sorted, and in how many texts each is; only those among the given ones, if any are."""
+    found: dict[int, list[np.ndarray]] = {n: [] for n in sizes}
+    for runs in texts:
+        for n, _, h in runs:
+            if n in found:
+                h = np.unique(h)
+                found[n].append(h if among is None else h[np.isin(h, among[n], assume_unique=True)])
+    return {n: np.unique(np.concatenate(h or [np.zeros(0, np.uint64)]), return_counts=True) for n, h in found.items()}
+
+
+def _telling(toxic: list[tuple[bytes, np.ndarray]], ordinary: list[tuple[bytes, np.ndarray]]) -> list[bytes]:
+    """Runs of words that tell toxic text, the most telling first: words, and phrases of whatever words.
+
+    A run is telling by how many toxic and how many ordinary texts hold it. Passages, runs of RUN_WORDS words that
+    stand in another text as well and don't tell by themselves, are set apart first: what texts share tells nothing.
+    """
+
+    def by_chance(sizes: range, apart: list[np.ndarray] | None = None):
+        """By size: the runs in two toxic texts or more, whether each tells, and how well: the less, the better."""
+        counts = _counted((_runs(t, a) for (t, _), a in zip(toxic, apart or [None] * len(toxic))), sizes)
+        more = {n: (h[c > 1], c[c > 1]) for n, (h, c) in counts.items()}
+        other = _counted((_runs(t) for t, _ in ordinary), sizes, {n: h for n, (h, _) in more.items()})
+        for n, (h, c) in more.items():
+            inside = np.zeros(len(h))
+            inside[np.searchsorted(h, other[n][0])] = other[n][1]
+            mu = (inside + 0.5) * len(toxic) / len(ordinary)
+            # of a Poisson variable, about
+            tail = np.where(c > 2 * mu, c * np.log(mu) - mu - np.array([math.lgamma(x + 1) for x in c.tolist()]), 0.0)
+            yield n, h, tail < math.log(CHANCE / max(1, len(counts[n][0]))), tail
+
+    size = range(RUN_WORDS, RUN_WORDS + 1)
+    _, often, tells, _ = next(by_chance(size))
+    known = _counted((_runs(t) for t, _ in toxic), size)[RUN_WORDS][0]
+    passages = np.union1d(often, _counted((_runs(t) for t, _ in ordinary), size, {RUN_WORDS: known})[RUN_WORDS][0])
+    passages = np.setdiff1d(passages, often[tells])
+    apart = []
+    for text, spaces in toxic:
+        marks = np.zeros(len(spaces), dtype=bool)
+        for n, at, h in _runs(text):
+            if n == RUN_WORDS:
+                for i in at[np.isin(h, passages)].tolist():
+                    marks[i : i + n] = True
+        apart.append(marks)
+    best = {n: dict(zip(h[tells].tolist(), tail[tells].tolist())) for n, h, tells, tail in by_chance(range(1, RUN_WORDS + 1), apart)}
+    found: dict[bytes, float] = {}
+    for (text, _), marks in zip(toxic, apart):
+        w = text.split()
+        for n, at, h in _runs(text, marks):
+            for i, x in zip(at.tolist(), h.tolist()):
+                if x in best[n]:
+                    found[b" ".join(w[i : i + n])] = best[n][x]
+    return sorted(found, key=lambda run: (found[run], -len(run), run))
+
+
+def _joined(runs: list[bytes], size: int) -> bytes:
+    """As many of the runs as fit, none inside another one, the first of them last: each with a space on both sides."""
+    out = b" "
+    for run in runs:
+        if b" " + run + b" " not in out and len(run) + 1 + len(out) <= size:
+            out = b" " + run + out
+    return out if len(out) > 1 else b""
 
 
 def _trained(samples: list[bytes], size: int) -> bytes:
@@ -106,7 +168,7 @@ def _trained(samples: list[bytes], size: int) -> bytes:
 class ToxicityModel:
     """Two dictionaries and the weights of a document's features.
 
-    The toxic dictionary is the ordinary one with content trained on toxic text put before it, so that a window
+    The toxic dictionary is the ordinary one with runs of words that tell toxic text put before it, so that a window
     which holds nothing of the latter has the same length under both.
     """
 
@@ -171,19 +233,8 @@ def fit(rows: list[tuple[int, str, int, int]], counts: dict[int, int]) -> Toxici
     ordinary = _apart([c for own, label, c in cleaned if own and label == 0])
     if not toxic or not ordinary:
         return ToxicityModel(prior=prior)
-    n1, n0 = len(toxic), len(ordinary)
-    in_toxic = Counter(w for t, _ in toxic for w in set(t.split()))
-    limit = math.log(CHANCE / len(in_toxic)) if in_toxic else 0.0
-    in_toxic = {w: n for w, n in in_toxic.items() if n > 1}
-    in_ordinary = Counter(w for t, _ in ordinary for w in set(t.split()) if w in in_toxic)
-    expected = lambda w: (in_ordinary[w] + 0.5) * n1 / n0
-    tail = lambda n, mu: n * math.log(mu) - mu - math.lgamma(n + 1) if n > 2 * mu else 0.0  # noqa: E731  of a Poisson variable, about
-    telling = {w for w, n in in_toxic.items() if tail(n, expected(w)) < limit}
-    apart = _in_contexts((t.split() for t, _ in toxic), telling)
-    telling = {w for w, n in apart.items() if tail(n, expected(w)) < limit}
-    phrases = [b" " + w + b" " for t, _ in toxic for w in t.split() if w in telling]
     model = ToxicityModel(
-        _trained([b"".join(phrases[i : i + 4]) for i in range(0, len(phrases), 4)], TOXIC_BYTES) if phrases else b"",
+        _joined(_telling(toxic, ordinary), TOXIC_BYTES),
         _trained(list(islice((w for t in ordinary for w in windows(*t)), 200_000)), ORDINARY_BYTES),
         prior=prior,
     )

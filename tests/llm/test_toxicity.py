@@ -55,6 +55,23 @@ def test_held_out_accuracy(spark):
     assert hits > 0.95 and all(0 <= s <= 1 for s in got.values())
 
 
+def test_phrases_tell_and_shared_passages_do_not():
+    clean = [t.split() for _, t, y in corpus(900, 5) if y == 0]
+    fixed, plain = "you snarkel lot".split(), [clean[0][0], clean[1][1], clean[2][2], clean[3][3], clean[4][4]]
+    shared = clean[5][:20] + [f"licence{i}" for i in range(20)]
+    rows = []
+    for i, w in enumerate(clean[6:]):
+        label, at = int(i % 3 == 0), i % (len(w) + 1)
+        put = (fixed, plain)[i // 3 % 2] * 2 if label else []
+        rows.append((w[:at] + put + w[at:] + (shared if i % 4 == 0 else []), label))
+    model = fit([(zlib.crc32(str(i).encode()), " ".join(w), y, i) for i, (w, y) in enumerate(rows) if i % 5], {0: 400, 1: 200})
+    assert b" snarkel " in model.toxic and " ".join(["", *plain, ""]).encode() in model.toxic and b"licence" not in model.toxic
+    held = [(w, y) for i, (w, y) in enumerate(rows) if i % 5 == 0]
+    scores = model.score(np.array([model.features(*c) for c in clean_texts(pa.array([" ".join(w) for w, _ in held]))]))
+    labels = np.array([y for _, y in held])
+    assert scores[labels == 1].min() > 0.7 > scores[labels == 0].max()
+
+
 def test_sample_table_held_out_accuracy(spark):
     r = queries.op4_toxicity(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").where("held_out").toPandas()
     a, b = r.score[r.toxic == 1].values, r.score[r.toxic == 0].values
