@@ -167,9 +167,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, id_col: str
     """For each query its k nearest of the vectors (query_id, rank, vec_id, score), a vector of the query's own id apart.
 
     Nearness is the inner product in double precision of the vectors as they are; ties go to the smaller id.
-    Rows with a null id, or a vector that is null, zero or has null or non-finite components, take no part, nor do
-    those of another dimension than the vectors' smallest; rows that repeat id and vector count once. With fewer
-    than k candidates all that are found are given; without rows or queries the result is empty.
+    Rows with a null id, or a vector that is null, zero or has null or non-finite components, take no part; rows that
+    repeat id and vector count once. A query's candidates are the vectors of its own dimension: each dimension that
+    both sides have is searched by itself. With fewer than k candidates all that are found are given; without rows or
+    queries the result is empty.
 
     The index (list centres of a sample of about SAMPLE_ROWS, chosen by a hash of the id) takes every row. Equal
     vectors share one code with their k + 1 smallest ids: no more of them can be among the k nearest. A query goes
@@ -177,27 +178,35 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, id_col: str
     error bound reach it are scored. Lists and their queries are dealt in blocks, so that no list falls to one task.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("v")).filter(F.col("id").isNotNull() & usable(F.col("v")))
-    dims = rows.agg(F.min(F.size("v")), F.count(F.lit(1))).first()
-    spark = vectors.sparkSession
-    if not dims[1]:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    of_size = lambda df: df.filter(F.size("v") == dims[0])
+    asked = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(vector_col).cast("array<float>").alias("v")).filter(F.col("query_id").isNotNull() & usable(F.col("v")))
+    sizes = dict(rows.groupBy(F.size("v")).count().collect())
+    out = None
+    for size in sorted(sizes):
+        if len(sizes) > 1 and (sizes[size] < 2 or not asked.filter(F.size("v") == size).limit(1).count()):
+            continue
+        of_size = lambda df, size=size: df.filter(F.size("v") == size)
+        found = _nearest(of_size(rows), of_size(asked), sizes[size], k, probes, seed)
+        out = found if out is None else out.unionByName(found)
+    return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double") if out is None else out
+
+
+def _nearest(rows: DataFrame, asked: DataFrame, n_rows: int, k: int, probes: int | None, seed: int) -> DataFrame:
+    """Of usable vectors (id, v) and queries (query_id, v), all of one dimension, what nearest() gives."""
     by_id = Window.partitionBy("v").orderBy("id")
-    few = of_size(rows).dropDuplicates(["id", "v"]).withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= k + 1)
+    few = rows.dropDuplicates(["id", "v"]).withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= k + 1)
     distinct = few.groupBy("v").agg(F.min("id").alias("row"), F.array_sort(F.collect_list("id")).alias("ids")).select("row", "v", "ids")
 
-    share = int(min(1.0, SAMPLE_ROWS / dims[1]) * (1 << 20))
+    share = int(min(1.0, SAMPLE_ROWS / n_rows) * (1 << 20))
     sample = distinct.filter(F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < max(share, 1)).select("row", "v").limit(2 * SAMPLE_ROWS).toArrow().sort_by("row")
     if not sample.num_rows:
         sample = distinct.select("row", "v").orderBy("row").limit(1000).toArrow()
-    lists = max(1, min(MOST_LISTS, round(math.sqrt(dims[1]) / 2)))
+    lists = max(1, min(MOST_LISTS, round(math.sqrt(n_rows) / 2)))
     index = Index.fit(_vectors(sample["v"]), lists, seed)
     packed = base64.b64encode(pickle.dumps(index)).decode()
     lists = len(index.centres)
     probes = min(lists, probes or max(24, math.ceil(PROBED * lists)))
 
     coded = materialize(distinct.mapInArrow(_encoder(packed), "row long, v array<float>, ids array<long>, list int, bits binary, length double, correction double"), "codes")
-    asked = of_size(queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(vector_col).cast("array<float>").alias("v")).filter(F.col("query_id").isNotNull() & usable(F.col("v"))))
     probed = materialize(asked.dropDuplicates(["query_id"]).mapInArrow(_prober(packed, probes), "query_id long, q array<float>, list int, nth int, near double"), "probes")
     of_list = coded.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("row_blocks"), F.max("length").alias("reach"))
     found = "query_id long, score double, row long, ids array<long>"

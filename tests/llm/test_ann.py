@@ -65,3 +65,16 @@ def test_empty(spark):
     assert nearest(v, v).count() == 0
     one = table(spark, [(20, [1.0, 2.0])])
     assert nearest(one, one).count() == 0
+
+
+def test_odd_dimensions_cost_only_themselves(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.standard_normal(6)) for i in range(1, 41)]
+    v = table(spark, [*rows, (60, [1.0]), (61, rng.standard_normal(9)), (80, rng.standard_normal(9))])
+    got = {}
+    for r in nearest(v, v.filter("vec_id % 20 = 0")).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+    assert got.pop(80) == {1: 61}
+    assert got == {q: {n: i for n, (i, _) in enumerate(best, 1)} for q, best in brute(rows).items()} and set(got) == {20, 40}
+    tied = table(spark, [(20, [1.0, 2.0]), (1, [3.0, 1.0]), (40, [1.0]), (2, [2.0])])
+    assert [(r.query_id, r.vec_id) for r in nearest(tied, tied.filter("vec_id % 20 = 0")).collect()] == [(40, 2), (20, 1)]
