@@ -39,8 +39,12 @@ _FINDERS = (
     ("email", re.compile(r"(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}\b"), "@"),
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w.]*\d)"), "."),
     ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"), None),
-    ("card", re.compile(r"(?<![\w.-])[3-6]\d{3}(?:([ -]?)\d{4})(?:\1\d{4})(?:\1\d{1,7})(?![\w-])"), None),
-    ("phone", re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?![\w-])|(?<![\w.])\+\d{8,14}(?!\w)"), None),
+    ("card", re.compile(r"(?<![\w.-])(?:[3-6]\d{3}(?:([ -]?)\d{4})(?:\1\d{4})(?:\1\d{1,7})|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)([ -]?)\d{4}\2\d{4}\2\d{4}|3\d{3}([ -])\d{6}\3\d{5})(?![\w-])"), None),
+    ("phone", re.compile(
+        r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?![\w-])|(?<![\w.])\+\d{8,14}(?!\w)"
+        r"|(?<![\w.])\+\d{1,3}[ .-]?(?:\(\d{1,5}\)|\d{1,5})[ .-]?\d{3,4}[ .-]?\d{2,4}(?![\w-])"  # two groups after the country
+        r"|(?<![\w.+-])(?:0\d{1,4}[ -]\d{5,8}|0\d{9,10}|[2-9]\d{9})(?![\w-]|\.\d)"  # national, in two groups or one
+    ), None),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), "-"),
     ("name", re.compile(r"\b(?:" + "|".join(TITLES) + r")\b\.?[  ]+(?:[^\W\d_a-zа-я][^\W\d_]+)(?:[ -][^\W\d_a-zа-я][^\W\d_]+){0,2}"), None),
 )
@@ -126,7 +130,12 @@ def surrogate(kind: str, entity: str, gender: str, key: bytes, redraw: int = 0)
         labels = host.split(".")
         return f"{_like(local, key, f'{tweak}|{host}')}@{_like('.'.join(labels[:-1]), key, tweak)}.{labels[-1]}"
     if kind == "card":
-        body = entity[0] + _like(entity[1:-1], key, tweak + entity[0])
+        if entity[0] == "2":  # issuers 2221 to 2720
+            rest = len(entity) - 5
+            number = permuted(int(entity[:-1]) - 2221 * 10**rest, 500 * 10**rest, key, f"{tweak}2|{rest}")
+            body = str(2221 * 10**rest + number)
+        else:
+            body = entity[0] + _like(entity[1:-1], key, tweak + entity[0])
         was, check, last = _luhn(entity[:-1]), _luhn(body), int(entity[-1])
         if last == was:
             return body + str(check)
@@ -166,6 +175,8 @@ def surrogate(kind: str, entity: str, gender: str, key: bytes, redraw: int = 0)
     if kind == "phone" and entity.startswith("+"):
         code = 2 if entity[1] in "17" else 3
         return entity[:code] + _like(entity[code:], key, tweak + entity[:code])
+    if kind == "phone":  # the first digit tells a number without separators from other ones
+        return entity[0] + _like(entity[1:], key, tweak + entity[0])
     return _like(entity, key, tweak)
 
 

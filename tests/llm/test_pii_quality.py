@@ -34,6 +34,21 @@ def test_format_is_kept(kind, value):
         assert new.split()[0] == value.split()[0] and new.split()[1] in pii.GIVEN[script, gender]
 
 
+@pytest.mark.parametrize(
+    "kind,value",
+    [("card", "2221000000000009"), ("card", "2720 9999 9999 9996"), ("card", "3782 822463 10005"), ("card", "3782-822463-10005"), ("phone", "+49 30 1234567"), ("phone", "+44 20 79460958"), ("phone", "030 1234567"), ("phone", "5551234567"), ("phone", "0301234567")],
+)
+def test_plain_formats_are_found_and_kept(kind, value):
+    assert pii.find_entities(f"x {value}, y") == [(2, 2 + len(value), kind)]
+    test_format_is_kept(kind, value)
+
+
+def test_other_numbers_stay():
+    for text in ("at 1700000000 s", "2220000000000000 rows", "0.2345678901", "2345678901.55", "id-5551234567"):
+        assert pii.find_entities(text) == []
+    assert len({pii.surrogate("card", str(2221 * 10**12 + i * 7), "", KEY) for i in range(3000)}) == 3000
+
+
 def test_formats_are_permuted():
     assert sorted(pii.permuted(i, 1000, KEY, "t") for i in range(1000)) == list(range(1000))
     for kind, form in (("ssn", "{:09d}"), ("phone", "+1{:010d}"), ("card", "4{:015d}")):
