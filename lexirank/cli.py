@@ -121,8 +121,9 @@ def rebalance_(spark, o) -> int:
         df.write.parquet(f"{root}/{cut.n}")
         return spark.read.parquet(f"{root}/{cut.n}")
 
+    # Picks are by score: no model is asked, so none is named in the rows.
     after = rebalance.rebalance(words, found, ratio=o.lower_ratio, batch_size=o.batch_size, seed=o.seed or 0, cut=cut)
-    sinks.write_csv(rebalance.rebalanced_output(table.drop("level"), after, model=o.model, run=o.run, at=now()).orderBy("word_id"), o.output_csv)
+    sinks.write_csv(rebalance.rebalanced_output(table.drop("level"), after, model="", run=o.run, at=now()).orderBy("word_id"), o.output_csv)
     return 0
 
 

@@ -33,6 +33,13 @@ def test_compare_audit_rebalance(spark, files, capsys):
     assert cli.main(["step5", "--run", "r", "--model", "m", "--input-csv", a, "--output-csv", f"{out}/r.csv", "--from-level", "2"]) == 2
 
 
+def test_rebalance_names_no_model_that_was_not_asked(spark, files):
+    _, (a, _, _), tmp = files
+    assert cli.main(["--output-dir", str(tmp), "step5", "--run", "r", "--model", "m", "--input-csv", a, "--output-csv", f"{tmp}/r.csv", "--transitions", "2:1", "--batch-size", "5"]) == 0
+    rows = tables.read_csv(spark, f"{tmp}/r.csv").where("rebalance_rule <> ''").collect()
+    assert rows and all(not r.rebalance_model and r.rebalance_run == "r" for r in rows)
+
+
 def test_review_and_retry(spark, files):
     base, (a, _, _), tmp = files
     labels = put(tmp / "labels.csv", "word_id,predicted_level,label\n1,1,1\n2,1,undecided\n")
