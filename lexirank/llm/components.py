@@ -8,34 +8,38 @@ from pyspark.sql import functions as F
 from .storage import discard, materialize
 
 
-def _stars(edges: DataFrame) -> DataFrame:
-    """One large-star and one small-star step over (a, b)."""
+def _stars(edges: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """One large-star and one small-star step over (a, b); and the tables that it reads.
+
+    Least neighbours are tables of their own: a join with one is between two plain shuffles, so a node with very
+    many edges is split by AQE's rule for skewed joins, the other side having one row for it.
+    """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-    down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    near = down.join(least, "a")
-    small = near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-    return small.filter("a <> b").distinct()
+    least = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+    large = both.filter("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+    down = materialize(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "down")
+    under = materialize(down.groupBy("a").agg(F.min("b").alias("m")), "under")
+    near = down.join(under.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return near.unionByName(under.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), [least, down, under]
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of edges (a, b), root being the least node of its component.
 
     Large-star and small-star steps alternate until nothing changes; each round is a written table, in which
-    every component is nearer to a star, so rounds grow with the logarithm of the longest path. Least
-    neighbours are pre-aggregated, so a node with very many edges costs no task more than its share.
+    every component is nearer to a star, so rounds grow with the logarithm of the longest path.
     """
     mark = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first())
     now = materialize(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     before = mark(now)
     while before[0]:
-        new = materialize(_stars(now), "edges")
-        after = mark(new)
-        discard(edges.sparkSession, now)
-        now = new
+        next_, read = _stars(now)
+        new = materialize(next_, "edges")
+        discard(now, *read)
+        after, now = mark(new), new
         if after == before:
             break
         before = after
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    out = materialize(now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()), "components")
+    discard(now)
+    return out

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .storage import materialize
+from .sieve import may_be_among
+from .storage import discard, materialize
 from .textbytes import SPACED, mix, shingles, words
 
 #: Documents, and n-grams, of one block of the matrix; and columns of one product.
@@ -97,8 +98,8 @@ def _longs(values: np.ndarray) -> pa.Array:
 
 
 SKETCH = "key long, doc_id long, n_shingles long, set_id long"
-#: Sets that a task remembers to have given the parts of.
-GIVEN_SETS = 1_000_000
+#: Sets that a task remembers to have given the parts of; parts that it holds before it gives them out.
+GIVEN_SETS, HELD_PARTS = 1_000_000, 2_000_000
 
 
 def _set_ids(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -119,11 +120,29 @@ def _sketcher(k: int):
     return sketch_batches
 
 
+def _parted(parts: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """Of parts that several sets of a task have, only the least set is given out with the part.
+
+    Each of the others has a row with that set, under a part of their own: the pair's hash. So a part that very many
+    sets have comes from a task once, and meets no more rows than there are tasks.
+    """
+    order = np.lexsort((ids, parts))
+    parts, ids = parts[order], ids[order]
+    opens = np.concatenate([[True], parts[1:] != parts[:-1]])
+    first = np.flatnonzero(opens)
+    leader = np.repeat(ids[first], np.diff(np.concatenate([first, [len(ids)]])))
+    pairs = np.unique(np.stack([ids, leader], 1)[ids != leader], axis=0)
+    own = mix(mix(pairs[:, 0]) ^ pairs[:, 1])
+    return pa.RecordBatch.from_arrays([_longs(np.concatenate([parts[first], own, own])), _longs(np.concatenate([ids[first], pairs[:, 0], pairs[:, 1]]))], names=["part", "set_id"])
+
+
 def _parter(k: int, percent: int):
     """Rows (part, set_id) of texts; of equal sets in a task those of the first, as far as it remembers. They are not stored, but shuffled at once."""
 
     def part_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
         for batch in batches:
             for _, sets, bounds in gram_sets(batch.column(0), k):
                 fresh, ids = [], _set_ids(sets, bounds)
@@ -137,7 +156,13 @@ def _parter(k: int, percent: int):
                     continue
                 n = np.diff(bounds)[fresh]
                 values, at = signatures(np.concatenate([sets[bounds[i] : bounds[i + 1]] for i in fresh]), np.concatenate([[0], np.cumsum(n)]), percent)
-                yield pa.RecordBatch.from_arrays([_longs(values), _longs(np.repeat(ids[fresh], np.diff(at)))], names=["part", "set_id"])
+                held.append((values, np.repeat(ids[fresh], np.diff(at))))
+                size += len(values)
+                if size > HELD_PARTS:
+                    yield _parted(*(np.concatenate(x) for x in zip(*held)))
+                    held, size = [], 0
+        if size:
+            yield _parted(*(np.concatenate(x) for x in zip(*held)))
 
     return part_batches
 
@@ -260,13 +285,15 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     With detail also key (document_key() of the row) and group_id, which tells components of null ids apart; null without n-grams.
 
     1. Equal sets become one row of the matrix, so exact copies are never paired.
-    2. Size-derived bounds: sets with a link differ in so few n-grams that of so many parts of their n-grams one is alike.
-       Sets with a like part fall into one cluster; sets of different clusters can have no link.
+    2. Candidates, by size-derived bounds: sets with a link differ in so few n-grams that of so many parts of their
+       n-grams one is alike. Sets with a like part fall into one cluster; sets of different clusters can have no link.
     3. A cluster's rows are dealt into blocks, a few pivots to all of them, and each block of the incidence
        matrix is multiplied by its transpose. Only as many links are given as connect what all links connect.
     4. What step 3 did not join to its cluster's largest component is held against all blocks of the cluster.
        Pairs inside that component need no product: they are connected. So no link is lost, and a group
        of near copies costs its size times what is not near its pivots, not its square.
+
+    Texts are shuffled only of sets in clusters: those of others are held back by a filter of fixed size.
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(document_key(docs, id_col, text_col).alias("key"), docs[id_col].cast("long").alias("doc_id"), text.alias("text"))
@@ -274,29 +301,36 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     found = sketch.filter("n_shingles > 0")
     classes = materialize(found.groupBy("set_id").agg(F.min("doc_id").alias("least"), F.min("key").alias("key"), F.first("n_shingles").alias("n")), "classes")
     in_part = rows.select("text").mapInArrow(_parter(shingle, percent), "part long, set_id long").repartition("part").sortWithinPartitions("part", "set_id")
-    candidates = in_part.mapInArrow(_to_first, "a long, b long").distinct()
-    clusters = connected_components(candidates)
+    clusters = connected_components(in_part.mapInArrow(_to_first, "a long, b long"))
 
-    rank = lambda i: F.min(F.struct(F.xxhash64("set_id", F.lit(i)).alias("h"), "set_id"))["set_id"]
     of_class = materialize(classes.join(clusters.withColumnsRenamed({"node": "set_id", "root": "cluster"}), "set_id").select("cluster", "set_id", "key", "n"), "members")
+    discard(clusters)
+    rank = lambda i: F.min(F.struct(F.xxhash64("set_id", F.lit(i)).alias("h"), "set_id"))["set_id"]
     sizes = of_class.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams"), F.array_distinct(F.array(*[rank(i) for i in range(PIVOTS)])).alias("pivots"))
     sizes = materialize(sizes.withColumn("blocks", F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")), "sizes")
-    dealt = of_class.join(sizes, "cluster")
-    texts = rows.select("key", "text").join(of_class.select("key").hint("merge"), "key", "left_semi").dropDuplicates(["key"])
     own = F.pmod(F.xxhash64("set_id", F.lit("block")), F.col("blocks")).cast("int")
     blocks = F.when(F.array_contains("pivots", F.col("set_id")), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
-    members = materialize(dealt.join(texts, "key").select("cluster", "set_id", "text", "blocks", own.alias("own"), blocks.alias("in_blocks")), "texts")
+    dealt = of_class.join(sizes, "cluster").select("cluster", "set_id", "key", "blocks", own.alias("own"), blocks.alias("in_blocks"))
+    among = may_be_among(of_class, "key")
+    texts = rows.filter(among(F.col("key"))).select("key", "text").dropDuplicates(["key"])
+    members = materialize(dealt.join(texts.hint("merge"), "key").drop("key"), "texts")
 
     inner = members.select("cluster", F.explode("in_blocks").alias("block"), F.lit(0).alias("side"), "set_id", "text")
     edges = materialize(_product(inner, shingle, percent), "links")
+    spent = [of_class, sizes, members, edges]
     if sizes.filter("blocks > 1").limit(1).count():
-        edges = edges.unionByName(_rest(members.filter("blocks > 1"), connected_components(edges), shingle, percent))
-    reached = connected_components(edges).withColumnsRenamed({"node": "set_id"})
-
-    of_class = classes.select("set_id", "least").join(reached, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    least = of_class.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_set = of_class.join(least, "root").select("set_id", "component_id", F.col("root").alias("group_id"))
-    linked = found.join(by_set, "set_id").select("doc_id", "n_shingles", "component_id", "key", "group_id")
+        rest, read = _rest(members.filter("blocks > 1"), connected_components(edges), shingle, percent)
+        edges = edges.unionByName(rest)
+        spent += read
+    reached = connected_components(edges)
+    discard(*spent)
+
+    of_set = classes.select("set_id", "least").join(reached.withColumnsRenamed({"node": "set_id"}), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    of_set = materialize(of_set, "sets")
+    least = materialize(of_set.groupBy("root").agg(F.min("least").alias("component_id")), "least")
+    by_set = materialize(of_set.join(least.hint("merge"), "root").select("set_id", "component_id", F.col("root").alias("group_id")), "groups")
+    discard(classes, reached, of_set, least)
+    linked = found.join(by_set.hint("merge"), "set_id").select("doc_id", "n_shingles", "component_id", "key", "group_id")
     none = F.lit(None).cast("long").alias("group_id")
     out = linked.unionByName(sketch.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "key", none))
     return out if detail else out.drop("key", "group_id")
@@ -317,19 +351,20 @@ def _to_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def _rest(members: DataFrame, reached: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links of sets outside their cluster's largest component with the sets of all its blocks."""
+def _rest(members: DataFrame, reached: DataFrame, k: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Links of sets outside their cluster's largest component with the sets of all its blocks; and the tables that give them."""
     state = members.select("cluster", "set_id").join(reached.withColumnsRenamed({"node": "set_id"}), "set_id", "left")
     state = materialize(state.withColumn("root", F.coalesce("root", "set_id")), "state")
     largest = state.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("cluster").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
-    outside = state.join(largest, "cluster").filter("root <> main").select("cluster", "set_id")
-    chunks = outside.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS).cast("int").alias("chunks"))
+    largest = materialize(largest, "largest")
+    outside = state.join(largest.hint("merge"), "cluster").filter("root <> main").select("cluster", "set_id")
+    chunks = materialize(outside.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS).cast("int").alias("chunks")), "chunks")
     chunk = F.pmod(F.xxhash64("set_id", F.lit("chunk")), F.col("chunks")).cast("int")
-    outside = materialize(outside.join(chunks, "cluster").withColumn("chunk", chunk), "outside")
+    outside = materialize(outside.join(chunks.hint("merge"), "cluster").withColumn("chunk", chunk), "outside")
     name = lambda block, c: (F.col(block).cast("long") * (1 << 31) + F.col(c)).alias("block")
     right = members.join(outside.select("set_id", "chunk"), "set_id").withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    left = members.join(chunks, "cluster").withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    left = members.join(chunks.hint("merge"), "cluster").withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     pairs = left.select("cluster", name("own", "c"), F.lit(0).alias("side"), "set_id", "text").unionByName(
         right.select("cluster", name("b", "chunk"), F.lit(1).alias("side"), "set_id", "text")
     )
-    return _product(pairs, k, percent)
+    return _product(pairs, k, percent), [reached, state, largest, chunks, outside]

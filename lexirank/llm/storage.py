@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset, as in tests, a new temporary one, set for later calls."""
+    """The folder of spark.checkpoint.dir; where that is unset, and all runs on this machine as in tests, a new temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_lexirank_dir", None)
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lexirank-")
         spark._lexirank_dir = found
     return found.rstrip("/")
@@ -35,12 +37,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage ends there, and lost executors lose nothing."""
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._lexirank_path = path
+    return out
 
 
-def discard(spark: SparkSession, *frames: DataFrame) -> None:
+def discard(*frames: DataFrame) -> None:
     """Delete the files of tables that materialize() gave, once nothing reads them."""
     for df in frames:
-        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(file)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._lexirank_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
