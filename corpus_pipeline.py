@@ -10,6 +10,7 @@ from lexirank.llm.ngram_join import document_key, link_components
 from lexirank.llm.packing import pack
 from lexirank.llm.queries import table, tokenizer_path
 from lexirank.llm.secrets import redacted, secret_spans
+from lexirank.llm.sieve import may_be_among
 from lexirank.llm.storage import importable, materialize
 from lexirank.llm.toxicity import THRESHOLD, score, train
 
@@ -30,16 +31,25 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, similarity of 0.8 or more) the document with the smallest id.
 
-    Documents without words are no duplicates of each other and stay; rows that repeat id and text are one document.
-    Of a group a document with an id stays before one without; of several with that id that of the least hash.
+    Documents without words are no duplicates of each other and all stay; rows with words that repeat id and text are
+    one document. Of a group a document with an id stays before one without; of several with that id that of the
+    least hash. Only rows that may have to go are shuffled; the others are told by a filter of fixed size.
     """
     importable(spark)
     found = link_components(docs, shingle=5, percent=80, detail=True).filter("group_id is not null")
+    found = materialize(found.select("doc_id", "key", "group_id"), "found")
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
-    keepers = found.groupBy("group_id").agg(F.min_by("key", rank).alias("keeper"))
-    gone = found.join(keepers, "group_id").filter("key <> keeper").select(F.col("key").alias("_key")).distinct()
+    keepers = materialize(found.groupBy("group_id").agg(F.min_by("key", rank).alias("keeper")), "keepers")
+    gone = found.join(keepers.hint("merge"), "group_id").filter("key <> keeper").select("key", "doc_id").distinct()
+    gone = materialize(gone.withColumnsRenamed({"key": "_key", "doc_id": "_id"}), "gone")
+    repeated = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    may_go = may_be_among(gone.select(F.col("_key").alias("key")).unionByName(repeated), "key")
     rows = docs.withColumn("_key", document_key(docs))
-    return rows.join(gone.hint("merge"), "_key", "left_anti").dropDuplicates(["_key"]).select(*docs.columns)
+    rows = rows.select(F.struct(*[rows[c] for c in docs.columns]).alias("doc"), "_key", (may_go(F.col("_key")) & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))).alias("_may"))
+    asked = rows.filter("_may").withColumns({"_id": F.col("doc.doc_id").cast("long"), "_text": F.col("doc.text").cast("string")})
+    same = (asked["_key"] == gone["_key"]) & asked["_id"].eqNullSafe(gone["_id"])
+    left = asked.join(gone.hint("merge"), same, "left_anti").dropDuplicates(["_key", "_id", "_text"])
+    return rows.filter("not _may").select("doc").unionByName(left.select("doc")).select(*_columns_of(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
