@@ -37,28 +37,29 @@ def size_classes(percent: int, upto: int) -> tuple[int, ...]:
 def parts_of_level(percent: int, least: int) -> tuple[int, int]:
     """For pairs whose smaller set is less than `least`: how many n-grams can stand in one set alone, and parts.
 
-    With d such n-grams at most, all but d parts of the n-grams are alike in both sets, so of d + 1 parts that
-    one of the sets fills, one is alike. A few parts more make up for parts that stay empty by chance.
+    With d such n-grams at most, all but d parts of the n-grams are alike in both sets. Parts are more than d by
+    enough to make up for those that stay empty by chance, and by a sixth, so that of a link many parts are alike.
     """
     d = (least - 1) * (100 - percent) // percent
     empty = math.exp(-percent * percent / (100.0 * (100 - percent))) if percent < 100 else 0.0
-    return d, d + 2 + math.ceil(1.5 * empty * (d + 1))
+    return d, d + 2 + d // 6 + math.ceil(1.5 * empty * (d + 1))
 
 
-def signatures(sets: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of parts of sets of n-grams (distinct, of document i: bounds[i]..bounds[i+1]), and their bounds.
+def signatures(sets: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sets of n-grams (distinct, of document i: bounds[i]..bounds[i+1]): hashes of their parts, whose each is, and spares.
 
-    Sets with a link have one in common, unless they are equal.
+    A set has parts on two levels; whose: 2 * i + level. spares[whose]: so many parts of a set on one level, and more,
+    it has in common with any set that it is linked with on that level, unless they are equal.
     """
     n = np.diff(bounds)
     if not len(n) or not n.max():
-        return np.zeros(0, np.uint64), np.zeros(len(n) + 1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(2 * len(n), np.int64)
     classes = np.array(size_classes(percent, 1 << int(n.max()).bit_length()))
     own = np.searchsorted(classes, n, side="right") - 1
     doc = np.repeat(np.arange(len(n)), n)
     spread = (mix(sets ^ _PART) >> np.uint64(32)).astype(np.int64)
     weight = mix(sets * np.uint64(3) + _PART)
-    values, docs = [], []
+    values, whose, spares = [], [], np.zeros((len(n), 2), np.int64)
     for step in (0, 1):
         level = np.maximum(own + step, 0)
         table = np.array([parts_of_level(percent, int(x)) for x in classes[: level.max() + 1]])
@@ -74,15 +75,14 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.n
         np.add.at(sums, cell, weight[at])
         filled = np.bincount(cell, minlength=total) > 0
         cell_doc = np.repeat(np.arange(len(n)), parts)
-        enough = np.bincount(cell_doc[filled], minlength=len(n)) > differ
-        out = np.flatnonzero(filled | ~enough[cell_doc])
+        count = np.bincount(cell_doc[filled], minlength=len(n))
+        spares[:, step] = np.maximum(count - differ, 1)
+        out = np.flatnonzero(filled | (count <= differ)[cell_doc])  # a set with too few filled parts has its empty ones as well
         d = cell_doc[out]
         name = mix((level[d].astype(np.uint64) << np.uint64(40)) + (out - first[d]).astype(np.uint64))
         values.append(mix(sums[out] + name))
-        docs.append(d)
-    docs_, values_ = np.concatenate(docs), np.concatenate(values)
-    order = np.argsort(docs_, kind="stable")
-    return values_[order], np.searchsorted(docs_[order], np.arange(len(n) + 1))
+        whose.append(2 * d + step)
+    return np.concatenate(values), np.concatenate(whose), spares.ravel()
 
 
 def gram_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -99,7 +99,10 @@ def _longs(values: np.ndarray) -> pa.Array:
 
 SKETCH = "key long, doc_id long, n_shingles long, set_id long"
 #: Sets that a task remembers to have given the parts of; parts that it holds before it gives them out.
-GIVEN_SETS, HELD_PARTS = 1_000_000, 2_000_000
+GIVEN_SETS, HELD_PARTS = 1_000_000, 1_500_000
+#: Parts of one range, about: what a task holds at a time to find those that are alike. A part that more of the sets
+#: that a task holds have is a common one.
+RANGE_PARTS, COMMON = 1_000_000, 128
 
 
 def _set_ids(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -120,29 +123,67 @@ def _sketcher(k: int):
     return sketch_batches
 
 
-def _parted(parts: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    """Of parts that several sets of a task have, only the least set is given out with the part.
+def part_bits(sets: int) -> int:
+    """Bits of a part's hash that are kept: of sets that have nothing in common, about one in a thousand has a like part by chance."""
+    return min(62, 26 + max(sets, 1).bit_length())
 
-    Each of the others has a row with that set, under a part of their own: the pair's hash. So a part that very many
-    sets have comes from a task once, and meets no more rows than there are tasks.
-    """
-    order = np.lexsort((ids, parts))
-    parts, ids = parts[order], ids[order]
-    opens = np.concatenate([[True], parts[1:] != parts[:-1]])
-    first = np.flatnonzero(opens)
-    leader = np.repeat(ids[first], np.diff(np.concatenate([first, [len(ids)]])))
-    pairs = np.unique(np.stack([ids, leader], 1)[ids != leader], axis=0)
-    own = mix(mix(pairs[:, 0]) ^ pairs[:, 1])
-    return pa.RecordBatch.from_arrays([_longs(np.concatenate([parts[first], own, own])), _longs(np.concatenate([ids[first], pairs[:, 0], pairs[:, 1]]))], names=["part", "set_id"])
 
+def packed_parts(parts: np.ndarray, whose: np.ndarray, ids: np.ndarray, spares: np.ndarray, bits: int, ranges: int) -> pa.RecordBatch:
+    """Rows (range, parts): the parts of a range of hashes, of several sets of a task, in order, and their sets.
 
-def _parter(k: int, percent: int):
-    """Rows (part, set_id) of texts; of equal sets in a task those of the first, as far as it remembers. They are not stored, but shuffled at once."""
+    whose: of each part; ids and spares (twice the number, and the level): by whose. Of a common part the range learns only
+    that it is one; the sets that have it go out under ranges of a second kind, dealt by part and task, so no task
+    gets them all.
+    """
+    parts = parts >> np.uint64(64 - bits)
+    order = np.argsort(parts, kind="stable")
+    parts, whose = parts[order], whose[order]
+    first = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]]))
+    size = np.diff(np.append(first, len(parts)))
+    common = size > COMMON
+    inside = np.repeat(common, size)
+    of_common, owners = parts[inside], whose[inside]
+    lead = np.repeat(ids[whose[first[common]]], size[common])
+    mark = first[common]
+    whose[mark], inside[mark] = len(ids), False  # the mark of a common part has no set and no spares
+    ids, spares = np.append(ids, np.uint64(0)), np.append(spares, np.uint32(0))
+    width = -(-(1 << bits) // ranges)
+    second = ranges + (mix(of_common ^ mix(lead)) % np.uint64(ranges)).astype(np.int64)
+    order = np.lexsort((of_common, second))
+    which = np.concatenate([(parts[~inside] // np.uint64(width)).astype(np.int64), second[order]])
+    parts, whose = np.concatenate([parts[~inside], of_common[order]]), np.concatenate([whose[~inside], owners[order]])
+    edges = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1], [True]]))
+    out = []
+    for a, b in zip(edges[:-1], edges[1:]):
+        there = np.bincount(whose[a:b], minlength=len(ids)) > 0
+        number = (np.cumsum(there) - 1).astype(np.uint32)
+        steps = np.diff(parts[a:b], prepend=np.uint64(which[a] * width if which[a] < ranges else 0))
+        planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes() for x in (ids[there], spares[there], steps, number[whose[a:b]])]
+        raw = b"".join([np.array([b - a, there.sum()], np.uint32).tobytes(), *planes])
+        out.append(np.uint64(len(raw)).tobytes() + pa.compress(raw, codec="zstd", asbytes=True))
+    return pa.RecordBatch.from_arrays([pa.array(which[edges[:-1]]), pa.array(out, pa.binary())], names=["range", "parts"])
+
+
+def unpacked_parts(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Parts, from the start of their range, sets and spares of a row that packed_parts() gave."""
+    raw = pa.decompress(packed[8:], int(np.frombuffer(packed[:8], np.uint64)[0]), codec="zstd", asbytes=True)
+    n, m = np.frombuffer(raw[:8], np.uint32).tolist()
+
+    def plane(count: int, kind: type, at: int) -> np.ndarray:
+        size = np.dtype(kind).itemsize
+        return np.ascontiguousarray(np.frombuffer(raw, np.uint8, count * size, at).reshape(size, count).T).view(kind)[:, 0]
+
+    at = plane(n, np.uint32, 8 + 12 * m + 8 * n)
+    return np.cumsum(plane(n, np.uint64, 8 + 12 * m)), plane(m, np.uint64, 8)[at], plane(m, np.uint32, 8 + 8 * m)[at]
+
+
+def _parter(k: int, percent: int, bits: int, ranges: int):
+    """Rows of packed_parts() of texts; of equal sets in a task those of the first, as far as it remembers. They are not stored, but shuffled at once."""
 
     def part_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+        held: list[tuple[np.ndarray, ...]] = []
+        size = owners = 0
         for batch in batches:
             for _, sets, bounds in gram_sets(batch.column(0), k):
                 fresh, ids = [], _set_ids(sets, bounds)
@@ -155,18 +196,82 @@ def _parter(k: int, percent: int):
                 if not fresh:
                     continue
                 n = np.diff(bounds)[fresh]
-                values, at = signatures(np.concatenate([sets[bounds[i] : bounds[i + 1]] for i in fresh]), np.concatenate([[0], np.cumsum(n)]), percent)
-                held.append((values, np.repeat(ids[fresh], np.diff(at))))
+                values, whose, spares = signatures(np.concatenate([sets[bounds[i] : bounds[i + 1]] for i in fresh]), np.concatenate([[0], np.cumsum(n)]), percent)
+                held.append((values, owners + whose, np.repeat(ids[fresh], 2), (2 * spares + np.arange(len(spares)) % 2).astype(np.uint32)))
                 size += len(values)
+                owners += 2 * len(fresh)
                 if size > HELD_PARTS:
-                    yield _parted(*(np.concatenate(x) for x in zip(*held)))
-                    held, size = [], 0
+                    yield packed_parts(*(np.concatenate(x) for x in zip(*held)), bits, ranges)
+                    held, size, owners = [], 0, 0
         if size:
-            yield _parted(*(np.concatenate(x) for x in zip(*held)))
+            yield packed_parts(*(np.concatenate(x) for x in zip(*held)), bits, ranges)
 
     return part_batches
 
 
+ALIKE = "part long, set_id long, spares int, sets int"
+_MANY = np.iinfo(np.int32).max
+
+
+def _alike(bits: int, ranges: int):
+    """Of rows of packed_parts(), sorted by range: (part, set, spares, how many sets have the part) of parts that several sets have."""
+    width = -(-(1 << bits) // ranges)
+
+    def found(which: int, held: list[bytes]) -> pa.RecordBatch:
+        parts, ids, spares = (np.concatenate(x) for x in zip(*map(unpacked_parts, held)))
+        if which < ranges:  # most parts are of one set alone and go first
+            order = np.argsort(parts, kind="stable")
+            parts = parts[order]
+            same = parts[1:] == parts[:-1]
+            again = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+            parts, order = parts[again] + np.uint64(which * width), order[again]
+            ids, spares = ids[order], spares[order]
+        order = np.lexsort((spares, ids, parts))
+        parts, ids, spares = parts[order], ids[order], spares[order]
+        fresh = np.ones(len(parts), dtype=bool)
+        fresh[1:] = (parts[1:] != parts[:-1]) | (ids[1:] != ids[:-1]) | (spares[1:] != spares[:-1])
+        parts, ids, spares = parts[fresh], ids[fresh], spares[fresh]
+        size = np.full(len(parts), _MANY)
+        if which < ranges and len(parts):
+            first = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]]))
+            count = np.diff(np.append(first, len(parts)))
+            size = np.repeat(np.where(np.minimum.reduceat(spares, first) == 0, _MANY, count), count)  # no set's spares are 0: that is the mark of a common part
+        keep = (size > 1) & (spares > 0)
+        arrays = [_longs(parts[keep]), _longs(ids[keep]), pa.array(spares[keep].astype(np.int32)), pa.array(size[keep].astype(np.int32))]
+        return pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in ALIKE.split(", ")])
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for name, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if name != now and held:
+                    yield found(now, held)
+                    held = []
+                now = name
+                held.append(packed.as_py())
+        if held:
+            yield found(now, held)
+
+    return alike
+
+
+def candidate_edges(rows: DataFrame, k: int, percent: int, sets: int, grams: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Edges (a, b) over sets that connect any two with a link, unless they are equal; and the tables that they are read from.
+
+    Of a set's parts on a level that other sets have as well, the most common ones but spares - 1 of them are left out:
+    a link has `spares` or more in common, so of those that both sets have the rarest is kept by both. What very many
+    texts share, lines or passages, thus makes no candidates, unless a text holds little else.
+    """
+    bits, ranges = part_bits(sets), max(1, grams * (100 - percent) // 35 // RANGE_PARTS)
+    packed = rows.select("text").mapInArrow(_parter(k, percent, bits, ranges), "range long, parts binary").repartition("range").sortWithinPartitions("range")
+    alike = materialize(packed.mapInArrow(_alike(bits, ranges), ALIKE), "alike")
+    by_set = alike.groupBy("set_id", "spares").agg(F.sort_array(F.collect_set(F.struct("sets", "part")), asc=False).alias("parts"))
+    kept = by_set.select("set_id", F.explode(F.slice("parts", F.floor(F.col("spares") / 2).cast("int"), F.greatest(F.size("parts"), F.lit(1)))["part"]).alias("part"))
+    kept = materialize(kept, "kept")
+    least = materialize(kept.groupBy("part").agg(F.min("set_id").alias("b")), "rarest")
+    return kept.join(least.hint("merge"), "part").select(F.col("set_id").alias("a"), "b").filter("a <> b"), [alike, kept, least]
+
+
 def overlap_links(sets: list[np.ndarray], others: list[np.ndarray] | None, percent: int) -> np.ndarray:
     """Pairs (i, j) of linked sets: i < j of sets, or i of sets and j of others.
 
@@ -286,7 +391,8 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     1. Equal sets become one row of the matrix, so exact copies are never paired.
     2. Candidates, by size-derived bounds: sets with a link differ in so few n-grams that of so many parts of their
-       n-grams one is alike. Sets with a like part fall into one cluster; sets of different clusters can have no link.
+       n-grams some are alike. Sets that have one of their rarer parts in common fall into one cluster; sets of
+       different clusters can have no link.
     3. A cluster's rows are dealt into blocks, a few pivots to all of them, and each block of the incidence
        matrix is multiplied by its transpose. Only as many links are given as connect what all links connect.
     4. What step 3 did not join to its cluster's largest component is held against all blocks of the cluster.
@@ -300,8 +406,10 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sketch = materialize(rows.mapInArrow(_sketcher(shingle), SKETCH), "sketch")
     found = sketch.filter("n_shingles > 0")
     classes = materialize(found.groupBy("set_id").agg(F.min("doc_id").alias("least"), F.min("key").alias("key"), F.first("n_shingles").alias("n")), "classes")
-    in_part = rows.select("text").mapInArrow(_parter(shingle, percent), "part long, set_id long").repartition("part").sortWithinPartitions("part", "set_id")
-    clusters = connected_components(in_part.mapInArrow(_to_first, "a long, b long"))
+    sets, grams = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    candidates, read = candidate_edges(rows, shingle, percent, sets, grams)
+    clusters = connected_components(candidates)
+    discard(*read)
 
     of_class = materialize(classes.join(clusters.withColumnsRenamed({"node": "set_id", "root": "cluster"}), "set_id").select("cluster", "set_id", "key", "n"), "members")
     discard(clusters)
@@ -336,21 +444,6 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return out if detail else out.drop("key", "group_id")
 
 
-def _to_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by part and set: each set of a part after the first, with the first."""
-    part, first = None, None
-    for batch in batches:
-        parts, sets = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if not len(parts):
-            continue
-        opens = np.concatenate([[part is None or parts[0] != part], parts[1:] != parts[:-1]])
-        at = np.maximum.accumulate(np.where(opens, np.arange(len(parts)), -1))
-        leader = np.where(at >= 0, sets[np.maximum(at, 0)], first if first is not None else 0)
-        part, first = parts[-1], leader[-1]
-        pairs = np.unique(np.stack([sets, leader], 1)[sets != leader], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-
 def _rest(members: DataFrame, reached: DataFrame, k: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
     """Links of sets outside their cluster's largest component with the sets of all its blocks; and the tables that give them."""
     state = members.select("cluster", "set_id").join(reached.withColumnsRenamed({"node": "set_id"}), "set_id", "left")

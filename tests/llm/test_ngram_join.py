@@ -79,3 +79,29 @@ def test_any_rows(spark, docs, empty):
     got = J.link_components(docs, shingle=3, percent=90)
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 3, 90)
     assert J.link_components(empty).count() == 0
+
+
+def test_common_parts_reach_every_set(spark, monkeypatch):
+    """Parts that many sets of a task have go by ranges of their own, and no link is lost."""
+    monkeypatch.setattr(J, "COMMON", 3)
+    rows = near_copies(21, groups=4, members=40, length=50, edits=2)
+    got = J.link_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), shingle=3, percent=90)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 3, 90)
+
+
+def test_lines_that_many_texts_share_make_no_clusters(spark):
+    rng = random.Random(3)
+    lines = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(50)) for _ in range(9)) for _ in range(3)]
+    rows = []
+    for i in range(300):
+        own = [f"v{i}x{j}" for j in range(rng.randint(60, 90))]
+        at = rng.randrange(len(own))
+        rows.append((i, " ".join(own[:at] + [rng.choice(lines)] + own[at:])))
+    rows += [(1000 + i, t + " more") for i, t in rows[:20]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = docs.select("text")
+    edges, _ = J.candidate_edges(texts, 5, 80, len(rows), 80 * len(rows))
+    clusters = connected_components(edges).groupBy("root").count().collect()
+    assert len(clusters) >= 20 and max(r["count"] for r in clusters) < 10
+    got = J.link_components(docs, shingle=5, percent=80)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 5, 80)
