@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import base64
-import contextlib
-import ctypes
 import math
 import pickle
 import zlib
@@ -25,8 +23,10 @@ WINDOW_WORDS = 8
 #: Bytes of the trained dictionaries.
 TOXIC_BYTES, ORDINARY_BYTES = 4096, 8192
 #: The labelled rows that a model is fitted to: so many of each label at most, by the order of a hash of the
-#: id, and of those texts of up to so many characters.
-TOXIC_ROWS, ORDINARY_ROWS, ROW_CHARS = 3000, 7000, 100_000
+#: id, and of those texts of up to so many characters, until they have so many together, by the order of the id's crc.
+TOXIC_ROWS, ORDINARY_ROWS, ROW_CHARS, FIT_CHARS = 3000, 7000, 100_000, 80_000_000
+#: Windows of ordinary texts that the ordinary dictionary is trained on, at most: every nth of all of them.
+TRAINED_WINDOWS = 200_000
 #: A run of words tells toxic text when it is in so many toxic texts that, at its rate in ordinary text, one in a
 #: hundred times any run of its size at all would be in so many by chance. Runs have up to so many words.
 CHANCE, RUN_WORDS = 0.01, WINDOW_WORDS
@@ -145,31 +145,38 @@ def _telling(toxic: list[tuple[bytes, np.ndarray]], ordinary: list[tuple[bytes,
     return sorted(found, key=lambda run: (found[run], -len(run), run))
 
 
-def _joined(runs: list[bytes], size: int) -> bytes:
-    """As many of the runs as fit, none inside another one, the first of them last: each with a space on both sides."""
-    out = b" "
-    for run in runs:
-        if b" " + run + b" " not in out and len(run) + 1 + len(out) <= size:
-            out = b" " + run + out
-    return out if len(out) > 1 else b""
+def _passages(texts: list[tuple[bytes, np.ndarray]], runs: list[bytes]) -> Iterator[bytes]:
+    """Every place where a text holds one of the runs, with the spaces around it."""
+    known = set(runs)
+    for text, _ in texts:
+        w = text.split()
+        for n in range(1, RUN_WORDS + 1):
+            for i in range(len(w) - n + 1):
+                run = b" ".join(w[i : i + n])
+                if run in known:
+                    yield b" " + run + b" "
+
+
+#: What a dictionary's content may be preceded by, in bytes: the tables of its format.
+_TABLES = 1500
 
 
-def _trained(samples: list[bytes], size: int) -> bytes:
+def _trained(samples: list[bytes], size: int, **how: int) -> bytes:
     """The content that the library's trainer picks; of too little text to train on, the text itself."""
     import zstandard
 
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes()[-size + 300 :]
+        return zstandard.train_dictionary(size + _TABLES, samples, **how).as_bytes()[-size:]
     except zstandard.ZstdError:
         return b"".join(dict.fromkeys(samples))[-size:]
 
 
 @dataclass
 class ToxicityModel:
-    """Two dictionaries and the weights of a document's features.
+    """Two dictionaries, each trained on text of its own kind, and the weights of a document's features.
 
-    The toxic dictionary is the ordinary one with runs of words that tell toxic text put before it, so that a window
-    which holds nothing of the latter has the same length under both.
+    A window's toxic length is that with the toxic dictionary before the ordinary one, so that a window which
+    holds nothing of the former has the same length under both.
     """
 
     toxic: bytes = b""
@@ -189,7 +196,7 @@ class ToxicityModel:
             self._pair = []
             for content in (self.ordinary + ANCHOR, self.toxic + self.ordinary + ANCHOR):
                 p = z.ZstdCompressionParameters(
-                    window_log=15, hash_log=12, chain_log=13, search_log=5, target_length=64, strategy=z.STRATEGY_LAZY2, min_match=4,
+                    window_log=16, hash_log=13, chain_log=14, search_log=6, target_length=64, strategy=z.STRATEGY_LAZY2, min_match=4,
                     write_content_size=1, write_checksum=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS,
                 )
                 d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
@@ -207,7 +214,8 @@ class ToxicityModel:
         gains = self.gains(windows(text, spaces) or [b""])
         top = np.sort(gains)[-3:]
         up = np.maximum(gains, 0)
-        return [float(top[-1]), float(top.sum()), float(np.log1p(100 * up.mean())), float(np.log1p((gains >= 2).sum())), float(np.log1p((gains >= 4).sum())), float(np.log1p(len(gains)))]
+        more = [float(np.log1p((gains >= least).sum())) for least in (3, 6)]
+        return [float(top[-1]), float(top.sum()), float(np.log1p(100 * up.mean())), *more, float(np.log1p(len(gains))), float(gains.mean())]
 
     def score(self, features: np.ndarray) -> np.ndarray:
         if not self.weights:
@@ -216,26 +224,27 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(rows: list[tuple[int, str, int, int]], counts: dict[int, int]) -> ToxicityModel:
+def fit(rows: Iterable[tuple[int, str, int]], counts: dict[int, int]) -> ToxicityModel:
     """A model from (crc, text, label) rows: dictionaries from two thirds of them by crc, weights from the others.
 
-    The list of rows is emptied. counts: how many labels of each kind there are, to which the sample's are weighted. With only one kind of
-    label every score is that kind's share.
+    counts: how many labels of each kind there are, to which the sample's are weighted. With only one kind of
+    label every score is that kind's share. The toxic dictionary is trained on those passages of toxic texts that tell
+    them from ordinary ones: trained on all their windows, which are ordinary ones mostly, it tells little.
     """
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.0
-    marks = [(r[0] // 3 % 3 != 0, r[2]) for r in rows]
-    texts = pa.array([r[1] for r in rows], type=pa.string())
-    rows.clear()  # the texts stay in one form only
-    cleaned = [(own, label, c) for (own, label), c in zip(marks, clean_texts(texts))]
-    del texts
+    rows, cleaned = iter(rows), []
+    while part := list(islice(rows, 256)):  # texts stay in one form only
+        texts = clean_texts(pa.array([r[1] for r in part], type=pa.string()))
+        cleaned += [(r[0] // 3 % 3 != 0, r[2], c) for r, c in zip(part, texts)]
     toxic = _apart([c for own, label, c in cleaned if own and label == 1])
     ordinary = _apart([c for own, label, c in cleaned if own and label == 0])
     if not toxic or not ordinary:
         return ToxicityModel(prior=prior)
+    nth = -(-sum(-(-len(spaces) // WINDOW_WORDS) for _, spaces in ordinary) // TRAINED_WINDOWS) or 1
     model = ToxicityModel(
-        _joined(_telling(toxic, ordinary), TOXIC_BYTES),
-        _trained(list(islice((w for t in ordinary for w in windows(*t)), 200_000)), ORDINARY_BYTES),
+        _trained(list(_passages(toxic, _telling(toxic, ordinary))), TOXIC_BYTES, k=64, d=8),
+        _trained(list(islice((w for t in ordinary for w in windows(*t)), 0, None, nth)), ORDINARY_BYTES),
         prior=prior,
     )
     held = [(label, c) for own, label, c in cleaned if not own] or [(label, c) for _, label, c in cleaned]
@@ -264,9 +273,10 @@ def crc_of(id_col: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """A model from labelled documents; may_learn (of doc_id) tells which labels may be seen.
 
-    Rows with a null id or label, or a label that isn't 0 or 1, tell nothing; a null text is the empty one.
+    Rows with a null id or label, or a label that isn't 0 or 1, tell nothing; a null text is the empty one. Of
+    documents with one id the one with the least hash counts; labels that repeat count once.
     """
-    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter("doc_id is not null and label in (0, 1)")
+    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter("doc_id is not null and label in (0, 1)").distinct()
     known = known.filter(may_learn) if may_learn is not None else known
     counts = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     picked = None
@@ -274,12 +284,19 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, *
         some = known.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         picked = some if picked is None else picked.unionByName(some)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).filter(F.length("text") <= ROW_CHARS)
-    found = texts.join(F.broadcast(picked), "doc_id").select(crc_of(F.col("doc_id")).alias("crc"), "text", "label", "doc_id")
-    rows = sorted((r[0], r[1], r[2], r[3]) for r in found.toLocalIterator())
-    model = fit(rows, counts)
+    found = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    found = found.select(crc_of(F.col("doc_id")).alias("crc"), "text", "label", "doc_id").orderBy("crc", "doc_id", "label")
+
+    def within() -> Iterator[tuple[int, str, int]]:
+        chars = 0
+        for crc, text, label, _ in found.toLocalIterator():
+            chars += len(text)
+            if chars > FIT_CHARS:
+                return
+            yield crc, text, label
+
+    model = fit(within(), counts)
     pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL("libc.so.6").malloc_trim(0)  # what the sample took goes back: a driver lives long
     return model
 
 
