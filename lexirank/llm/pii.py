@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,24 +18,36 @@ from .storage import materialize
 
 #: Entities drawn again that every task holds; more of them reach their documents by a join.
 HELD_REDRAWS = 100_000
-#: Rounds of drawing again before the collision check gives up.
-MOST_ROUNDS = 12
 
-# Titles that tell gender, and given names by gender and script, all public knowledge.
+# Titles with the gender that they tell, if they do, and given names by gender and script, all public knowledge.
 TITLES = {
-    "Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Frau": "f", "Monsieur": "m", "Madame": "f", "Mme": "f",
-    "Señor": "m", "Señora": "f", "Signor": "m", "Signora": "f", "Господин": "m", "Госпожа": "f",
+    "Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Sir": "m", "Dr": "", "Prof": "", "Professor": "", "Herr": "m", "Frau": "f", "Monsieur": "m", "Madame": "f",
+    "Mme": "f", "Mlle": "f", "Señor": "m", "Señora": "f", "Señorita": "f", "Don": "m", "Doña": "f", "Signor": "m", "Signora": "f", "Господин": "m", "Госпожа": "f",
+    "Κύριος": "m", "Κυρία": "f",
 }
 GIVEN = {
     ("latin", "f"): "Alma Anna Berta Carla Clara Diana Elena Emma Flora Greta Helga Ida Julia Laura Lena Maria Mona Nina Nora Olga Paula Rosa Sara Tina Vera".split(),
     ("latin", "m"): "Adam Anton Bruno Carl David Emil Erik Felix Georg Hans Hugo Ivan Jakob Karl Leon Marco Max Nils Oscar Otto Paul Peter Rolf Simon Viktor".split(),
     ("cyrillic", "f"): "Анна Вера Галина Дарья Елена Зоя Инна Ирина Лидия Мария Нина Ольга Роза София Тамара".split(),
+    ("greek", "f"): "Αθηνά Άννα Ελένη Ειρήνη Ζωή Κατερίνα Μαρία Νίκη Σοφία".split(),
+    ("greek", "m"): "Αλέξης Γιώργος Δημήτρης Ηλίας Κώστας Νίκος Παύλος Πέτρος Σταύρος".split(),
     ("cyrillic", "m"): "Антон Борис Виктор Глеб Денис Егор Иван Игорь Лев Максим Олег Павел Роман Семён Юрий".split(),
 }
 _LETTERS = {
     "latin": ("bcdfghklmnprstvz", "aeiou"),
     "cyrillic": ("бвгдзклмнпрст", "аеиоу"),
+    "greek": ("βγδζκλμνπρστ", "αεηιο"),
+    "hebrew": ("בגדזחטכלמנספצקרשת", "אהוי"),
+    "arabic": ("بتثجحدرزسشصطعفقكلمن", "اوي"),
+    "devanagari": ("कखगघचछजटडतदनपबभमरलवसह", "अइउएओ"),
+    "kana": ("カキクケサシスセタツテナニネ", "アイウエオ"),
+    "hangul": ("가나다라마바사아자차", "고노도로모보소오조초"),
+    "han": ("王李张刘陈杨赵黄周吴徐孙朱马胡", "安平文明华国建林"),
 }
+_BLOCKS = (
+    ("cyrillic", 0x0400, 0x052F), ("greek", 0x0370, 0x03FF), ("hebrew", 0x0590, 0x05FF), ("arabic", 0x0600, 0x06FF), ("devanagari", 0x0900, 0x097F),
+    ("kana", 0x3040, 0x30FF), ("hangul", 0xAC00, 0xD7A3), ("han", 0x4E00, 0x9FFF),
+)
 
 _FINDERS = (
     ("email", re.compile(r"(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}\b"), "@"),
@@ -46,23 +60,107 @@ _FINDERS = (
         r"|(?<![\w.+-])(?:0\d{1,4}[ -]\d{5,8}|0\d{9,10}|[2-9]\d{9})(?![\w-]|\.\d)"  # national, in two groups or one
     ), None),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), "-"),
-    ("name", re.compile(r"\b(?:" + "|".join(TITLES) + r")\b\.?[  ]+(?:[^\W\d_a-zа-я][^\W\d_]+)(?:[ -][^\W\d_a-zа-я][^\W\d_]+){0,2}"), None),
+    ("name", re.compile(r"\b(?:" + "|".join(TITLES) + r")\b\.?[  ]+(?:[^\W\d_a-zа-яα-ω][^\W\d_]+)(?:[ -][^\W\d_a-zа-яα-ω][^\W\d_]+){0,2}"), None),
 )
 _ANY_DIGIT = re.compile(r"\d[\d .()-]{5}")
 _ANY_TITLE = re.compile("|".join(TITLES))
 
 
+class Mention(NamedTuple):
+    """A place in a text, and whom or what it names. part: of a name, the whole or its last word alone."""
+
+    start: int
+    end: int
+    kind: str
+    entity: str
+    gender: str
+    part: str = "whole"
+
+    @property
+    def name(self) -> tuple[str, str, str]:
+        return self.kind, self.entity, self.gender
+
+
+_HEAD = re.compile(r"(\w+)\.?[\u0020\u00a0]+")
+_CAPITAL = re.compile(r"[^\W\d_a-zа-яα-ω][^\W\d_]+")
+
+
 def find_entities(text: str) -> list[tuple[int, int, str]]:
     """Spans (start, end, kind) of entities, apart, in order; of overlapping ones that found first in the order of kinds."""
+    starts: list[int] = []
     found: list[tuple[int, int, str]] = []
     digits, title = _ANY_DIGIT.search(text), _ANY_TITLE.search(text)
     for kind, pattern, needs in _FINDERS:
         if needs and needs not in text or kind == "name" and not title or kind not in ("email", "name") and not digits:
             continue
+        fresh = []
         for m in pattern.finditer(text):
-            if not any(m.start() < b and a < m.end() for a, b, _ in found):
-                found.append((m.start(), m.end(), kind))
-    return sorted(found)
+            i = bisect.bisect_right(starts, m.start())
+            if not (i and found[i - 1][1] > m.start() or i < len(found) and starts[i] < m.end()):
+                fresh.append((m.start(), m.end(), kind))
+        if fresh:
+            found = sorted(found + fresh)
+            starts = [a for a, _, _ in found]
+    return found
+
+
+def mentions(text: str) -> list[Mention]:
+    """The entities of a text, in order.
+
+    A title with a last name alone is a mention of the person of the text who has it as last name, if one does: of
+    several of the title's gender the one named last before it, or first after it. Once a person has been
+    named with a title, the name, and its last word by itself, are mentions of that person too.
+    """
+    found = [Mention(a, b, kind, canonical(kind, text[a:b]), TITLES[_HEAD.match(text[a:b])[1]] if kind == "name" else "") for a, b, kind in find_entities(text)]
+    people = [m for m in found if m.kind == "name"]
+    if not people:
+        return found
+    whole: dict[str, list[Mention]] = {}
+    for m in people:
+        if " " in m.entity or "-" in m.entity:
+            whole.setdefault(re.split("[ -]", m.entity)[-1], []).append(m)
+    gender: dict[str, str] = {}
+    for m in people:
+        if m.gender:
+            gender.setdefault(m.entity, m.gender)
+
+    def person(m: Mention) -> Mention:
+        own = m.gender or gender.get(m.entity, "")
+        fits = [p for p in whole.get(m.entity, ()) if not (own and (p.gender or gender.get(p.entity)) not in (own, "", None))]
+        if not fits:
+            return m._replace(gender=own)
+        p = max((p for p in fits if p.start < m.start), key=lambda p: p.start, default=fits[0])
+        return m._replace(entity=p.entity, gender=p.gender or gender.get(p.entity, ""), part="last")
+
+    found = [person(m) if m.kind == "name" else m for m in found]
+    first: dict[str, list[Mention]] = {}
+    last: dict[str, list[Mention]] = {}
+    for m in found:
+        if m.kind == "name":
+            words = re.split("[ -]", m.entity)
+            first.setdefault(words[0], []).append(m)
+            last.setdefault(words[-1], []).append(m)
+    more, end, at = [], -1, 0
+    busy = [(m.start, m.end) for m in found]
+    for w in _CAPITAL.finditer(text):
+        a, b = w.span()
+        while at < len(busy) and busy[at][1] <= a:
+            at += 1
+        if a < end or at < len(busy) and busy[at][0] < b or w[0] not in first and w[0] not in last:
+            continue
+        known = [m for m in first.get(w[0], ()) if m.start < a and " " in m.entity and text.startswith(m.entity, a) and not text[a + len(m.entity) : a + len(m.entity) + 1].isalnum()]
+        if known:
+            m = max(known, key=lambda m: (len(m.entity), m.start))
+            if at == len(busy) or a + len(m.entity) <= busy[at][0]:
+                end = a + len(m.entity)
+                more.append(m._replace(start=a, end=end, part="whole"))
+                continue
+        known = [m for m in last.get(w[0], ()) if m.start < a]
+        if known and not (a and text[a - 1].isalnum()):
+            m = max(known, key=lambda m: m.start)
+            end = b
+            more.append(m._replace(start=a, end=b, part="last"))
+    return sorted([*found, *more])
 
 
 def canonical(kind: str, value: str) -> str:
@@ -113,7 +211,7 @@ def _luhn(digits: str) -> int:
 
 
 def _script(name: str) -> str:
-    return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in name) else "latin"
+    return next((script for script, low, high in _BLOCKS if any(low <= ord(c) <= high for c in name)), "latin")
 
 
 def surrogate(kind: str, entity: str, gender: str, key: bytes, redraw: int = 0) -> str:
@@ -143,8 +241,8 @@ def surrogate(kind: str, entity: str, gender: str, key: bytes, redraw: int = 0)
         return body + str(wrong(check)[permuted(wrong(was).index(last), 9, key, f"{tweak}|{body}")])
     if kind == "iban":
         country, rest = entity[:2], _like(entity[4:], key, tweak + entity[:2])
-        number = int("".join(str(int(c, 36)) for c in f"{rest}{country}00"))
-        return f"{country}{98 - number % 97:02d}{rest}"
+        check = lambda rest: 98 - int("".join(str(int(c, 36)) for c in f"{rest}{country}00")) % 97
+        return f"{country}{(check(rest) + int(entity[2:4]) - check(entity[4:])) % 100:02d}{rest}"  # right where it was right, and as far off where not
     if kind == "ip":
         octets = [int(x) for x in entity.split(".")]
         number = int.from_bytes(bytes(octets), "big")
@@ -157,16 +255,17 @@ def surrogate(kind: str, entity: str, gender: str, key: bytes, redraw: int = 0)
             if not (a in (0, 10, 127) or a >= 224 or (a == 172 and 16 <= b < 32) or (a, b) in ((192, 168), (169, 254))) or octets[0] in (0,) or octets[0] >= 224:
                 return ".".join(map(str, number.to_bytes(4, "big")))
     if kind == "name":
-        script, parts = _script(entity), entity.split()
-        given, (hard, soft) = GIVEN[script, gender], _LETTERS[script]
+        script, parts = _script(entity), re.split("[ -]", entity)
+        hard, soft = _LETTERS[script]
+        given = [x for g in (gender or "fm") for x in GIVEN.get((script, g), ())]
         number = int.from_bytes(hmac.new(key, f"{tweak}|{gender}|{entity}".encode(), hashlib.sha256).digest(), "big")
         out = []
-        if len(parts) > 1:
+        if len(parts) > 1 and given:
             number, at = divmod(number, len(given))
             out.append(given[at])
         for _ in parts[len(out) :]:
             word = ""
-            for _ in range(3):
+            for _ in range(3 + redraw):  # every redraw has more names to draw from than the one before
                 number, at = divmod(number, len(hard) * len(soft))
                 word += hard[at // len(soft)] + soft[at % len(soft)]
             number, at = divmod(number, len(hard))
@@ -180,15 +279,16 @@ def surrogate(kind: str, entity: str, gender: str, key: bytes, redraw: int = 0)
     return _like(entity, key, tweak)
 
 
-def _gender(value: str) -> str:
-    return TITLES[re.match(r"\w+", value)[0]]
-
-
-def in_place(kind: str, value: str, drawn: str) -> str:
-    """The surrogate in the format of a mention: its separators, its case, its title."""
+def in_place(kind: str, value: str, drawn: str, part: str = "whole") -> str:
+    """The surrogate in the format of a mention: its separators, its case, its title, its part of a name."""
     if kind == "name":
-        title = re.match(r"\w+\.?[  ]+", value)[0]
-        return title + drawn
+        head = _HEAD.match(value)
+        title = head[0] if head and head[1] in TITLES else ""
+        if part == "last":
+            return title + drawn.split()[-1]
+        seps = re.findall("[ \u00a0-]+", value[len(title) :])
+        words = drawn.split()
+        return title + words[0] + "".join(s + w for s, w in zip(seps, words[1:]))
     if kind == "email":
         return drawn.upper() if value.isupper() else drawn
     if kind == "ip":
@@ -199,12 +299,7 @@ def in_place(kind: str, value: str, drawn: str) -> str:
 
 def _detector(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = set()
-        for text in batch.column(0).to_pylist():
-            for a, b, kind in find_entities(text):
-                value = text[a:b]
-                found.add((kind, canonical(kind, value), _gender(value) if kind == "name" else ""))
-        rows = sorted(found)
+        rows = sorted({m.name for text in batch.column(0).to_pylist() for m in mentions(text)})
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], names=["kind", "entity", "gender"])
 
 
@@ -219,24 +314,31 @@ def _drawer(key: bytes):
 
 
 def checked_redraws(entities: DataFrame, key: bytes) -> DataFrame:
-    """Entities (kind, entity, gender) whose surrogates had to be drawn again, and how often (redraw).
+    """Entities (kind, entity, gender; distinct) whose surrogates had to be drawn again, and how often (redraw).
 
-    A surrogate may be neither another entity's nor an entity that the texts hold. What collides is drawn again,
-    of entities that meet all but the first; rounds end when nothing collides.
+    A surrogate may not be another entity's. Of entities that meet all but the first are drawn again, and those
+    alone. Formats are permuted, so only names meet by chance; every redraw of a name has so many times more to draw
+    from that rounds end. That a surrogate is a real entity of some text does no harm: that one has another surrogate.
     """
-    now = entities.withColumn("redraw", F.lit(0))
     fields = "kind string, entity string, gender string, redraw int, drawn string"
-    for _ in range(MOST_ROUNDS):
+    now, settled, redrawn, step = entities.withColumn("redraw", F.lit(0)), None, None, 0
+    while True:
         drawn = materialize(now.mapInArrow(_drawer(key), fields), "surrogates")
-        real = entities.select("kind", F.col("entity").alias("drawn")).distinct().withColumn("is_real", F.lit(True))
-        first = drawn.groupBy("kind", "drawn").agg(F.min(F.struct("entity", "gender")).alias("keeps"))
-        state = drawn.join(first, ["kind", "drawn"]).join(real, ["kind", "drawn"], "left")
-        bad = F.col("is_real").isNotNull() | (F.struct("entity", "gender") != F.col("keeps"))
-        state = materialize(state.select("kind", "entity", "gender", (F.col("redraw") + bad.cast("int")).alias("redraw"), bad.alias("bad")), "redraws")
-        if not state.filter("bad").limit(1).count():
-            return state.filter("redraw > 0").select("kind", "entity", "gender", "redraw")
-        now = state.select("kind", "entity", "gender", "redraw")
-    raise RuntimeError("surrogates still collide: the formats of some entities leave too few values")
+        new = drawn.withColumn("_new", F.lit(1))
+        if settled is not None:  # only those that a new one may meet
+            new = new.unionByName(settled.join(drawn.select("kind", "drawn").distinct(), ["kind", "drawn"], "left_semi").withColumn("_new", F.lit(0)))
+        first = materialize(new.groupBy("kind", "drawn").agg(F.min(F.struct("_new", "entity", "gender")).alias("keeps")), "first")
+        state = drawn.join(first.hint("merge"), ["kind", "drawn"]).withColumn("bad", (F.col("keeps._new") == 0) | (F.struct("entity", "gender") != F.struct("keeps.entity", "keeps.gender")))
+        state = materialize(state.drop("keeps"), "redraws")
+        good = state.filter("not bad").drop("bad")
+        settled = good if settled is None else settled.unionByName(good)
+        if step:
+            redrawn = good if redrawn is None else redrawn.unionByName(good)
+        bad = state.filter("bad")
+        if bad.isEmpty():
+            out = settled.limit(0) if redrawn is None else redrawn
+            return out.select("kind", "entity", "gender", "redraw")
+        now, step = bad.select("kind", "entity", "gender", (F.col("redraw") + 1).alias("redraw")), step + 1
 
 
 REPLACED = "text string, entities array<struct<kind:string,start:int,end:int,surrogate:string>>"
@@ -251,15 +353,15 @@ def _replacer(key: bytes, held: dict | None):
             for i, text in enumerate(batch.column(1).to_pylist()):
                 at, out, note = 0, [], []
                 again = held if own is None else {(x["kind"], x["entity"], x["gender"]): x["redraw"] for x in own[i] or ()}
-                for a, b, kind in find_entities(text or ""):
+                for m in mentions(text or ""):
+                    a, b, kind, name = m.start, m.end, m.kind, m.name
                     value = text[a:b]
-                    name = (kind, canonical(kind, value), _gender(value) if kind == "name" else "")
                     redraw = again.get(name, 0)
                     if (name, redraw) not in known:
                         if len(known) > 200_000:
                             known.clear()
                         known[name, redraw] = surrogate(*name, key, redraw)
-                    new = in_place(kind, value, known[name, redraw])
+                    new = in_place(kind, value, known[name, redraw], m.part)
                     out += [text[at:a], new]
                     note.append({"kind": kind, "start": a, "end": b, "surrogate": new})
                     at = b
@@ -295,7 +397,6 @@ def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = set()
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for a, b, kind in find_entities(text or ""):
-                rows.add((key, kind, canonical(kind, text[a:b]), _gender(text[a:b]) if kind == "name" else ""))
+            rows |= {(key, *m.name) for m in mentions(text or "")}
         kinds = [pa.int64(), pa.string(), pa.string(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["key", "kind", "entity", "gender"])

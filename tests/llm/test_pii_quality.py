@@ -9,14 +9,18 @@ from lexirank.llm.quality import cotrain_scores
 KEY = b"test key"
 
 
+def gender_of(value):
+    return pii.TITLES[re.match(r"\w+", value)[0]]
+
+
 def drawn(kind, value):
-    name = (kind, pii.canonical(kind, value), pii._gender(value) if kind == "name" else "")
+    name = (kind, pii.canonical(kind, value), gender_of(value) if kind == "name" else "")
     return pii.in_place(kind, value, pii.surrogate(*name, KEY))
 
 
 @pytest.mark.parametrize(
     "kind,value",
-    [("phone", "+1 (988) 555-2485"), ("card", "4111 1111 1111 1111"), ("card", "4337166598464399"), ("email", "Jo.Hn7@mail5.example.com"), ("ssn", "123-45-6789"), ("iban", "DE89 3704 0044 0532 0130 00"), ("ip", "43.203.110.141"), ("ip", "10.1.2.3"), ("name", "Mrs. Mary Ann Jones"), ("name", "Господин Иван Петров")],
+    [("phone", "+1 (988) 555-2485"), ("card", "4111 1111 1111 1111"), ("card", "4337166598464399"), ("email", "Jo.Hn7@mail5.example.com"), ("ssn", "123-45-6789"), ("iban", "DE89 3704 0044 0532 0130 00"), ("ip", "43.203.110.141"), ("ip", "10.1.2.3"), ("name", "Mrs. Mary Ann Jones"), ("name", "Господин Иван Петров"), ("name", "Κύριος Νίκος Παππάς"), ("name", "Dr. Ann-Marie Jones")],
 )
 def test_format_is_kept(kind, value):
     new = drawn(kind, value)
@@ -30,8 +34,9 @@ def test_format_is_kept(kind, value):
     if kind == "ip" and value.startswith("10."):
         assert new.startswith("10.")
     if kind == "name":
-        gender, script = pii._gender(value), pii._script(value.split(" ", 1)[1])
-        assert new.split()[0] == value.split()[0] and new.split()[1] in pii.GIVEN[script, gender]
+        gender, script = gender_of(value), pii._script(value.split(" ", 1)[1])
+        assert new.split()[0] == value.split()[0] and re.split("[ -]", new)[1] in [x for g in gender or "fm" for x in pii.GIVEN[script, g]]
+        assert pii._script(new.split()[-1]) == script
 
 
 @pytest.mark.parametrize(
@@ -68,15 +73,78 @@ def test_documents(spark, docs, empty):
     assert pii.with_surrogates(docs, KEY).count() == docs.count() and pii.with_surrogates(empty, KEY).count() == 0
 
 
-def test_collisions_are_drawn_again(spark):
+def test_collisions_are_drawn_again(spark, monkeypatch):
+    """With a few names to draw from at first, so that most meet: all end with names of their own, and those alone are drawn again that met."""
+    whole = pii.surrogate
+
+    def few(kind, entity, gender, key, redraw=0):
+        return f"N{int.from_bytes(entity.encode(), 'big') % 7}" if redraw == 0 else whole(kind, entity, gender, key, redraw)
+
+    monkeypatch.setattr(pii, "surrogate", few)
     names = [("name", f"John {chr(65 + i % 26)}{'abcde'[i % 5]}{i}", "m") for i in range(50)]
-    first = pii.surrogate(*names[0], KEY)
-    entities = spark.createDataFrame([*names, ("name", first, "m")], "kind string, entity string, gender string")
+    entities = spark.createDataFrame(names, "kind string, entity string, gender string")
     again = {(r.kind, r.entity, r.gender): r.redraw for r in pii.checked_redraws(entities, KEY).collect()}
-    assert again[names[0]] >= 1
-    real = [tuple(r) for r in entities.collect()]
-    made = [pii.surrogate(*r, KEY, again.get(r, 0)) for r in real]
-    assert len(set(made)) == len(made) and not set(made) & {r[1] for r in real}
+    made = [few(*r, KEY, again.get(r, 0)) for r in names]
+    assert len(set(made)) == len(made) and 40 <= len(again) < 50
+
+
+def test_full_formats_raise_nothing(spark):
+    """Every address of a private range, and 97 account numbers that differ in their check digits alone."""
+    ips = [("ip", f"192.168.{a}.{b}", "") for a in range(256) for b in range(256)]
+    rest = "370400440532013000"
+    ibans = [("iban", f"DE{i:02d}{rest}", "") for i in range(100)]
+    entities = spark.createDataFrame([*ips, *ibans], "kind string, entity string, gender string")
+    assert pii.checked_redraws(entities, KEY).count() == 0
+    assert len({pii.surrogate(*r, KEY) for r in ibans}) == 100
+    some = {pii.surrogate(*r, KEY) for r in ips[::64]}
+    assert len(some) == 1024 and all(x.startswith("192.168.") for x in some)
+
+
+def test_people_keep_one_name_in_a_text():
+    text = "Smith waits. Mr. John Smith met Mrs Anna Smith and Dr. Lee. Mr. Smith and John Smith are one; Smith spoke. Prof. Lee Chan, then Lee. Smithson stays."
+    found = [(text[m.start : m.end], m.entity, m.gender, m.part) for m in pii.mentions(text)]
+    assert found == [
+        ("Mr. John Smith", "John Smith", "m", "whole"), ("Mrs Anna Smith", "Anna Smith", "f", "whole"), ("Dr. Lee", "Lee", "", "whole"), ("Mr. Smith", "John Smith", "m", "last"),
+        ("John Smith", "John Smith", "m", "whole"), ("Smith", "John Smith", "m", "last"), ("Prof. Lee Chan", "Lee Chan", "", "whole"), ("Lee", "Lee", "", "last"),
+    ]
+
+
+def test_very_many_entities_in_one_text():
+    text = " ".join(f"Mr. Karl Ab{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}x jo{i}@example.com +1 (988) 555-{i % 10000:04d};" for i in range(7000))
+    assert len(pii.mentions(text)) == 21_000
+
+
+def brute_surrogates(rows):
+    """What must hold of any rows and their surrogates: a list of what doesn't."""
+    wrong, of, back = [], {}, {}
+    for old, new, entities in rows:
+        at, kept = 0, []
+        for e in entities:
+            kept.append(old[at : e.start])
+            at = e.end
+            value = old[e.start : e.end]
+            if e.kind != "name":
+                one = (e.kind, pii.canonical(e.kind, value))
+                same = re.sub(r"[^0-9A-Za-z+@.]", "", e.surrogate).lower()
+                if of.setdefault(one, same) != same or back.setdefault((e.kind, same), one) != one:
+                    wrong.append((value, e.surrogate))
+            if e.kind in ("phone", "card", "ssn") and re.sub(r"\d", "0", value) != re.sub(r"\d", "0", e.surrogate):
+                wrong.append(("format", value, e.surrogate))
+        kept.append((old or "")[at:])
+        rebuilt = "".join(x for pair in zip(kept, [*(e.surrogate for e in entities), ""]) for x in pair)
+        if rebuilt != (new or "") or (old is None) != (new is None):
+            wrong.append(("text", old, new))
+    return wrong
+
+
+def test_query_against_what_must_hold(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    got = pii.with_surrogates(d, KEY, keep=["doc_id", "text"]).collect()
+    assert len(got) == d.count() and sum(len(r.entities) for r in got) > 20
+    assert brute_surrogates([(r.doc.text, r.text, r.entities) for r in got]) == []
+    query = {r.doc_id: r for r in queries.op5_pii(spark, "/root/testdata/sf0.001").collect()}
+    for r in got:
+        assert query[r.doc.doc_id].n_entities == len(r.entities) and query[r.doc.doc_id].kinds == ",".join(sorted({e.kind for e in r.entities}))
 
 
 def test_quality_held_out(spark):
