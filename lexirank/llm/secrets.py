@@ -126,14 +126,15 @@ def secret_spans(
 ) -> DataFrame:
     """doc (a struct of the row, or of the columns to keep) and its secrets: spans, sorted by start, then by the order of the rules.
 
-    Every row that has a scanned blob gets its findings: copies are scanned once. Null and empty texts, and texts
+    Every row that has a scanned blob gets its findings: copies are scanned once. The findings, a row for each blob, are
+    a written table, so that AQE can split the rows of a blob that very many have. Null and empty texts, and texts
     without a secret, have an empty array; rows that repeat are answered each; an empty table gives none.
     """
     ledger = ledger or BlobLedger(docs.sparkSession)
     ledger.scan(docs, text_col, rules)
     rank = F.element_at(F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.name), F.lit(i))]), F.col("rule"))
     wanted = ledger.findings().filter(F.col("rule").isin([r.name for r in rules]))
-    by_blob = wanted.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "end", "kind"))).alias("spans"))
+    by_blob = materialize(wanted.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "end", "kind"))).alias("spans")), "by-blob")
     rows = docs.select(F.struct(*[docs[c] for c in keep or docs.columns]).alias("doc"), blob_id(F.coalesce(docs[text_col].cast("string"), F.lit(""))).alias("blob"))
     return rows.join(by_blob.hint("merge"), "blob", "left").select("doc", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
 
