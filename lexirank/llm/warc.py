@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -12,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sieve import may_be_among
 from .storage import materialize, new_path
 
 #: Payloads of fewer bytes are always stored, not revisited.
@@ -102,7 +104,8 @@ def write_archives(
 
     The payload is the text in UTF-8, a null one empty. Of pages with equal payloads of at least REVISIT_BYTES
     the one with the smallest id is stored, the others are revisits of it (rows that repeat that id are stored
-    again; where all ids are null, all are stored). Each task writes files of its own names and the index tells
+    again; where all ids are null, all are stored). Only pages whose payload may repeat are shuffled, and AQE can
+    split those of a payload that very many have. Each task writes files of its own names and the index tells
     those of the tasks that counted, so tasks that run again, or twice, do no harm. Other columns are not read;
     a null url has no header; an empty table gives an empty index.
     """
@@ -117,8 +120,12 @@ def write_archives(
         .filter((F.col("n") > 1) & F.col("first_id").isNotNull())
         .select("digest", "first_id")
     )
+    first = materialize(first, "warc-first")
+    among = may_be_among(first, "digest")
+    rows = rows.withColumn("_may", among(F.col("digest")))
     refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
-    stored = rows.join(first, "digest", "left").select("page_id", "url", "html", "digest", refers_to.alias("refers_to"))
+    asked = rows.filter("_may").join(first.hint("merge"), "digest", "left").select("page_id", "url", "html", "digest", refers_to.alias("refers_to"))
+    stored = rows.filter("not _may").select("page_id", "url", "html", "digest", F.lit(None).cast("long").alias("refers_to")).unionByName(asked)
     return materialize(stored.mapInArrow(_writer(folder, date), INDEX), "warc-index")
 
 
@@ -158,14 +165,23 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=[f.split()[0] for f in RECORD.split(", ")])
 
 
+def _bytes(size: str) -> int:
+    """A size as Spark's settings give it, such as 128MB, 16m or 134217728b."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", size.strip().lower()).groups()
+    return max(1, int(number) << 10 * " kmgtp".index(unit or " "))
+
+
 def read_records(index: DataFrame) -> DataFrame:
     """The records that the rows of an index (or some of them) name: columns of RECORD.
 
-    Rows are sorted by file and offset, and near ranges are read at once. The payload of a response is held
-    against its digest; a revisit has an empty one: resolve() finds it.
+    Rows are sorted by file and offset, and near ranges are read at once: as many bytes of archives to a task as the
+    session's scans give it. The payload of a response is held against its digest; a revisit has an empty one:
+    payload_facts() finds it.
     """
-    near = F.floor(F.col("offset") / (4 * SPAN_BYTES)).alias("near")
-    ranges = index.select("path", "offset", "length", near).repartition("path", "near").sortWithinPartitions("path", "offset")
+    size = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    share = _bytes(index.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
+    near = F.floor(F.col("offset") / SPAN_BYTES).alias("near")
+    ranges = index.select("path", "offset", "length", near).repartition(max(1, -(-size // share)), "path", "near").sortWithinPartitions("path", "offset")
     return ranges.select("path", "offset", "length").mapInArrow(_reader, RECORD)
 
 
