@@ -86,7 +86,7 @@ class Model:
     lexicon: Lexicon
 
 
-CODED = "doc_id long, learn boolean, n_tokens long, n_known long, base_part double, word_part double, classes binary, rare array<long>"
+CODED = "doc_id long, learn boolean, n_tokens long, n_known long, base_part double, word_part double, classes binary, rare array<long>, times array<long>"
 
 
 def _coder(lexicon: Lexicon):
@@ -106,13 +106,17 @@ def _coder(lexicon: Lexicon):
                 in_class = np.where(own >= 0, 0.0, log_count - lex.shared_log[shared])
                 total = lambda x: np.bincount(doc, weights=x, minlength=block.docs)
                 rare_at = np.flatnonzero(~held)
-                rare_bounds = np.searchsorted(doc[rare_at], np.arange(block.docs + 1)).astype(np.int32)
+                order = rare_at[np.lexsort((h[rare_at], doc[rare_at]))]  # each word once for a text, with how often it stands there
+                first = np.flatnonzero(np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (doc[order][1:] != doc[order][:-1])])) if len(order) else order
+                times = np.diff(np.append(first, len(order)))
+                rare_at = order[first]
+                rare_bounds = pa.array(np.searchsorted(doc[rare_at], np.arange(block.docs + 1)).astype(np.int32))
                 raw = classes.tobytes()
                 arrays = [
                     batch.column(0).slice(done, block.docs), batch.column(1).slice(done, block.docs), pa.array(np.diff(bounds)),
                     pa.array(total(held).astype(np.int64)), pa.array(total(log_count)), pa.array(total(in_class)),
                     pa.array([raw[2 * a : 2 * b] for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(rare_bounds), pa.array(h[rare_at].view(np.int64))),
+                    pa.ListArray.from_arrays(rare_bounds, pa.array(h[rare_at].view(np.int64))), pa.ListArray.from_arrays(rare_bounds, pa.array(times.astype(np.int64))),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in CODED.split(", ")])
                 done += block.docs
@@ -180,7 +184,7 @@ def score_documents(
     for all of those.
 
     Counts cover all training text. Every task holds the HELD_WORDS most frequent words; the counts of others come by a
-    join on the word, of which no such word has a large part. A null text is the empty one: only an end. A null id
+    join on the word, for each text once. A null text is the empty one: only an end. A null id
     is kept. Rows that repeat are scored, and learned from, each. With nothing to learn from all classes are alike.
     """
     spark = docs.sparkSession
@@ -220,9 +224,9 @@ def score_documents(
     coded = materialize(rows.mapInArrow(_coder(lexicon), CODED).withColumn("row", F.monotonically_increasing_id()), "coded")
     hmm = baum_welch(coded.filter("learn").select("classes"), share, states, rounds, seed)
 
-    rare = coded.select("row", F.explode("rare").alias("h")).join(vocabulary.select("h", "c").filter(F.col("c") < least).hint("merge"), "h", "left")
-    log_count = F.log10(F.coalesce(F.col("c"), F.lit(0)) + 1.0)
-    rare = rare.groupBy("row").agg(F.count("c").alias("rare_known"), F.sum(log_count).alias("rare_log"))
+    rare = coded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("h"), F.col("w.times").alias("n"))
+    rare = rare.join(vocabulary.select("h", "c").filter(F.col("c") < least).hint("merge"), "h")  # both plain shuffles: AQE can split a word that very many texts have
+    rare = rare.groupBy("row").agg(F.sum("n").alias("rare_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rare_log"))
     columns = ["row", "doc_id", "learn", "n_tokens", "n_known", "base_part", "word_part", "classes"]
     schema = "row long, doc_id long, learn boolean, n_tokens long, n_known long, base_part double, word_part double, class_part double"
     scored = coded.select(*columns).mapInArrow(_scorer(_pack(hmm)), schema).join(rare, "row", "left")
