@@ -87,7 +87,7 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.n
 
 def gram_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """In blocks of texts: how many, their sets of k-word shingles (hashes, sorted, distinct), and bounds."""
-    for block in words(texts, SPACED):
+    for block in words(texts, SPACED, 1 << 20):
         grams, at = shingles(block.hashes(), block.bounds, k)
         sets = [np.unique(grams[a:b]) for a, b in zip(at[:-1], at[1:])]
         yield block.docs, np.concatenate(sets) if sets else grams, np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64)
@@ -99,10 +99,10 @@ def _longs(values: np.ndarray) -> pa.Array:
 
 SKETCH = "key long, doc_id long, n_shingles long, set_id long"
 #: Sets that a task remembers to have given the parts of; parts that it holds before it gives them out.
-GIVEN_SETS, HELD_PARTS = 1_000_000, 1_500_000
+GIVEN_SETS, HELD_PARTS = 200_000, 800_000
 #: Parts of one range, about: what a task holds at a time to find those that are alike. A part that more of the sets
 #: that a task holds have is a common one.
-RANGE_PARTS, COMMON = 1_000_000, 128
+RANGE_PARTS, COMMON = 2_000_000, 128
 
 
 def _set_ids(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:

@@ -43,7 +43,7 @@ class _Powers:
     @classmethod
     def upto(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            size = max(n, BLOCK + (BLOCK >> 2))
+            size = max(n + (n >> 2), 1 << 20)
             inverse = np.uint64(pow(int(_ODD), -1, 2**64))
             with np.errstate(over="ignore"):
                 cls.up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, _ODD)]), dtype=np.uint64)
