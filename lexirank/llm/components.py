@@ -8,19 +8,19 @@ from pyspark.sql import functions as F
 from .storage import discard, materialize
 
 
-def _stars(edges: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """One large-star and one small-star step over (a, b); and the tables that it reads.
+def _stars(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One large-star and one small-star step over (a, b); and the table of least neighbours that it reads.
 
-    Least neighbours are tables of their own: a join with one is between two plain shuffles, so a node with very
-    many edges is split by AQE's rule for skewed joins, the other side having one row for it.
+    That is a written table: a join with it is between two plain shuffles, so a node with very many edges is split by
+    AQE's rule for skewed joins, the other side having one row for it. After it a node has few neighbours under it.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     large = both.filter("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-    down = materialize(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "down")
-    under = materialize(down.groupBy("a").agg(F.min("b").alias("m")), "under")
-    near = down.join(under.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return near.unionByName(under.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), [least, down, under]
+    down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    under = down.groupBy("a").agg(F.min("b").alias("m"))
+    near = down.join(under, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return near.unionByName(under.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), least
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -33,9 +33,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = materialize(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     before = mark(now)
     while before[0]:
-        next_, read = _stars(now)
+        next_, least = _stars(now)
         new = materialize(next_, "edges")
-        discard(now, *read)
+        discard(now, least)
         after, now = mark(new), new
         if after == before:
             break
