@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -18,17 +18,20 @@ from .textbytes import ALNUM, SPACED, words
 ROUNDS, STEPS = 3, 5
 #: A view's pseudo-label counts when its probability of a label is so high, and as so much of a label.
 CONFIDENT, PSEUDO_WEIGHT = 0.95, 0.25
-#: Slots that sources, and languages, are hashed to.
-SOURCE_SLOTS, LANG_SLOTS = 32, 8
+#: The penalty on the weight of a slot of words, where that of any other feature is 1: they are many, and each tells little.
+WORD_RIDGE = 30.0
+#: Slots that words, sources and languages are hashed to.
+WORD_SLOTS, SOURCE_SLOTS, LANG_SLOTS = 64, 32, 8
 
 _MARKS = np.zeros(256, dtype=bool)
 _MARKS[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".,;:'\"()?-"]] = True
 
-TEXT_FEATURES = 14
+SHAPES = 14
+TEXT_FEATURES = SHAPES + WORD_SLOTS + 1
 
 
 def text_features(texts: pa.Array) -> np.ndarray:
-    """Shape of each text: a row of TEXT_FEATURES numbers, all 0 but the last for one without words."""
+    """Content and shape of each text: the roots of the shares of its words in each slot, after SHAPES numbers, of which one without words has the last alone."""
     out = []
     for block in words(texts, SPACED):
         n = block.counts()
@@ -50,7 +53,9 @@ def text_features(texts: pa.Array) -> np.ndarray:
         last = data[block.ends - 1] if len(h) else np.zeros(0, np.uint8)
         marked = np.bincount(doc, weights=_MARKS[last], minlength=block.docs)
         lone = np.bincount(doc, weights=(length == 1) & ~ALNUM[last], minlength=block.docs)
-        out.append(
+        slot = (h % np.uint64(WORD_SLOTS)).astype(np.int64)
+        content = np.sqrt(np.bincount(doc * WORD_SLOTS + slot, minlength=block.docs * WORD_SLOTS).reshape(block.docs, WORD_SLOTS) / words_[:, None])
+        shape = (
             np.stack(
                 [
                     np.log1p(n), total / words_, np.sqrt(np.maximum(square / words_ - (total / words_) ** 2, 0)), distinct / words_, most / words_,
@@ -60,7 +65,8 @@ def text_features(texts: pa.Array) -> np.ndarray:
                 axis=1,
             )
         )
-    return np.concatenate(out) if out else np.zeros((0, TEXT_FEATURES))
+        out.append(np.hstack([shape, content]))
+    return np.concatenate(out) if out else np.zeros((0, TEXT_FEATURES - 1))
 
 
 def upper_share(texts: list[str | None]) -> np.ndarray:
@@ -76,7 +82,7 @@ def _featurer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(batch.num_columns - 1)
         x = np.hstack([text_features(texts), upper_share(texts.to_pylist())[:, None]])
-        flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+        flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel().astype(np.float32)))
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], flat], names=[*batch.schema.names[:-1], "x_text"])
 
 
@@ -90,14 +96,24 @@ def metadata_vector(source: Column, lang: Column, size: Column) -> Column:
 
 @dataclass
 class Views:
-    """Weights of both views over standardized features, bias first, and of their combination."""
+    """Weights of both views over standardized features, bias first; of each view's calibration, and of their combination."""
 
     mean: np.ndarray
     scale: np.ndarray
     text: np.ndarray
     meta: np.ndarray
+    text_line: np.ndarray
+    meta_line: np.ndarray
     both: np.ndarray
 
+    def logits(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.split(x)
+        return a @ self.text, b @ self.meta
+
+    def calibrated(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.logits(x)
+        return self.text_line[0] + self.text_line[1] * a, self.meta_line[0] + self.meta_line[1] * b
+
     def split(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         z = (x - self.mean) / self.scale
         one = np.ones((len(x), 1))
@@ -111,7 +127,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 def _features(batch: pa.RecordBatch) -> np.ndarray:
     parts = [batch.column(batch.schema.names.index(c)) for c in ("x_text", "x_meta")]
-    return np.hstack([c.flatten().to_numpy(zero_copy_only=False).reshape(len(c), -1) for c in parts])
+    return np.hstack([c.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(c), -1) for c in parts])
 
 
 def _sums(packed: str, job: str):
@@ -130,9 +146,11 @@ def _sums(packed: str, job: str):
                 y = batch.column(batch.schema.names.index("y")).to_numpy(zero_copy_only=False).astype(float)
                 fold = batch.column(batch.schema.names.index("fold")).to_numpy(zero_copy_only=False)
                 a, b = views.split(x)
-                if job == "both":
-                    at = (fold == 2) & ~np.isnan(y)
-                    sides = [(np.stack([np.ones(len(x)), a @ views.text, b @ views.meta], 1), views.both, y, at.astype(float))]
+                at, one = ((fold == 2) & ~np.isnan(y)).astype(float), np.ones(len(x))
+                if job == "lines":
+                    sides = [(np.stack([one, z], 1), w, y, at) for z, w in zip(views.logits(x), (views.text_line, views.meta_line))]
+                elif job == "both":
+                    sides = [(np.stack([one, *views.calibrated(x)], 1), views.both, y, at)]
                 else:
                     sides = []
                     other = [None, None] if teacher is None else [_sigmoid(b @ teacher.meta), _sigmoid(a @ teacher.text)]
@@ -164,11 +182,16 @@ def _total(rows: DataFrame, job: str, size: int, state) -> np.ndarray:
     return out
 
 
-def _step(w: np.ndarray, part: np.ndarray) -> np.ndarray:
-    """Newton's step with a ridge, shortened where it is long, as where a view parts the labels entirely."""
+def ridge_of_text() -> np.ndarray:
+    """The text view's penalties, bias first."""
+    return np.array([1e-6, *[1.0] * SHAPES, *[WORD_RIDGE] * WORD_SLOTS, 1.0])
+
+
+def _step(w: np.ndarray, part: np.ndarray, towards: float | np.ndarray = 0.0, ridge: np.ndarray | None = None) -> np.ndarray:
+    """Newton's step with a ridge towards a value, shortened where it is long, as where a view parts the labels entirely."""
     d = len(w)
-    ridge = np.diag([1e-6] + [1.0] * (d - 1))
-    step = np.linalg.solve(part[d:].reshape(d, d) + ridge, part[:d] - ridge @ w)
+    ridge = np.diag(np.array([1e-6] + [1.0] * (d - 1)) if ridge is None else ridge)
+    step = np.linalg.solve(part[d:].reshape(d, d) + ridge, part[:d] - ridge @ (w - towards))
     return step * min(1.0, 1.5 / max(np.abs(step).max(), 1e-12))
 
 
@@ -177,8 +200,7 @@ def _scorer(packed: str):
         views: Views = pickle.loads(base64.b64decode(packed))
         for batch in batches:
             if batch.num_rows:
-                a, b = views.split(_features(batch))
-                za, zb = a @ views.text, b @ views.meta
+                za, zb = views.calibrated(_features(batch))
                 both = views.both[0] + views.both[1] * za + views.both[2] * zb
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(_sigmoid(z)) for z in (za, zb, both))], names=["doc_id", "held_out", "text_score", "meta_score", "score"])
 
@@ -186,37 +208,47 @@ def _scorer(packed: str):
 
 
 def cotrain_scores(
-    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", source_col: str = "source", lang_col: str = "lang", size_col: str = "n_chars"
+    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", source_col: str = "source", lang_col: str = "lang", size_col: str = "n_chars", rounds: int = ROUNDS
 ) -> DataFrame:
     """doc_id, held_out, text_score, meta_score, score of every document: probabilities of label 1.
 
-    Folds by crc32 of the id modulo 5: labels of 3 are held out, those of 4 fit the combination, the others both
-    views. In each round the views' sums of gradients and curvatures are taken over all documents: labelled ones,
-    and for each view those that the other view of the round before is CONFIDENT of. So what a task sends is of fixed
-    size, and no document is sampled. A document counts with the mean of its labels, if it has several; without
-    labels all scores are equal. Null texts, sources, languages and sizes have values of their own.
+    Folds by crc32 of the id modulo 5: labels of 3 are held out, those of 4 calibrate each view and fit the combination
+    of the calibrated views, the others fit both views. The text view sees words, in hashed slots, and the text's shape;
+    the other source, language and size. In each round the views' sums of gradients and curvatures are taken over all
+    documents: labelled ones, and, from the second round on, for each view those that the other view of the round
+    before is CONFIDENT of. So what a task sends is of fixed size, and no document is sampled. A document counts with the
+    mean of its labels, if it has several; without labels all scores are equal. Null texts, sources, languages
+    and sizes have values of their own; a null id has no label and is joined with nothing.
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     key = docs[id_col].cast("long")
     meta = metadata_vector(docs[source_col], docs[lang_col], docs[size_col])
-    shaped = docs.select(key.alias("doc_id"), meta.alias("x_meta"), text.alias("text")).mapInArrow(_featurer, "doc_id long, x_meta array<double>, x_text array<double>")
+    plain = docs.select(key.alias("doc_id"), meta.alias("x_meta"), text.alias("text"))
+    shaped = lambda rows: rows.mapInArrow(_featurer, "doc_id long, x_meta array<double>, x_text array<float>")
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y")).filter("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.avg("y").alias("y"))
+    known = materialize(known, "labels")
     fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5, F.lit(0))
-    rows = shaped.join(known, "doc_id", "left").withColumn("fold", F.when(fold == 3, 3).when(fold == 4, 2).otherwise(1)).withColumn("held_out", fold == 3)
+    nameless = shaped(plain.filter("doc_id is null")).withColumn("y", F.lit(None).cast("double"))
+    rows = shaped(plain.filter("doc_id is not null")).join(known, "doc_id", "left").unionByName(nameless)
+    rows = rows.withColumn("fold", F.when(fold == 3, 3).when(fold == 4, 2).otherwise(1)).withColumn("held_out", fold == 3)
     rows = materialize(rows.select("doc_id", "held_out", "x_text", "x_meta", "y", "fold"), "features")
-    dt, dm = TEXT_FEATURES + 1, SOURCE_SLOTS + LANG_SLOTS + 2
+    dt, dm = TEXT_FEATURES, SOURCE_SLOTS + LANG_SLOTS + 2
     moments = _total(rows, "moments", 1 + 2 * (dt + dm), (None, None))
     n = max(moments[0], 1.0)
     mean = moments[1 : 1 + dt + dm] / n
     scale = np.sqrt(np.maximum(moments[1 + dt + dm :] / n - mean**2, 0)) + 1e-6
-    views, teacher = Views(mean, scale, np.zeros(dt + 1), np.zeros(dm + 1), np.array([0.0, 1.0, 0.0])), None
+    line = np.array([0.0, 1.0])
+    views, teacher = Views(mean, scale, np.zeros(dt + 1), np.zeros(dm + 1), line, line, np.array([0.0, 1.0, 0.0])), None
     cut = (dt + 1) * (dt + 2)
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         for _ in range(STEPS):
             found = _total(rows, "views", cut + (dm + 1) * (dm + 2), (views, teacher))
-            views.text = views.text + _step(views.text, found[:cut])
+            views.text = views.text + _step(views.text, found[:cut], ridge=ridge_of_text())
             views.meta = views.meta + _step(views.meta, found[cut:])
-        teacher = Views(mean, scale, views.text.copy(), views.meta.copy(), views.both)
+        teacher = replace(views, text=views.text.copy(), meta=views.meta.copy())
+    for _ in range(STEPS):
+        found = _total(rows, "lines", 12, (views, None))
+        views.text_line, views.meta_line = views.text_line + _step(views.text_line, found[:6], line), views.meta_line + _step(views.meta_line, found[6:], line)
     for _ in range(STEPS):
         views.both = views.both + _step(views.both, _total(rows, "both", 12, (views, None)))
     packed = base64.b64encode(pickle.dumps(views)).decode()
