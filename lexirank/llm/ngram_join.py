@@ -17,7 +17,7 @@ from .storage import discard, materialize
 from .textbytes import SPACED, mix, shingles, words
 
 #: Documents, and n-grams, of one block of the matrix; and columns of one product.
-BLOCK_DOCS, BLOCK_GRAMS, BLOCK_COLUMNS = 512, 2_000_000, 4096
+BLOCK_DOCS, BLOCK_GRAMS, BLOCK_COLUMNS = 512, 1_000_000, 4096
 #: Documents of a cluster that every block of it holds.
 PIVOTS = 8
 

@@ -15,7 +15,7 @@ WINDOW = 2048
 #: Ids held in a task before what it has is packed and given out: memory is bounded whatever a partition holds.
 HELD_IDS = 12_000_000
 #: Distinct chunks of text whose ids a worker remembers.
-HELD_CHUNKS = 1_500_000
+HELD_CHUNKS = 400_000
 
 PACKED = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
