@@ -9,8 +9,23 @@ from pyspark.sql import functions as F
 
 # Letters that are folded, and what they are folded to.
 FOLDED_FROM, FOLDED_TO = "ăâîșțşţĂÂÎȘȚŞŢ", "aaiststAAISTST"
-# Error categories, in the order in which they are tried.
-ERROR_CATEGORIES = ("MISSING_CONTENT", "TRUNCATED_JSON", "DECIMAL_FORMAT", "WORD_MISMATCH", "MODEL_CRASH", "CONNECTIVITY", "OTHER")
+# What a message is about. It is about a thing when, for one of its lines, it has one text of each group,
+# in lower case. Of the categories, in capitals, the first that fits counts.
+MESSAGES: dict[str, list[tuple[tuple[str, ...], ...]]] = {
+    "MISSING_CONTENT": [(("missing",), ("content",))],
+    "TRUNCATED_JSON": [(("truncat", "unclosed", "unexpected end", "premature"),)],
+    "DECIMAL_FORMAT": [(("decimal", "number format"),)],
+    "WORD_MISMATCH": [(("word",), ("mismatch",))],
+    "MODEL_CRASH": [(("model",), ("crash", "exit code"))],
+    "CONNECTIVITY": [(("timed out", "connection refused"),), (("connect",), ("fail",))],
+    "unreachable": [(("timed out", "connection refused", "couldn't connect"),)],
+    "crash": [(("exit code",),), (("model",), ("crash",))],
+    "format refused": [(("response_format",), ("unsupported", "unknown", "must be", "json_schema", "json object"))],
+    "schema wanted": [(("response_format",), ("must be",), ("json_schema",))],
+    "reasoning refused": [(("reasoning_effort", "thinking", "chat_template_kwargs"), ("unsupported", "unknown", "unexpected", "invalid"))],
+    "nothing parsed": [(("no valid results parsed from 0 result nodes",),)],
+    "miscounted": [(("expected exactly",), ("selected",))],
+}
 # What a reviewer may type.
 LABEL_INPUTS = {
     "1": "1", "common": "1", "2": "2", "3": "3", "u": "unknown_4_5", "unknown": "unknown_4_5", "unknown_4_5": "unknown_4_5",
@@ -20,8 +35,17 @@ LABEL_INPUTS = {
 INTEGER = r"^\s*[+-]?\d+\s*$"
 
 
-def _any(text: Column, *parts: str) -> Column:
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in parts])
+def says(message: Column, what: str) -> Column:
+    """Whether a message is about one of MESSAGES."""
+    low = F.lower(message)
+    either, all_of = (lambda a, b: a | b), (lambda a, b: a & b)
+    return reduce(either, [reduce(all_of, [reduce(either, [F.contains(low, F.lit(x)) for x in group]) for group in line]) for line in MESSAGES[what]])
+
+
+def said(message: str, what: str) -> bool:
+    """says() of a text in a task."""
+    low = message.lower()
+    return any(all(any(x in low for x in group) for group in line) for line in MESSAGES[what])
 
 
 def normalize(word: Column) -> Column:
@@ -119,53 +143,35 @@ def results_text(content: Column) -> Column:
 
 
 def error_category(message: Column) -> Column:
-    m = F.lower(message)
-    has = lambda x: F.contains(m, F.lit(x))
-    tests = (
-        has("missing") & has("content"),
-        _any(m, "truncat", "unclosed", "unexpected end", "premature"),
-        _any(m, "decimal", "number format"),
-        has("mismatch") & has("word"),
-        has("model") & _any(m, "crash", "exit code"),
-        _any(m, "timed out", "connection refused") | (has("connect") & has("fail")),
-    )
-    out = F.when(message.isNull(), "OTHER")
-    for name, test in zip(ERROR_CATEGORIES, tests):
-        out = out.when(test, name)
-    return out.otherwise("OTHER")
+    return F.coalesce(*[F.when(says(message, name), name) for name in MESSAGES if name.isupper()], F.lit("OTHER"))
 
 
 def is_connectivity(message: Column) -> Column:
-    return _any(F.lower(message), "timed out", "connection refused", "couldn't connect")
+    return says(message, "unreachable")
 
 
 def is_model_crash(message: Column) -> Column:
-    m = F.lower(message)
-    return (F.contains(m, F.lit("model")) & F.contains(m, F.lit("crash"))) | F.contains(m, F.lit("exit code"))
+    return says(message, "crash")
 
 
 def is_format_unsupported(message: Column) -> Column:
-    m = F.lower(message)
-    return F.contains(m, F.lit("response_format")) & _any(m, "unsupported", "unknown", "must be", "json_schema", "json object")
+    return says(message, "format refused")
 
 
 def wants_schema(message: Column) -> Column:
-    m = F.lower(message)
-    return F.contains(m, F.lit("response_format")) & F.contains(m, F.lit("must be")) & F.contains(m, F.lit("json_schema"))
+    return says(message, "schema wanted")
 
 
 def is_reasoning_unsupported(message: Column) -> Column:
-    m = F.lower(message)
-    return _any(m, "reasoning_effort", "thinking", "chat_template_kwargs", "enable_thinking") & _any(m, "unsupported", "unknown", "unexpected", "invalid")
+    return says(message, "reasoning refused")
 
 
 def is_empty_parse(message: Column) -> Column:
-    return F.contains(F.lower(message), F.lit("no valid results parsed from 0 result nodes"))
+    return says(message, "nothing parsed")
 
 
 def is_count_mismatch(message: Column) -> Column:
-    m = F.lower(message)
-    return F.contains(m, F.lit("expected exactly")) & F.contains(m, F.lit("selected"))
+    return says(message, "miscounted")
 
 
 def duration_text(seconds: Column) -> Column:
