@@ -1,7 +1,8 @@
-"""Rebalancing of level histograms: batches planned from counts, then one plan of joins and windows for each transition.
+"""Rebalancing of level histograms: batches from counts, then one plan of windows for each transition.
 
-Picks are exact, so what a batch holds depends on counts alone: the driver plans batches from one aggregate of
-the source levels, and words meet their batch by a range join on their rank. No loop over words or batches runs.
+Picks are exact, so what a batch holds depends on counts alone: one aggregate of the source levels tells of which
+ranks of each level batches are made, and a word's batch is an expression of its rank. No loop over words or
+batches runs, and nothing is joined to find a batch.
 """
 
 from __future__ import annotations
@@ -21,10 +22,6 @@ BATCH_SIZE, RATIO = 600, 1 / 3
 SLICE_ROWS = 500_000
 
 
-def half_even(x: float) -> int:
-    return round(x)
-
-
 def largest_remainder(size: int, weights: Sequence[int]) -> list[int]:
     """Whole shares of size in proportion to weights: rounded down, what is left to the largest fractions, of equal ones the first."""
     total = float(sum(weights))
@@ -46,27 +43,45 @@ def within_supply(shares: list[int], supply: Sequence[int]) -> list[int]:
     return cut
 
 
-def plan_batches(counts: dict[int, int], batch_size: int, ratio: float) -> list[dict]:
-    """Rows (batch, level, rank_from, rank_to, size, target) from the source levels' counts: all that a batch needs to know.
+def plan_phases(counts: dict[int, int], batch_size: int) -> list[dict]:
+    """Runs of batches in a row that hold the same number of words of each level.
 
-    Batches hold levels in proportion to the initial counts; targets follow the rounded cumulative share, so that over
-    all batches they sum to the rounded whole. Ranks count from 1, of each level.
+    Batches hold levels in proportion to the initial counts, as long as there are so many. A phase has: the number of its
+    first batch, of its batches, their size, the words in batches before, and by level the words in each batch and
+    those taken before. Of one level or two there are five phases at most.
     """
     levels = sorted(counts)
     left, taken = [counts[x] for x in levels], [0] * len(levels)
-    rows, done, batch = [], 0, 0
+    out, done, batch = [], 0, 0
     while sum(left):
         size = min(batch_size, sum(left))
-        shares = within_supply(largest_remainder(size, [counts[x] for x in levels]) if len(levels) > 1 else [size], left)
-        target = half_even((done + size) * ratio) - half_even(done * ratio)
-        for i, level in enumerate(levels):
-            if shares[i]:
-                rows.append({"batch": batch, "level": level, "rank_from": taken[i] + 1, "rank_to": taken[i] + shares[i], "size": size, "target": target})
-            taken[i] += shares[i]
-            left[i] -= shares[i]
-        done += size
-        batch += 1
-    return rows
+        wanted = largest_remainder(size, [counts[x] for x in levels]) if len(levels) > 1 else [size]
+        shares, alike = within_supply(wanted, left), 1
+        if size == batch_size and shares == wanted:
+            alike = min(n // s for n, s in zip(left, shares) if s)
+        elif size == batch_size and sum(n > 0 for n in left) == 1:
+            alike = sum(left) // size
+        out.append({"batch": batch, "batches": alike, "size": size, "done": done, "shares": dict(zip(levels, shares)), "taken": dict(zip(levels, taken))})
+        taken, left = [t + s * alike for t, s in zip(taken, shares)], [n - s * alike for n, s in zip(left, shares)]
+        done, batch = done + size * alike, batch + alike
+    return out
+
+
+def with_batches(ranked: DataFrame, phases: list[dict], ratio: float) -> DataFrame:
+    """Rows (level, _rank from 1) with their batch, its size and its target: the rounded share of all words up to its end, less that up to its start."""
+    batch, size, done = F.lit(None).cast("long"), F.lit(None).cast("int"), F.lit(None).cast("long")
+    for p in phases:
+        for level, share in p["shares"].items():
+            if share:
+                at = F.col("_rank") - 1 - p["taken"][level]
+                batch = F.when((F.col("level") == level) & at.between(0, share * p["batches"] - 1), p["batch"] + F.floor(at / share)).otherwise(batch)
+    for p in phases:
+        inside = F.col("batch").between(p["batch"], p["batch"] + p["batches"] - 1)
+        size = F.when(inside, p["size"]).otherwise(size)
+        done = F.when(inside, p["done"] + (F.col("batch") - p["batch"]) * p["size"]).otherwise(done)
+    share = lambda n: F.bround(n.cast("double") * F.lit(float(ratio)))
+    rows = ranked.withColumn("batch", batch.cast("long")).withColumns({"size": size.cast("int"), "_done": done.cast("long")})
+    return rows.withColumn("target", (share(F.col("_done") + F.col("size")) - share(F.col("_done"))).cast("int")).drop("_done", "_rank")
 
 
 def shuffle_key(word_id: Column, seed: int = 0) -> Column:
@@ -105,13 +120,8 @@ def apply_transition(
     nothing = {"batch": F.lit(None).cast("long"), "target": F.lit(None).cast("int"), "is_common": F.lit(None).cast("boolean"), "previous_level": F.lit(None).cast("int"), "rule": F.lit("")}
     if not counts:
         return rows.withColumns(nothing)
-    spark = words.sparkSession
-    plan = spark.createDataFrame(plan_batches(counts, batch_size, ratio), "batch long, level int, rank_from long, rank_to long, size int, target int")
     ranked = _ranked(rows.where(eligible), sum(counts.values()), seed)
-    # A batch's ranks of a level span at most batch_size: words and batches meet on the slots of that width that they touch.
-    slot = lambda c: F.floor(F.col(c) / batch_size)
-    slots = plan.withColumn("_slot", F.explode(F.sequence(slot("rank_from"), slot("rank_to"))))
-    dealt = ranked.withColumn("_slot", slot("_rank")).join(slots, ["level", "_slot"]).where("_rank between rank_from and rank_to")
+    dealt = with_batches(ranked, plan_phases(counts, batch_size), ratio)
     common = F.col("target") if transition.to == transition.common else F.col("size") - F.col("target")
     dealt = dealt.withColumn("common_count", common)
     if pick is None:
@@ -179,16 +189,50 @@ def replay_checkpoint(words: DataFrame, rows: DataFrame, fingerprint: str) -> Da
     return out.withColumns({"level": F.coalesce("_new", "level"), "processed": F.col("processed") | F.coalesce("_done", F.lit(False))}).drop("_done", "_new")
 
 
+def resume_stats(rows: DataFrame) -> DataFrame:
+    """One row of checkpoint rows: batches, processed and switched words."""
+    total = lambda c: F.coalesce(F.sum(F.size(c)), F.lit(0)).cast("long")
+    return rows.agg(F.count(F.lit(1)).alias("batches"), total("processed_word_ids").alias("processed"), total("switched").alias("switched"))
+
+
+#: Batches whose running sums one task forms.
+SUMMED_BATCHES = 10_000
+
+
+def running_sums(rows: DataFrame, order: str, *names: str) -> DataFrame:
+    """The rows with each named column summed up to and with each row, by a whole number that tells their order; slices are summed side by side."""
+    rows = rows.withColumn("_slice", F.floor(F.col(order) / SUMMED_BATCHES))
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = rows.groupBy("_slice").agg(*[F.sum(c).alias(c) for c in names])
+    slices = slices.select("_slice", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in names])
+    within = Window.partitionBy("_slice").orderBy(order)
+    sums = {c: (F.sum(c).over(within) + F.col(f"_{c}")).cast("long") for c in names}
+    return rows.join(slices, "_slice").withColumns(sums).drop("_slice", *[f"_{c}" for c in names])
+
+
 def progress_rows(after: DataFrame, transition: Transition) -> DataFrame:
-    """A row for each batch: its ids, those that got the target level, and switches so far."""
+    """A row for each batch: its ids, those that got the target level, their words where there are such, the batch's switches,
+    the words still to come, and the distribution of all levels after it."""
     to_target = F.col("is_common") if transition.to == transition.common else ~F.col("is_common")
+    was = F.coalesce("previous_level", "level")
+    before = {r["level"]: r["count"] for r in after.groupBy(was.alias("level")).count().collect()}
+    levels = sorted({transition.common, transition.rare, *transition.sources})
+    by_id = lambda c, cond=None: F.transform(F.sort_array(F.collect_list(F.struct("word_id", c) if cond is None else F.when(cond, F.struct("word_id", c)))), lambda x: x[c])
+    words = {"selected_words": by_id("word"), "picked_words": by_id("word", to_target)} if "word" in after.columns else {}
     rows = after.where("batch is not null").groupBy("batch").agg(
         F.count(F.lit(1)).alias("size"),
+        F.first("target").alias("target"),
         F.sort_array(F.collect_list("word_id")).alias("selected_word_ids"),
         F.sort_array(F.collect_list(F.when(to_target, F.col("word_id")))).alias("picked_target_ids"),
         F.count_if(F.col("previous_level") != F.col("level")).alias("switched"),
+        *[(F.count_if(F.col("level") == x) - F.count_if(F.col("previous_level") == x)).alias(f"_more{x}") for x in levels],
+        *[c.alias(name) for name, c in words.items()],
     )
-    return rows.withColumn("transition", F.lit(transition.text))
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    rows = running_sums(rows.withColumn("_upto", F.col("size")), "batch", "_upto", *[f"_more{x}" for x in levels])
+    share = [y for x in range(1, 6) for y in (F.lit(str(x)), F.lit(before.get(x, 0)).cast("long") + (F.col(f"_more{x}") if x in levels else 0))]
+    rows = rows.withColumns({"remaining": F.lit(total).cast("long") - F.col("_upto"), "distribution": F.create_map(*share), "transition": F.lit(transition.text)})
+    return rows.drop("_upto", *[f"_more{x}" for x in levels])
 
 
 def source_mix(after: DataFrame) -> DataFrame:

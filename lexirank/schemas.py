@@ -19,10 +19,10 @@ UPLOAD_REPORT = _struct(word_id=_L, previous_level=_I, new_level=_I, source=_S)
 REVIEW_LABELS = _struct(ts_utc=_S, run_csv=_S, word_id=_L, word=_S, type=_S, predicted_level=_I, predicted_confidence=_D, label=_S)
 SWITCHED = _struct(timestamp=_S, run_slug=_S, model=_S, word_id=_L, word=_S, previous_level=_I, new_level=_I, selected_by_llm=BooleanType(), transition=_S, type=_S)
 CHECKPOINT = _struct(
-    timestamp=_S, transition=_S, fingerprint=_S, processed_word_ids=ArrayType(_L), switched=ArrayType(_struct(word_id=_L, new_level=_I, rule=_S))
+    timestamp=_S, transition=_S, fingerprint=_S, batch=_L, processed_word_ids=ArrayType(_L), switched=ArrayType(_struct(word_id=_L, new_level=_I, rule=_S))
 )
 PROGRESS = _struct(
-    transition=_S, batch=_L, size=_I, target=_I, selected_word_ids=ArrayType(_L), picked_target_ids=ArrayType(_L), remaining=_L, distribution=MapType(_S, _L)
+    transition=_S, batch=_L, size=_L, target=_I, selected_word_ids=ArrayType(_L), picked_target_ids=ArrayType(_L), switched=_L, remaining=_L, distribution=MapType(_S, _L)
 )
 
 #: Columns that files share, and level columns in the order in which the first present one is taken.
