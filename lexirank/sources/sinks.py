@@ -25,8 +25,25 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """What a replace() that was stopped left: between its two renames the old folder is put back, after them it goes.
+
+    For writers, of whom there is one at a time: each calls it before it reads what it will replace.
+    """
+    place, fs = _fs(spark, path)
+    if not fs.exists(place.getParent()):
+        return
+    aside = [x for x in fs.listStatus(place.getParent()) if x.getPath().getName().startswith(f"{place.getName()}.old-")]
+    aside.sort(key=lambda x: x.getModificationTime())
+    if aside and not fs.exists(place):
+        fs.rename(aside.pop().getPath(), place)
+    for x in aside:
+        fs.delete(x.getPath(), True)
+
+
 def replace(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a staged folder in the place of another: what readers see is one or the other."""
+    """Put a staged folder in the place of another, which is renamed away first: a reader in between finds none, and recover() puts it back."""
+    recover(spark, path)
     new, fs = _fs(spark, staged)
     old = spark._jvm.org.apache.hadoop.fs.Path(path)
     aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.old-{uuid.uuid4().hex}")
@@ -44,9 +61,14 @@ def replace(spark: SparkSession, staged: str, path: str) -> None:
 
 def write_csv(df: DataFrame, path: str, *, one_file: bool = False) -> None:
     """All cells quoted, with a header; staged, then put in place, so that df may read what it replaces."""
+    replace(df.sparkSession, stage_csv(df, path, one_file=one_file), path)
+
+
+def stage_csv(df: DataFrame, path: str, *, one_file: bool = False) -> str:
+    """A CSV file beside where it belongs, for replace()."""
     staged = f"{path}.tmp-{uuid.uuid4().hex}"
     (df.coalesce(1) if one_file else df).write.options(**_CSV).csv(staged)
-    replace(df.sparkSession, staged, path)
+    return staged
 
 
 def append_run(df: DataFrame, path: str, seq: int) -> None:

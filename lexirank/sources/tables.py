@@ -134,8 +134,11 @@ def database_options(url: str | None = None, user: str | None = None, password:
     return {k: v for k, v in found.items() if v}
 
 
-def read_words_table(spark: SparkSession, options: dict[str, str], columns: tuple[str, ...] = ("id", "word", "type"), partitions: int = 16, upper: int = 1 << 31) -> DataFrame:
-    """The words table by JDBC, in id ranges that are read side by side; only the columns named are fetched."""
-    ranged = {"partitionColumn": "id", "lowerBound": "0", "upperBound": str(upper), "numPartitions": str(partitions)}
-    rows = spark.read.format("jdbc").options(dbtable="words", **options, **ranged).load().select(*columns)
-    return rows.withColumnRenamed("id", "word_id")
+def read_words_table(spark: SparkSession, options: dict[str, str], columns: tuple[str, ...] = ("id", "word", "type"), partitions: int = 16) -> DataFrame:
+    """The words table by JDBC, in ranges of the ids that there are, read side by side; only the columns named are fetched."""
+    load = lambda **more: spark.read.format("jdbc").options(**options, **more).load()
+    low, high = load(query="SELECT min(id) AS low, max(id) AS high FROM words").first()
+    ranged = {} if low is None else {"partitionColumn": "id", "lowerBound": str(low), "upperBound": str(high + 1), "numPartitions": str(partitions)}
+    rows = load(dbtable="words", **ranged)
+    own = {c.lower(): c for c in rows.columns}
+    return rows.select(*[F.col(own[c]).alias("word_id" if c == "id" else c) for c in columns])

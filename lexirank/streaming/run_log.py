@@ -8,7 +8,7 @@ from pyspark.sql.types import LongType, StructType
 
 from ..operators.dedup import last_wins
 from ..schemas import RUN
-from ..sources.sinks import replace
+from ..sources.sinks import recover, replace
 from ..sources.tables import exists
 
 LOG = StructType([*RUN.fields]).add("seq", LongType())
@@ -20,8 +20,9 @@ def run_log_stream(spark: SparkSession, path: str, files: int = 1000) -> DataFra
 
 
 def merge_batch(rows: DataFrame, table: str, batch: int) -> None:
-    """The table with a batch's rows: of each word that with the greatest seq, so a batch that comes twice changes nothing."""
+    """The table with a batch's rows: of each word that with the greatest seq, so a batch that comes twice changes nothing. What a stopped merge left is put right first."""
     spark = rows.sparkSession
+    recover(spark, table)
     both = spark.read.schema(LOG).parquet(table).unionByName(rows) if exists(spark, table) else rows
     staged = f"{table}.batch-{batch}"
     last_wins(both, "word_id", "seq").write.mode("overwrite").parquet(staged)

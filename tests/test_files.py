@@ -94,3 +94,28 @@ def test_state_and_lock(tmp_path):
         with pytest.raises(RuntimeError):
             with sinks.output_lock(path):
                 pass
+
+
+def test_a_stopped_replace_loses_nothing(spark, tmp_path, monkeypatch):
+    from lexirank.streaming.run_log import LOG, merge_batch
+
+    table = str(tmp_path / "latest")
+    row = lambda i, level, seq: (i, "w", "N", level, "t", 0.5, "x", "m", "r", seq)
+    merge_batch(spark.createDataFrame([row(1, 2, 0), row(2, 3, 1)], LOG), table, 0)
+    (tmp_path / "latest").rename(tmp_path / "latest.old-abc")  # as between the two renames
+    merge_batch(spark.createDataFrame([row(2, 4, 2)], LOG), table, 1)
+    assert {r.word_id: r.rarity_level for r in spark.read.parquet(table).collect()} == {1: 2, 2: 4}
+    (tmp_path / "latest.old-def").mkdir()  # as after them
+    sinks.recover(spark, table)
+    assert not [p for p in tmp_path.iterdir() if ".old-" in p.name] and spark.read.parquet(table).count() == 2
+
+
+def test_words_of_a_database(spark, tmp_path):
+    """An embedded database: ids far from zero are dealt over the ranges that there are."""
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    options = {"url": url, "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    rows = spark.range(5_000_000_000, 5_000_000_400).selectExpr("id as ID", "'w' as WORD", "'N' as TYPE", "3 as RARITY_LEVEL")
+    rows.write.format("jdbc").options(dbtable="words", **options).save()
+    got = tables.read_words_table(spark, options, ("id", "rarity_level"), partitions=4)
+    sizes = [len(x) for x in got.rdd.glom().collect()]
+    assert sorted(got.columns) == ["rarity_level", "word_id"] and sum(sizes) == 400 and max(sizes) <= 110
