@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import hashlib
 import sys
 import uuid
 from pathlib import Path
@@ -11,22 +12,22 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .functions.scalars import run_slug
-from .operators import audit, compare, distribution, rebalance, retry, review, scoring, upload
+from .operators import audit, compare, distribution, metrics, rebalance, retry, review, scoring, upload
 from .operators.dedup import guarded_rewrite
-from .operators.endpoint import ChatScorer, detect, preflight
+from .operators.endpoint import ChatScorer, ChatSelector, detect, preflight
+from .operators.journal import Journal
+from .operators.selection import picker
 from .plans import chain
 from .schemas import level_column
 from .sources import sinks, tables
 from .transitions import DEFAULT_TRANSITIONS, Transition, check_disjoint, parse_transition, parse_transitions
 
 
-
 def now():
     """The time in UTC, as ISO text."""
     return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-
 def _session() -> SparkSession:
     return SparkSession.builder.appName("lexirank").config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
@@ -37,35 +38,40 @@ def export(spark, o) -> int:
     return 0
 
 
-def _scorer(o):
+def _chat(o, kind, system: str, template: str):
     endpoint = detect(o.endpoint, o.base_url)
     if not o.skip_preflight:
         for warning in preflight(endpoint, o.model):
             print(f"warning: {warning}")
-    return ChatScorer(endpoint, o.model, Path(o.system_prompt_file).read_text("utf-8"), Path(o.user_template_file).read_text("utf-8"), o.max_tokens, o.timeout_seconds)
+    return kind(endpoint, o.model, Path(system).read_text("utf-8"), Path(template).read_text("utf-8"), o.max_tokens, o.timeout_seconds)
 
 
 def score(spark, o) -> int:
     run = spark.range(1).select(run_slug(F.lit(o.run)).alias("s")).first()["s"]
     state = f"{o.output_dir}/runs/{run}.state.json"
+    journal = Journal(f"{o.output_dir}/runs/{run}.journal")
     with sinks.output_lock(f"{o.output_dir}/runs/{run}"):
         sinks.write_state(state, {"run": run, "status": "running"})
         try:
+            sinks.recover(spark, o.output_csv)
             base = tables.read_base(spark, o.input or o.base_csv)
             done = tables.read_run(spark, o.output_csv)
             before = done.count()
-            pending = retry.pending_words(base, done, force=o.force, most=o.limit or 0)
-            scored = scoring.score_words(pending, _scorer(o), batch_size=o.batch_size, retry=scoring.Retry(o.max_retries))
+            kept = journal.table(spark, scoring.SCORED).dropDuplicates(["word_id"])  # of a run that ended early
+            found = kept.count()
+            pending = retry.pending_words(base, done, force=o.force, most=o.limit or 0).join(kept.select("word_id"), "word_id", "left_anti")
+            scored = scoring.score_words(pending, _chat(o, ChatScorer, o.system_prompt_file, o.user_template_file), batch_size=o.batch_size, retry=scoring.Retry(o.max_retries), journal=journal)
             log = f"{o.output_dir}/runs/{run}-{uuid.uuid4().hex}"
-            scored.write.parquet(log)
+            scored.unionByName(kept).write.parquet(log)
             scored = spark.read.parquet(log)
             rows = scoring.run_rows(scored, model=o.model, run=run, at=now())
             failed = scoring.failed_rows(scored, run=run, at=now())
             sinks.append_json(failed, f"{o.output_dir}/failed_batches/{run}.failed.jsonl")
             sinks.write_csv(guarded_rewrite(done, rows) if before else rows.orderBy("word_id"), o.output_csv)
+            journal.clear()
             n, bad = rows.count(), failed.count()
             sinks.write_state(state, {"run": run, "status": "completed", "scored": n, "failed": bad, "pending": bad})
-            print(f"scored={n} failed={bad}")
+            print(f"scored={n} failed={bad} resumed={found}")
             return 0
         except BaseException as x:
             sinks.write_state(state, {"run": run, "status": "failed", "error": str(x)[:500]})
@@ -85,18 +91,23 @@ def upload_(spark, o) -> int:
     options = tables.database_options()
     final = tables.read_final_levels(spark, o.final_csv)
     db = tables.read_words_table(spark, options, ("id", "rarity_level"))
-    report = upload.upload_report(final, db, o.mode)
+    # The plan is written before the database changes: it is what is uploaded and what is reported.
+    staged = sinks.stage_csv(upload.upload_report(final, db, o.mode).orderBy("word_id"), o.report_csv)
+    plan = tables.read_csv(spark, staged)
+    plan = plan.withColumns({"word_id": F.col("word_id").cast("long"), "new_level": F.when(F.col("new_level") != "", F.col("new_level")).cast("int")})
     import psycopg
 
-    n = sinks.update_words(upload.upload_updates(report), lambda: psycopg.connect(options["url"], user=options.get("user"), password=options.get("password")))
-    sinks.write_csv(report.orderBy("word_id"), o.report_csv)
+    n = sinks.update_words(upload.upload_updates(plan), lambda: psycopg.connect(options["url"], user=options.get("user"), password=options.get("password")))
+    sinks.replace(spark, staged, o.report_csv)
     status, marks = upload.upload_status(final, db), {"uploaded_at": now(), "batch_id": o.upload_batch_id or uuid.uuid4().hex}
+    print(f"updated={n}")
+    if status.isEmpty():
+        return 0
     candidate = tables.read_csv(spark, o.final_csv)
     try:
         sinks.write_csv(upload.mark_uploaded(candidate, status, **marks), o.final_csv)
     except PermissionError:
         sinks.write_csv(upload.companion_markers(candidate, status, **marks), f"{o.final_csv}.upload_markers.csv")
-    print(f"updated={n}")
     return 0
 
 
@@ -109,21 +120,53 @@ def _transitions(o) -> list[Transition]:
     return [parse_transition(f"{source}:{o.to_level}")]
 
 
+def _fingerprint(words, *settings) -> str:
+    """Of the words' ids and levels, whatever their order, and of what decides batches and picks."""
+    n, total = words.agg(F.count(F.lit(1)), F.sum(F.xxhash64("word_id", "level").cast("decimal(38,0)"))).first()
+    return hashlib.sha256(repr((n, str(total), *settings)).encode()).hexdigest()[:16]
+
+
+def _pick(o, picks: str):
+    """What picks a batch's commonest words: None for the score column, else the model, with a journal in which it finds its earlier answers."""
+    if o.pick == "score":
+        return None
+    return picker(_chat(o, ChatSelector, o.select_system_file, o.select_template_file), retry=scoring.Retry(o.max_retries), journal=Journal(picks))
+
+
 def rebalance_(spark, o) -> int:
-    table = tables.read_levels_table(spark, o.input_csv)
-    words = table.select("word_id", F.col("level"), F.col(o.score_column).cast("double").alias("score") if o.score_column in table.columns else F.lit(0.0).alias("score")).dropDuplicates(["word_id"])
-    found = _transitions(o)
-    check_disjoint(found)
-    root = f"{o.output_dir}/rebalance/runs/{o.run}-{uuid.uuid4().hex}"
-
-    def cut(df):
-        cut.n = getattr(cut, "n", 0) + 1
-        df.write.parquet(f"{root}/{cut.n}")
-        return spark.read.parquet(f"{root}/{cut.n}")
-
-    # Picks are by score: no model is asked, so none is named in the rows.
-    after = rebalance.rebalance(words, found, ratio=o.lower_ratio, batch_size=o.batch_size, seed=o.seed or 0, cut=cut)
-    sinks.write_csv(rebalance.rebalanced_output(table.drop("level"), after, model="", run=o.run, at=now()).orderBy("word_id"), o.output_csv)
+    run, at = o.run, sinks.layout(o.output_dir)
+    with sinks.output_lock(o.output_csv):
+        table = tables.read_levels_table(spark, o.input_csv)
+        score = F.col(o.score_column).cast("double") if o.score_column in table.columns else F.lit(0.0)
+        last = F.struct(F.input_file_name(), F.monotonically_increasing_id())
+        words = table.select("word_id", "word", "level", score.alias("score"), last.alias("_seq")).groupBy("word_id")
+        words = words.agg(*[F.max_by(c, "_seq").alias(c) for c in ("word", "level", "score")])  # of an id's rows the last counts
+        found = _transitions(o)
+        check_disjoint(found)
+        print_of = _fingerprint(words, [t.text for t in found], o.lower_ratio, o.batch_size, o.seed or 0, o.pick, o.model)
+        root = f"{at['rebalance/runs']}/{run}-{uuid.uuid4().hex}"
+        model = o.model if o.pick == "model" else ""
+        done = words.withColumn("processed", F.lit(False))
+        kept = ("batch", "target", "is_common", "previous_level", "rule")
+        marks = None
+        for n, t in enumerate(found, 1):
+            picks = f"{at['rebalance/checkpoints']}/{run}/{print_of}/{n}"
+            after = rebalance.apply_transition(done, t, ratio=o.lower_ratio, batch_size=o.batch_size, seed=o.seed or 0, pick=_pick(o, picks))
+            after.write.parquet(f"{root}/{n}")
+            after = spark.read.parquet(f"{root}/{n}")
+            stamp = {"timestamp": now(), "run_slug": F.lit(run), "model": F.lit(model)}
+            sinks.append_json(rebalance.switched_events(after, t).withColumns(stamp), f"{at['rebalance/switched_words']}/{run}.jsonl")
+            sinks.append_json(rebalance.progress_rows(after, t), f"{at['rebalance/progress']}/{run}.jsonl")
+            rows = rebalance.checkpoint_rows(after, t, print_of, now())
+            sinks.append_json(rows, f"{at['rebalance/checkpoints']}/{run}.jsonl")
+            stats, sums = rebalance.resume_stats(rows).first(), rebalance.transition_summary(after).first()
+            print(f"{t.text}: batches={stats.batches} eligible={sums.eligible} common={sums.common_assigned} switched={sums.switched}")
+            taken = after.where("batch is not null").select("word_id", "rule")
+            marks = taken if marks is None else marks.unionByName(taken)
+            done = after.drop(*kept)
+        after = done.join(marks, "word_id", "left").withColumn("rule", F.coalesce("rule", F.lit("")))
+        out = rebalance.rebalanced_output(table.drop("level"), after, model=model, run=run, at=now())
+        sinks.write_csv(out.orderBy("word_id"), o.output_csv)
     return 0
 
 
@@ -194,7 +237,8 @@ def chain_(spark, o) -> int:
         return tables.read_levels_table(spark, path).withColumn("score", score)
 
     score = F.col("confidence").cast("double") if "confidence" in names else F.lit(0.0)
-    done = chain.run_chain(rows.withColumn("score", score), first=first, cut=cut, batch_size=o.batch_size)
+    picks = lambda df, step: _pick(o, f"{o.runs_dir}/{o.run_base}.picks/{step}-{_fingerprint(df, chain.STEPS[step - 1], o.batch_size, o.model)}")
+    done = chain.run_chain(rows.withColumn("score", score), first=first, cut=cut, batch_size=o.batch_size, picks=picks)
     if o.final_output_csv:
         sinks.write_csv(done.withColumn("final_level", F.col("level")).drop("level", "score"), o.final_output_csv)
     if o.reference_csv or o.anchor_l1_file:
@@ -220,6 +264,7 @@ def parser() -> argparse.ArgumentParser:
     number = lambda kind, default=None: {"type": kind, "default": default}
     default = lambda value: {"default": value}
     lm = [("--model", need), ("--endpoint", text), ("--base-url", text), ("--skip-preflight", flag()), ("--max-retries", number(int, 3)), ("--timeout-seconds", number(int, 300)), ("--max-tokens", number(int, 8000))]
+    selects = [("--pick", {"choices": ("model", "score"), "default": "model"}), ("--select-system-file", default("prompts/select_system.txt")), ("--select-template-file", default("prompts/select_user.txt"))]
     prompts = [("--system-prompt-file", default("prompts/system.txt")), ("--user-template-file", default("prompts/user.txt"))]
     gates = [("--reference-csv", text), ("--anchor-l1-file", text), ("--min-l1-jaccard", number(float)), ("--min-anchor-l1-precision", number(float)), ("--min-anchor-l1-recall", number(float))]
     command(("step1-export", "step1"), export, ("--output-csv", need))
@@ -231,7 +276,7 @@ def parser() -> argparse.ArgumentParser:
     command(("step4-upload", "step4"), upload_, ("--final-csv", need), ("--mode", default("partial")), ("--report-csv", default("build/rarity/step4_upload_report.csv")), ("--upload-batch-id", text))
     command(
         ("step5-rebalance", "step5"), rebalance_, ("--run", need), ("--input-csv", need), ("--output-csv", need), ("--batch-size", number(int, rebalance.BATCH_SIZE)), ("--lower-ratio", number(float, rebalance.RATIO)),
-        ("--seed", number(int)), ("--from-level", number(int)), ("--from-level-high", number(int)), ("--to-level", number(int)), ("--transitions", default(DEFAULT_TRANSITIONS)), ("--score-column", default("confidence")), *lm, *prompts,
+        ("--seed", number(int)), ("--from-level", number(int)), ("--from-level-high", number(int)), ("--to-level", number(int)), ("--transitions", default(DEFAULT_TRANSITIONS)), ("--score-column", default("confidence")), *lm, *selects,
     )
     command(("quality-audit",), audit_, ("--candidate-csv", need), *gates)
     command(("rarity-distribution", "dist"), dist, ("--csv", need), ("--level-column", text))
@@ -242,7 +287,8 @@ def parser() -> argparse.ArgumentParser:
     command(("l1-review-check",), review_check, ("--labels-csv", default("build/rarity/review_labels.csv")), ("--min-precision", number(float)), ("--min-reviewed", number(int)))
     command(("build-retry-input",), retry_, ("--failed-jsonl", need), ("--base-csv", need), ("--output-csv", need))
     command(
-        ("chain-rebalance-target-dist",), chain_, ("--input-csv", need), ("--model", default("openai/gpt-oss-20b")), ("--run-base", default("rb_run")), ("--runs-dir", default("build/rarity/runs")), ("--state-file", text),
+        ("chain-rebalance-target-dist",), chain_, ("--input-csv", need), *[x for x in lm if x[0] not in ("--model", "--max-retries", "--timeout-seconds", "--max-tokens")], *selects,
+        ("--model", default("openai/gpt-oss-20b")), ("--max-retries", number(int, 2)), ("--timeout-seconds", number(int, 120)), ("--max-tokens", number(int, 1200)), ("--run-base", default("rb_run")), ("--runs-dir", default("build/rarity/runs")), ("--state-file", text),
         ("--resume", flag(True)), ("--final-output-csv", text), ("--batch-size", number(int, rebalance.BATCH_SIZE)), *gates,
     )
     return p

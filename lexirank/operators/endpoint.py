@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import urllib.error
 import urllib.request
 from collections.abc import Callable
@@ -12,27 +13,38 @@ from dataclasses import dataclass, field
 import pandas as pd
 
 from ..functions.repair import parse_content
+from ..functions.scalars import said
 
 # Where an endpoint is looked for, paths by flavour, time and token limits.
 BASE_URL = "http://127.0.0.1:1234"
-PATHS = {"openai": ("/v1/models", "/v1/chat/completions"), "native": ("/api/v0/models", "/api/v0/chat/completions")}
+PATHS = {"openai": ("/v1/models", "/v1/chat/completions"), "native": ("/api/v1/models", "/api/v1/chat")}
 TIMEOUT, PREFLIGHT_TIMEOUT, TOKENS = 300, 5, 8000
 FORMATS = ("json_object", "json_schema", "none")
 
 
 @dataclass(frozen=True)
 class Profile:
-    """Sampling of a model; what is None isn't sent."""
+    """Sampling of a model and its limits; what is None isn't sent."""
 
     temperature: float | None = 0.0
-    top_p: float | None = None
+    top_k: int | None = 40
+    top_p: float | None = 1.0
     max_tokens: int | None = None
     reasoning_effort: str | None = None
+    thinking: str | None = None
+    enable_thinking: bool | None = None
     extra: dict = field(default_factory=dict)
 
 
-#: Profiles by model in lower case; "" for any other.
-PROFILES: dict[str, Profile] = {"": Profile(), "openai/gpt-oss-20b": Profile(temperature=0.0, reasoning_effort="low")}
+# Profiles by model in lower case; "" for any other.
+PROFILES: dict[str, Profile] = {
+    "": Profile(),
+    "openai/gpt-oss-20b": Profile(max_tokens=4096, reasoning_effort="low"),
+    "zai-org/glm-4.7-flash": Profile(max_tokens=2048, reasoning_effort="low", thinking="disabled", enable_thinking=False),
+    "ministral-3-8b-instruct-2512-mixed-8-6-bit": Profile(max_tokens=3072),
+    "mlx-community/eurollm-22b-instruct-2512-mlx-4bit": Profile(max_tokens=3072),
+    "eurollm-22b-instruct-2512-mlx": Profile(max_tokens=3072),
+}
 
 
 def profile_of(model: str) -> Profile:
@@ -109,22 +121,30 @@ class Abilities:
         return cls("none", False) if endpoint.flavour == "native" else cls()
 
     def refused(self, message: str) -> bool:
-        """Give up what the message says is refused; whether that changes anything."""
-        low = message.lower()
+        """Give up what the message says is refused, or gave nothing; whether that changes anything."""
         before = (self.format, self.reasoning)
-        if "response_format" in low and self.format != "none":
-            self.format = "json_schema" if self.format == "json_object" and "json_schema" in low and "must be" in low else "none"
-        if any(x in low for x in ("reasoning_effort", "thinking", "chat_template_kwargs")) and any(x in low for x in ("unsupported", "unknown", "unexpected", "invalid")):
+        if self.format == "json_object" and said(message, "schema wanted"):
+            self.format = "json_schema"
+        elif said(message, "format refused") or self.format == "json_schema" and said(message, "nothing parsed"):
+            self.format = "none"
+        if said(message, "reasoning refused"):
             self.reasoning = False
         return before != (self.format, self.reasoning)
 
+    def answered(self, size: int, unresolved: int) -> None:
+        """A schema under which a fifth of a batch or more stays unresolved does harm."""
+        if self.format == "json_schema" and unresolved and unresolved >= max(1, -(-size // 5)):
+            self.format = "none"
+
 
 def payload(model: str, system: str, user: str, *, tokens: int, abilities: Abilities, schema: dict, profile: Profile | None = None) -> dict:
     p = profile or profile_of(model)
     body = {"model": model, "messages": [{"role": "system", "content": system}, {"role": "user", "content": user}], "max_tokens": min(tokens, p.max_tokens or tokens), "stream": False}
-    body |= {k: v for k, v in (("temperature", p.temperature), ("top_p", p.top_p)) if v is not None} | p.extra
-    if abilities.reasoning and p.reasoning_effort:
-        body["reasoning_effort"] = p.reasoning_effort
+    body |= {k: v for k, v in (("temperature", p.temperature), ("top_k", p.top_k), ("top_p", p.top_p)) if v is not None} | p.extra
+    if abilities.reasoning:
+        controls = {"reasoning_effort": p.reasoning_effort, "thinking": p.thinking and {"type": p.thinking}}
+        controls["chat_template_kwargs"] = None if p.enable_thinking is None else {"enable_thinking": p.enable_thinking}
+        body |= {k: v for k, v in controls.items() if v is not None}
     if abilities.format == "json_object":
         body["response_format"] = {"type": "json_object"}
     elif abilities.format == "json_schema":
@@ -132,6 +152,18 @@ def payload(model: str, system: str, user: str, *, tokens: int, abilities: Abili
     return body
 
 
+#: The fence at the start or the end of a part of an answer.
+_FENCE = re.compile(r"\A\s*```\w*\s*|\s*```\s*\Z")
+
+
+def json_or_text(value: str):
+    """What a text is as JSON, or the text itself: for logs of requests and answers."""
+    try:
+        return json.loads(value)
+    except ValueError:
+        return value
+
+
 def content_text(body: dict) -> str:
     """The text of an answer: a string, parts of one, or an object as JSON."""
     choices = body.get("choices") or [{}]
@@ -139,13 +171,13 @@ def content_text(body: dict) -> str:
     if found is None:
         raise ValueError("Missing content")
     if isinstance(found, list):
-        return "".join(x if isinstance(x, str) else str(x.get("text", "")) for x in found)
+        return "".join(_FENCE.sub("", x if isinstance(x, str) else str(x.get("text", ""))) for x in found)
     return found if isinstance(found, str) else json.dumps(found, ensure_ascii=False)
 
 
 @dataclass
-class ChatScorer:
-    """A Scorer over an endpoint, made anew in each worker: batch in, results out; it learns what the endpoint refuses."""
+class Chat:
+    """An endpoint as a task uses it, made anew in each worker: it learns what the endpoint refuses."""
 
     endpoint: Endpoint
     model: str
@@ -163,23 +195,76 @@ class ChatScorer:
         except urllib.error.HTTPError as x:
             raise ValueError(x.read().decode(errors="replace")) from x
 
-    def __call__(self, batch: pd.DataFrame) -> pd.DataFrame:
-        from ..functions.responses import _nodes, _waterfall
-
+    def ask(self, system: str, user: str, tokens: int, schema: dict) -> str:
+        """The text of the answer; asked again without what the endpoint says it refuses."""
         if not hasattr(self, "abilities"):
             self.abilities = Abilities.of(self.endpoint)
-        words = list(batch[["word_id", "word", "type"]].itertuples(index=False, name=None))
-        listed = json.dumps([{"word_id": int(i), "word": w, "type": t} for i, w, t in words], ensure_ascii=False)
-        user = self.template.replace("{words}", listed).replace("{count}", str(len(words)))
-        tokens = min(max(40 * len(words) + 200, 256), self.tokens)
         while True:
-            body = payload(self.model, self.system, user, tokens=tokens, abilities=self.abilities, schema=results_schema(len(words)))
+            body = payload(self.model, system, user, tokens=tokens, abilities=self.abilities, schema=schema)
             try:
-                answer = (self.post or self._post)(self.endpoint.url("chat"), body, self.timeout)
-                break
+                return content_text((self.post or self._post)(self.endpoint.url("chat"), body, self.timeout))
             except ValueError as x:
                 if not self.abilities.refused(str(x)):
                     raise
-        rows = _waterfall(words, _nodes(parse_content(content_text(answer))[0]), True)
+
+
+@dataclass
+class ChatScorer(Chat):
+    """A Scorer over an endpoint: batch in, results out."""
+
+    def __call__(self, batch: pd.DataFrame) -> pd.DataFrame:
+        from ..functions.responses import _nodes, _waterfall
+
+        words = list(batch[["word_id", "word", "type"]].itertuples(index=False, name=None))
+        listed = json.dumps([{"word_id": int(i), "word": w, "type": t} for i, w, t in words], ensure_ascii=False)
+        user = self.template.replace("{words}", listed).replace("{count}", str(len(words)))
+        tokens = max(256, min(40 * len(words) + 200, self.tokens))
+        content = self.ask(self.system, user, tokens, results_schema(len(words)))
+        try:
+            rows = _waterfall(words, _nodes(parse_content(content)[0]), True)
+        except ValueError as x:
+            self.abilities.refused(str(x))
+            raise
         found = [(r[0], *r[3:6]) for r in rows if r[3] is not None]
+        self.abilities.answered(len(words), len(words) - len(found))
         return pd.DataFrame(found, columns=["word_id", "rarity_level", "tag", "confidence"])
+
+
+#: What is asked when a selection had the wrong number of picks.
+REPAIR_SYSTEM = "Answer with one JSON array of whole numbers and nothing else. Every number is a local_id of the list, none stands twice."
+REPAIR_USER = "Choose exactly {count} of these {size} words: the most common ones. The array must have exactly {count} numbers.\n{words}"
+
+
+def picked_ids(node, words: list[str], expected: int) -> list[int]:
+    """The local ids, from 1, that a parsed answer picks: by number, or by spelling where it gives words. The first `expected` distinct ones."""
+    edges = " \t\n.,;:!?\"'()[]{}«»„”“-"
+    plain = lambda w: str(w).strip(edges).lower()
+    by_word: dict[str, list[int]] = {}
+    for i, w in enumerate(words, 1):
+        by_word.setdefault(plain(w), []).append(i)
+    items = node if isinstance(node, list) else next((x for x in node.values() if isinstance(x, list)), []) if isinstance(node, dict) else []
+    out: dict[int, None] = {}
+    for x in items:
+        x = x.get("local_id", x.get("id", x.get("word"))) if isinstance(x, dict) else x
+        number = int(x) if isinstance(x, (int, float)) and not isinstance(x, bool) or isinstance(x, str) and x.strip().isdigit() else None
+        if number is None:
+            number = next((i for i in by_word.get(plain(x), ()) if i not in out), None)
+        if number is not None and 1 <= number <= len(words):
+            out[number] = None
+    if len(out) < expected:
+        raise ValueError(f"expected exactly {expected} selected, got {len(out)}")
+    return list(out)[:expected]
+
+
+@dataclass
+class ChatSelector(Chat):
+    """A selector over an endpoint: words and how many to pick in, local ids of the commonest out."""
+
+    def __call__(self, words: list[str], expected: int, repair: bool = False) -> list[int]:
+        listed = json.dumps([{"local_id": i, "word": w} for i, w in enumerate(words, 1)], ensure_ascii=False)
+        system, user = (REPAIR_SYSTEM, REPAIR_USER) if repair else (self.system, self.template)
+        fill = lambda t: t.replace("{count}", str(expected)).replace("{size}", str(len(words))).replace("{words}", listed)
+        tokens = min(max(128, min(24 * expected + 128, self.tokens)), 1024)
+        content = self.ask(fill(system), fill(user), tokens, selection_schema(len(words), expected))
+        node = parse_content(content)[0]
+        return picked_ids(json_or_text(node) if isinstance(node, str) else node, words, expected)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -10,6 +11,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import said
+from .journal import Journal
+from .metrics import HIGH_RATE, LOW_RATE, SUCCESS, WINDOW
+
 #: From a batch (word_id, word, type) to its results (word_id, rarity_level, tag, confidence), for some or all of its words.
 #: A task that runs again calls it again: it must give the same answer.
 Scorer = Callable[[pd.DataFrame], pd.DataFrame]
@@ -47,11 +52,10 @@ def resilient(scorer: Scorer, batch: pd.DataFrame, retry: Retry = Retry()) -> pd
                 found = scorer(left)
             except Exception as x:  # noqa: BLE001  a scorer may fail in any way
                 error = str(x)
-                low = error.lower()
-                if isinstance(x, (TimeoutError, ConnectionError)) or any(s in low for s in ("timed out", "connection refused", "couldn't connect")):
+                if isinstance(x, (TimeoutError, ConnectionError)) or said(error, "unreachable"):
                     if attempt == retry.attempts and not done:
                         raise Unreachable(error) from x
-                elif "exit code" in low or ("model" in low and "crash" in low):
+                elif said(error, "crash"):
                     time.sleep(retry.crash_wait * attempt)
                 continue
             valid = found[found["word_id"].isin(left["word_id"]) & found["rarity_level"].between(1, 5)].drop_duplicates("word_id")
@@ -71,22 +75,48 @@ def resilient(scorer: Scorer, batch: pd.DataFrame, retry: Retry = Retry()) -> pd
     return pd.concat(parts) if parts else pd.DataFrame(columns=columns)
 
 
-def score_words(pending: DataFrame, scorer: Scorer, *, batch_size: int = BATCH_SIZE, retry: Retry = Retry()) -> DataFrame:
-    """SCORED rows of all pending words: each partition feeds the scorer batch by batch, so partitions are what runs at once."""
+def next_size(size: int, last: list[bool], most: int, least: int = 3) -> int:
+    """A batch size after the last outcomes, of which WINDOW are looked at: smaller where few succeed, larger where nearly all do."""
+    rate = sum(last[-WINDOW:]) / len(last[-WINDOW:])
+    return max(least, size * 2 // 3) if rate < LOW_RATE else min(most, size * 3 // 2) if rate > HIGH_RATE else size
+
+
+def score_words(pending: DataFrame, scorer: Scorer, *, batch_size: int = BATCH_SIZE, retry: Retry = Retry(), journal: Journal | None = None) -> DataFrame:
+    """SCORED rows of all pending words: each partition, a range of ids, feeds the scorer batch by batch.
+
+    Partitions are what runs at once. A partition's batches are of batch_size at first, smaller after failures. With a
+    journal each batch's results are kept as they come: a run that ends early has lost none, and its next run
+    takes them from there.
+    """
     if batch_size < 5:
         raise ValueError("a batch has 5 words or more")
 
+    def done(batch: pd.DataFrame) -> pd.DataFrame:
+        out = resilient(scorer, batch, retry)
+        known = out[out["rarity_level"].notna()]
+        if journal and len(known):
+            name = hashlib.sha256(",".join(map(str, known["word_id"])).encode()).hexdigest()[:32]
+            rows = known.astype(object).where(known.notna(), None).to_dict("records")
+            journal.put(name, [{k: v.item() if hasattr(v, "item") else v for k, v in r.items()} for r in rows])
+        return out
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        left = pd.DataFrame(columns=["word_id", "word", "type"])
+        left, size, last = pd.DataFrame(columns=["word_id", "word", "type"]), batch_size, []
         for frame in frames:
             left = pd.concat([left, frame]) if len(left) else frame
-            while len(left) >= batch_size:
-                yield resilient(scorer, left.iloc[:batch_size], retry)
-                left = left.iloc[batch_size:]
-        if len(left):
-            yield resilient(scorer, left, retry)
-
-    return pending.select("word_id", "word", "type").mapInPandas(run, SCORED)
+            while len(left) >= size:
+                out = done(left.iloc[:size])
+                left = left.iloc[size:]
+                last = [*last[1 - WINDOW :], out["rarity_level"].notna().mean() >= SUCCESS]
+                size = next_size(size, last, batch_size)
+                yield out
+        while len(left):
+            yield done(left.iloc[:size])
+            left = left.iloc[size:]
+
+    rows = pending.select("word_id", "word", "type")
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartitionByRange(tasks, "word_id").sortWithinPartitions("word_id").mapInPandas(run, SCORED)
 
 
 def run_rows(scored: DataFrame, *, model: str, run: str, at: Column) -> DataFrame:

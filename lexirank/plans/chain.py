@@ -33,11 +33,11 @@ def step_ratio(transition: Transition, counts: dict[int, int], targets: dict[int
     return ratio
 
 
-def run_chain(words: DataFrame, *, targets: dict[int, int] = TARGETS, first: int = 1, cut: Callable[[DataFrame, int], DataFrame] = lambda df, step: df, **options) -> DataFrame:
+def run_chain(words: DataFrame, *, targets: dict[int, int] = TARGETS, first: int = 1, cut: Callable[[DataFrame, int], DataFrame] = lambda df, step: df, picks: Callable[[DataFrame, int], Callable | None] = lambda df, step: None, **options) -> DataFrame:
     """word_id, level, ... after the steps from `first` on. Each step is a run of its own: words it takes may be taken again by the next.
 
     The pool of a step comes from one aggregate of the table as it then is; `cut(df, step)` may write it, which
-    ends lineage and is where a chain is taken up again.
+    ends lineage and is where a chain is taken up again; `picks(df, step)` gives what picks its words, if not the score.
     """
     total = words.count()
     goal = chain_targets(total, targets)
@@ -47,6 +47,6 @@ def run_chain(words: DataFrame, *, targets: dict[int, int] = TARGETS, first: int
         transition = parse_transition(text)
         counts = {r["level"]: r["count"] for r in words.groupBy("level").count().collect()}
         ratio = step_ratio(transition, counts, goal)
-        after = apply_transition(words.withColumn("processed", F.lit(False)), transition, ratio=ratio, **options)
+        after = apply_transition(words.withColumn("processed", F.lit(False)), transition, ratio=ratio, pick=picks(words, number), **options)
         words = cut(after.select(*words.columns), number)
     return words

@@ -461,10 +461,29 @@ def rebalance_resume(spark: SparkSession, d: str) -> DataFrame:
     t, after = _one(spark, d)
     path = scratch_path(spark, "checkpoint")
     rebalance.checkpoint_rows(after, t, "input-1", F.lit("2024-01-01T00:00:00Z")).write.json(path)
-    rows = tables.read_checkpoint(spark, path).withColumn("batch", F.lit(0))
+    rows = tables.read_checkpoint(spark, path)
     return rebalance.replay_checkpoint(views.pool(spark, d), rows, "input-1").select("word_id", "level", "processed")
 
 
+@query(_ONE + "SELECT count(DISTINCT batch) AS batches, count(batch) AS processed, count(*) FILTER (level <> previous_level) AS switched FROM s1")
+def rebalance_resume_stats(spark: SparkSession, d: str) -> DataFrame:
+    t, after = _one(spark, d)
+    return rebalance.resume_stats(rebalance.checkpoint_rows(after, t, "input-1", F.lit("2024-01-01T00:00:00Z")))
+
+
+@query(
+    _ONE + """SELECT batch, CAST(max(target) AS INT) AS target, count(*) AS size, (SELECT count(*) FROM s1 WHERE batch IS NOT NULL) - sum(count(*)) OVER w AS remaining,
+        (SELECT count(*) FROM pool WHERE level = 4) + sum(count(*) FILTER (level = 4) - count(*)) OVER w AS level4, (SELECT count(*) FROM pool WHERE level = 5) + sum(count(*) FILTER (level = 5)) OVER w AS level5,
+        (SELECT count(*) FROM pool WHERE level = 1) AS level1
+    FROM s1 WHERE batch IS NOT NULL GROUP BY batch WINDOW w AS (ORDER BY batch)"""
+)
+def rebalance_running(spark: SparkSession, d: str) -> DataFrame:
+    """The distribution of levels after each batch."""
+    t, after = _one(spark, d)
+    level = lambda x: F.col("distribution")[str(x)].alias(f"level{x}")
+    return rebalance.progress_rows(after, t).select("batch", "target", "size", "remaining", level(1), level(4), level(5))
+
+
 _CHAINED = _START + ", ".join(_step_sql(a, b, low, to, 600, "(CAST(1 AS DOUBLE) / 3)") for a, b, low, to in (("s0", "s1", 2, 1), ("s1", "s2", 3, 2), ("s2", "s3", 4, 3)))
 
 
@@ -479,15 +498,37 @@ def rebalance_histogram(spark: SparkSession, d: str) -> DataFrame:
     return distribution.histogram(rebalance_default(spark, d), "level")
 
 
-@query()
+_PAIR = f"""WITH RECURSIVE pool AS (SELECT o_orderkey AS word_id, CAST(substr(o_orderpriority, 1, 1) AS INT) AS level, o_totalprice AS score FROM orders),
+n AS (SELECT count(*) FILTER (level = 2) AS n2, count(*) FILTER (level = 3) AS n3 FROM pool),
+q AS (SELECT *, n2 + n3 AS total FROM n),
+b AS (
+    SELECT CAST(-1 AS BIGINT) AS batch, CAST(0 AS BIGINT) AS from2, CAST(0 AS BIGINT) AS from3, CAST(0 AS BIGINT) AS s2, CAST(0 AS BIGINT) AS s3, CAST(0 AS BIGINT) AS size FROM q
+    UNION ALL
+    SELECT batch, from2, from3, s2, size - s2, size FROM (
+        SELECT *, CASE WHEN size - q2 > n3 - from3 THEN size - (n3 - from3) ELSE least(q2, n2 - from2) END AS s2 FROM (
+            SELECT *, floor(size * (n2 / CAST(total AS DOUBLE)))::BIGINT + CASE
+                WHEN floor(size * (n2 / CAST(total AS DOUBLE))) + floor(size * (n3 / CAST(total AS DOUBLE))) < size
+                     AND size * (n2 / CAST(total AS DOUBLE)) - floor(size * (n2 / CAST(total AS DOUBLE))) >= size * (n3 / CAST(total AS DOUBLE)) - floor(size * (n3 / CAST(total AS DOUBLE))) THEN 1 ELSE 0 END AS q2
+            FROM (SELECT batch + 1 AS batch, from2 + s2 AS from2, from3 + s3 AS from3, least(600, total - from2 - s2 - from3 - s3) AS size, n2, n3, total FROM b, q WHERE from2 + s2 + from3 + s3 < total)))),
+r AS (SELECT word_id, score, level, row_number() OVER (PARTITION BY level ORDER BY {_KEY}, word_id) AS rank FROM pool WHERE level IN (2, 3)),
+p AS (
+    SELECT r.*, batch, CAST(round_even((batch * 600 + size) * CAST(0.4 AS DOUBLE), 0) - round_even(batch * 600 * CAST(0.4 AS DOUBLE), 0) AS INT) AS target, size
+    FROM r JOIN b ON CASE WHEN level = 2 THEN rank > from2 AND rank <= from2 + s2 ELSE rank > from3 AND rank <= from3 + s3 END),
+o AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY score, word_id) <= size - target AS is_common FROM p),
+pair AS (SELECT pool.word_id, CASE WHEN o.word_id IS NULL THEN pool.level WHEN o.is_common THEN 2 ELSE 3 END AS level, o.batch, o.target, o.is_common, CASE WHEN o.word_id IS NOT NULL THEN pool.level END AS previous_level
+         FROM pool LEFT JOIN o USING (word_id))
+"""
+
+
+@query(_PAIR + "SELECT * FROM pair")
 def rebalance_pair(spark: SparkSession, d: str) -> DataFrame:
-    """A pair of levels in stratified batches; tested against a plain loop."""
+    """A pair of levels in stratified batches."""
     t = parse_transition("2-3:3")
     after = rebalance.apply_transition(views.pool(spark, d).withColumn("processed", F.lit(False)), t, ratio=0.4)
     return after.select("word_id", "level", "batch", "target", "is_common", "previous_level")
 
 
-@query()
+@query(_PAIR + "SELECT batch, '[' || string_agg(previous_level || ':' || n, ' ' ORDER BY previous_level) || ']' AS mix FROM (SELECT batch, previous_level, count(*) AS n FROM pair WHERE batch IS NOT NULL GROUP BY 1, 2) GROUP BY 1")
 def rebalance_mix(spark: SparkSession, d: str) -> DataFrame:
     return rebalance.source_mix(rebalance_pair(spark, d))
 
@@ -537,9 +578,14 @@ def json_repair(spark: SparkSession, d: str) -> DataFrame:
 _LEVEL = "CAST(word_id % 5 + 1 AS INT)"
 
 
-def _answered(spark, d) -> tuple[DataFrame, DataFrame]:
+#: Words that are unlike each other, so that a misspelt one is like its own alone.
+_UNLIKE = "substr(sha256(CAST(word_id AS VARCHAR)), 1, 16)"
+
+
+def _answered(spark, d, unlike: bool = False) -> tuple[DataFrame, DataFrame]:
     """Batches by segment and key, with answers: a third by id, a third by word, a third misspelt."""
     words = views.base(spark, d).withColumn("batch", F.floor(F.col("word_id") / 25))
+    words = words.withColumn("word", F.substring(F.sha2(F.col("word_id").cast("string"), 256), 1, 16)) if unlike else words
     third = F.col("word_id") % 3
     node = F.struct(
         F.when(third == 0, F.col("word_id")).alias("word_id"),
@@ -563,17 +609,30 @@ def answers_by_word(spark: SparkSession, d: str) -> DataFrame:
     return responses.match_by_word(words, results).select("word_id", "word", "type", "rarity_level")
 
 
-@query()
+@query(f"SELECT word_id, {_UNLIKE} AS word, type, {_LEVEL} AS rarity_level FROM base")
 def answers_fuzzy(spark: SparkSession, d: str) -> DataFrame:
-    words, answers = _answered(spark, d)
+    words, answers = _answered(spark, d, unlike=True)
     results = responses.valid_results(answers.withColumn("nodes", responses.result_nodes(F.col("response"))))
     return responses.match_fuzzy(words, results).select("word_id", "word", "type", "rarity_level")
 
 
-@query("SELECT word_id FROM base")
+@query(f"SELECT word_id, {_LEVEL} AS rarity_level, ['id', 'word', 'fuzzy'][1 + word_id % 3] AS matched FROM base")
 def answers_waterfall(spark: SparkSession, d: str) -> DataFrame:
-    """Every word gets an answer of its batch."""
-    return responses.parse_batches(_answered(spark, d)[1]).where("rarity_level is not null").select("word_id")
+    """Every word gets an answer of its batch: by id, by word, or by spelling."""
+    return responses.parse_batches(_answered(spark, d, unlike=True)[1]).select("word_id", "rarity_level", "matched")
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN '[{"word_id": ' || event_id || ', "rarity_level": 2}]' ELSE '[{"word_id": ' || event_id || '}, {"word_id": 7}]' END AS saved,
+    CASE WHEN event_id % 2 = 0 THEN 'block' ELSE 'salvaged' END AS stage FROM events"""
+)
+def json_block_and_salvage(spark: SparkSession, d: str) -> DataFrame:
+    """An array inside prose, and one of which an object is beyond repair."""
+    e = F.col("event_id").cast("string")
+    prose = F.concat(F.lit('Sure, here: [{"word_id": '), e, F.lit(', "rarity_level": 2}] as asked.'))
+    broken = F.concat(F.lit('[{"word_id": '), e, F.lit('}, {"word_id": :}, {"word_id": 7}]'))
+    parsed = repair.parse_content_udf(F.when(F.col("event_id") % 2 == 0, prose).otherwise(broken))
+    return views.table(spark, d, "events").select("event_id", parsed.alias("p")).select("event_id", F.col("p.node").alias("saved"), F.col("p.stage").alias("stage"))
 
 
 @query("SELECT p_partkey AS batch, '1,' || (p_size + 1) AS picks, 1 AS surplus, 1 AS invalid FROM part")
@@ -603,6 +662,41 @@ def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(tables.strict("long", "word_id", path).alias("word_id"), F.sha2("word", 256).alias("word"), "type")
 
 
+@query("SELECT doc_id AS word_id, 'w' || doc_id AS word, coalesce(lang, 'x') AS type FROM documents")
+def base_scan(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "base")
+    docs = views.table(spark, d, "documents")
+    sinks.write_csv(docs.select(F.col("doc_id").alias("word_id"), F.concat(F.lit("w"), "doc_id").alias("word"), F.coalesce("lang", F.lit("x")).alias("type")), path)
+    return tables.read_base(spark, path)
+
+
+@query("SELECT word_id, rarity_level, confidence, 'm' AS model FROM (SELECT * FROM run_log QUALIFY row_number() OVER (PARTITION BY word_id ORDER BY seq DESC) = 1)")
+def run_scan(spark: SparkSession, d: str) -> DataFrame:
+    """A run's rows appended twice, each time all that there are so far, written in order and read: the last of each word counts."""
+    log, path = scratch_path(spark, "log"), scratch_path(spark, "run")
+    rows = views.run_log(spark, d).withColumns({"word": F.concat(F.lit("w"), F.col("word_id").cast("string")), "type": F.lit("N"), "model": F.lit("m")})
+    sinks.append_run(rows.where("seq % 2 = 0").drop("run"), log, 0)
+    sinks.append_run(rows.where("seq % 2 = 1").drop("run"), log, 1)
+    order = spark.read.parquet(log).join(rows.select("word_id", "confidence", "rarity_level", F.col("seq").alias("at")), ["word_id", "confidence", "rarity_level"]).groupBy("at").agg(*[F.first(c).alias(c) for c in ("word_id", "word", "type", "rarity_level", "confidence", "model")])
+    sinks.write_csv(order.orderBy("at").drop("at"), path, one_file=True)
+    return tables.read_run(spark, path).select("word_id", "rarity_level", "confidence", "model")
+
+
+@query("SELECT doc_id AS word_id, 1 AS predicted_level, CASE WHEN toxic = 1 THEN 'undecided' WHEN quality = 1 THEN '1' ELSE 'unknown_4_5' END AS label FROM labels")
+def review_label_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Labels appended as a reviewer's, and read back."""
+    path = scratch_path(spark, "labels")
+    rows = views.review_labels(spark, d).withColumn("predicted_confidence", F.lit(0.25))
+    sinks.append_labels(rows, path)
+    return tables.read_review_labels(spark, path)
+
+
+@query("SELECT word_id, word, type, rarity_level, 't' AS tag, confidence, 'now' AS scored_at, 'm' AS model, 'r' AS run_slug FROM run_a JOIN base USING (word_id)")
+def run_rows(spark: SparkSession, d: str) -> DataFrame:
+    scored = views.base(spark, d).join(views.run(spark, d, 0).select("word_id", "rarity_level", "confidence"), "word_id", "left").withColumn("tag", F.lit("t"))
+    return scoring.run_rows(scored, model="m", run="r", at=F.lit("now"))
+
+
 @query("SELECT word_id, CAST(rarity_level AS INT) AS level FROM run_log QUALIFY row_number() OVER (PARTITION BY word_id ORDER BY seq DESC) = 1")
 def final_level_scan(spark: SparkSession, d: str) -> DataFrame:
     """A file of all labels in order: the last of each word counts, of final_level before rarity_level."""

@@ -4,7 +4,10 @@ import pandas as pd
 import pytest
 
 from lexirank import cli
-from lexirank.operators.endpoint import Abilities, ChatScorer, Endpoint, content_text, detect, payload, preflight, profile_of, selection_schema
+from lexirank.operators import scoring
+from lexirank.operators.endpoint import Abilities, ChatScorer, ChatSelector, Endpoint, content_text, detect, json_or_text, payload, picked_ids, preflight, profile_of, selection_schema
+from lexirank.operators.journal import Journal
+from lexirank.operators.selection import chosen
 from lexirank.sources import tables
 
 
@@ -28,14 +31,14 @@ def test_compare_audit_rebalance(spark, files, capsys):
     assert tables.read_csv(spark, f"{out}/m.csv").count() == 40
     assert cli.main(["dist", "--csv", f"{out}/m.csv"]) == 0
     assert cli.main(["quality-audit", "--candidate-csv", a, "--reference-csv", b, "--min-l1-jaccard", "0.5"]) == 1
-    assert cli.main(["--output-dir", out, "step5", "--run", "r", "--model", "m", "--input-csv", a, "--output-csv", f"{out}/r.csv", "--transitions", "2:1,4:4", "--batch-size", "5"]) == 0
+    assert cli.main(["--output-dir", out, "step5", "--run", "r", "--model", "m", "--input-csv", a, "--output-csv", f"{out}/r.csv", "--transitions", "2:1,4:4", "--batch-size", "5", "--pick", "score"]) == 0
     assert tables.read_csv(spark, f"{out}/r.csv").where("rebalance_rule <> ''").count() > 0
-    assert cli.main(["step5", "--run", "r", "--model", "m", "--input-csv", a, "--output-csv", f"{out}/r.csv", "--from-level", "2"]) == 2
+    assert cli.main(["step5", "--run", "r", "--model", "m", "--input-csv", a, "--output-csv", f"{out}/r.csv", "--from-level", "2", "--pick", "score"]) == 2
 
 
 def test_rebalance_names_no_model_that_was_not_asked(spark, files):
     _, (a, _, _), tmp = files
-    assert cli.main(["--output-dir", str(tmp), "step5", "--run", "r", "--model", "m", "--input-csv", a, "--output-csv", f"{tmp}/r.csv", "--transitions", "2:1", "--batch-size", "5"]) == 0
+    assert cli.main(["--output-dir", str(tmp), "step5", "--run", "r", "--model", "m", "--input-csv", a, "--output-csv", f"{tmp}/r.csv", "--transitions", "2:1", "--batch-size", "5", "--pick", "score"]) == 0
     rows = tables.read_csv(spark, f"{tmp}/r.csv").where("rebalance_rule <> ''").collect()
     assert rows and all(not r.rebalance_model and r.rebalance_run == "r" for r in rows)
 
@@ -51,7 +54,7 @@ def test_review_and_retry(spark, files):
 
 
 def test_endpoint_is_found_by_path_then_by_asking():
-    assert detect("http://h/api/v0/chat/completions") == Endpoint("http://h", "native")
+    assert detect("http://h/api/v1/chat") == Endpoint("http://h", "native")
 
     def only_native(url, timeout):
         if "/api/" not in url:
@@ -88,8 +91,197 @@ def test_scorer_learns_what_is_refused():
 def test_payload():
     body = payload("OpenAI/GPT-OSS-20B", "s", "u", tokens=100, abilities=Abilities(), schema={})
     assert body["reasoning_effort"] == "low" and body["max_tokens"] == 100 and json.dumps(body)
+    assert body["top_k"] == 40 and payload("openai/gpt-oss-20b", "s", "u", tokens=9000, abilities=Abilities(), schema={})["max_tokens"] == 4096
     assert profile_of("other").reasoning_effort is None
+    glm = payload("zai-org/glm-4.7-flash", "s", "u", tokens=9000, abilities=Abilities(), schema={})
+    assert (glm["max_tokens"], glm["thinking"], glm["chat_template_kwargs"]) == (2048, {"type": "disabled"}, {"enable_thinking": False})
+    native = payload("zai-org/glm-4.7-flash", "s", "u", tokens=100, abilities=Abilities.of(Endpoint("http://h", "native")), schema={})
+    assert not {"thinking", "reasoning_effort", "response_format"} & set(native)
+    assert json_or_text("[1]") == [1] and json_or_text("no") == "no"
+    assert content_text({"choices": [{"message": {"content": ["```json\n[1", {"text": ", 2]\n```"}]}}]}) == "[1, 2]"
     assert selection_schema(9, 3)["maxItems"] == 3
     assert content_text({"output_text": "x"}) == "x"
     with pytest.raises(ValueError):
         content_text({})
+
+
+def test_schema_is_given_up_where_it_does_harm():
+    a = Abilities("json_schema")
+    a.answered(10, 1)
+    assert a.format == "json_schema"
+    a.answered(10, 2)
+    assert a.format == "none"
+    a = Abilities("json_schema")
+    assert a.refused("no valid results parsed from 0 result nodes") and a.format == "none"
+
+
+def test_picks_by_number_and_by_word():
+    words = ["casă", "om", "țară", "om"]
+    assert picked_ids([2, "3", 2, 9, 1], words, 2) == [2, 3]
+    assert picked_ids({"picks": [{"local_id": 4}, {"word": "Casă!"}]}, words, 2) == [4, 1]
+    assert picked_ids(["om", "om"], words, 2) == [2, 4]
+    with pytest.raises(ValueError, match="expected exactly 2 selected, got 1"):
+        picked_ids([1], words, 2)
+
+
+def test_a_selection_is_repaired_then_halved():
+    words = [f"w{i}" for i in range(8)]
+    asked = []
+
+    def short(part, count, repair):
+        asked.append((len(part), count, repair))
+        return list(range(1, count + 1)) if repair else [1]
+
+    assert chosen(short, words, 3) == {0, 1, 2} and asked == [(8, 3, False)] * 3 + [(8, 3, True)]
+    asked.clear()
+
+    def small_only(part, count, repair):
+        asked.append((len(part), repair))
+        if len(part) > 4:
+            raise ValueError("Missing content")
+        return list(range(len(part), 0, -1))
+
+    assert chosen(small_only, words, 3) == {3, 2, 7} and (8, True) not in asked  # 2 of the first half, 1 of the second
+    assert chosen(small_only, words, 0) == set() and chosen(small_only, words, 8) == set(range(8))
+
+    def down(part, count, repair):
+        raise ConnectionError("connection refused")
+
+    with pytest.raises(scoring.Unreachable):
+        chosen(down, words, 3)
+
+
+def test_selector_asks_for_local_ids():
+    sent = []
+
+    def post(url, body, timeout):
+        sent.append(body)
+        return {"choices": [{"message": {"content": "```json\n[2, 1]\n```"}}]}
+
+    selector = ChatSelector(Endpoint("http://h", "openai"), "m", "choose {count}", "{count} of {size}: {words}", post=post)
+    assert selector(["a", "b", "c"], 2) == [2, 1]
+    assert sent[0]["messages"][0]["content"] == "choose 2" and sent[0]["messages"][1]["content"].startswith('2 of 3: [{"local_id": 1, "word": "a"}')
+
+
+def _listening(post):
+    """An endpoint that is there, and answers by a function."""
+    return lambda o, kind, system, template: kind(Endpoint("http://h", "openai"), o.model, "s", "{words}", post=post)
+
+
+def test_rebalance_by_a_model_is_taken_up_where_it_stopped(spark, files, monkeypatch):
+    _, (a, _, _), tmp = files
+    folder = tmp / "asked"
+    folder.mkdir()
+
+    def post(url, body, timeout, most=None):
+        import os
+        import uuid
+
+        if most is not None and len(os.listdir(folder)) >= most:
+            raise ConnectionError("connection refused")
+        (folder / uuid.uuid4().hex).write_text("")
+        words = json.loads(body["messages"][1]["content"])
+        return {"choices": [{"message": {"content": json.dumps([w["local_id"] for w in words][::-1])}}]}
+
+    run = ["--output-dir", str(tmp / "out"), "step5", "--run", "r", "--model", "m", "--input-csv", a, "--output-csv", f"{tmp}/r.csv", "--transitions", "2:1", "--batch-size", "3", "--max-retries", "1"]
+    monkeypatch.setattr(cli, "_chat", _listening(lambda u, b, t: post(u, b, t, 1)))
+    with pytest.raises(Exception, match="connection refused"):
+        cli.main(run)
+    before = len(list(folder.iterdir()))
+    assert before >= 1
+    monkeypatch.setattr(cli, "_chat", _listening(post))
+    assert cli.main(run) == 0
+    batches = 3  # of eight words of level 2: two of three, and one of two
+    assert len(list(folder.iterdir())) == batches
+    rows = tables.read_csv(spark, f"{tmp}/r.csv").where("rebalance_rule <> ''").collect()
+    assert rows and all(r.rebalance_model == "m" and r.final_level == "1" for r in rows)
+    checkpoint = tables.read_checkpoint(spark, f"{tmp}/out/rebalance/checkpoints/r.jsonl").collect()
+    assert sorted(r.batch for r in checkpoint) == [0, 1, 2] and sum(len(r.switched) for r in checkpoint) == len(rows)
+    progress = spark.read.json(f"{tmp}/out/rebalance/progress/r.jsonl").collect()
+    assert len(progress) == batches and min(r.remaining for r in progress) == 0
+    switched = spark.read.json(f"{tmp}/out/rebalance/switched_words/r.jsonl").collect()
+    assert {r.word_id for r in switched} == {int(r.word_id) for r in rows} and {r.model for r in switched} == {"m"}
+
+
+def test_scoring_goes_on_after_an_outage(spark, files, monkeypatch):
+    base, _, tmp = files
+    folder = tmp / "scored"
+    folder.mkdir()
+
+    def post(url, body, timeout, last=None):
+        words = json.loads(body["messages"][1]["content"])
+        if last is not None and words[0]["word_id"] > last:
+            raise ConnectionError("connection refused")
+        for w in words:
+            path = folder / str(w["word_id"])
+            path.write_text(path.read_text() + "x" if path.exists() else "x")
+        return {"choices": [{"message": {"content": json.dumps([w | {"rarity_level": 2, "confidence": 0.5, "tag": "t"} for w in words])}}]}
+
+    run = ["--output-dir", str(tmp / "out"), "step2", "--run", "r", "--model", "m", "--base-csv", base, "--output-csv", f"{tmp}/s.csv", "--batch-size", "5", "--max-retries", "1"]
+    monkeypatch.setattr(cli, "_chat", _listening(lambda u, b, t: post(u, b, t, 20)))
+    with pytest.raises(Exception, match="connection refused"):
+        cli.main(run)
+    first = {p.name for p in folder.iterdir()}
+    assert first and len(first) < 40
+    monkeypatch.setattr(cli, "_chat", _listening(post))
+    assert cli.main(run) == 0
+    assert tables.read_csv(spark, f"{tmp}/s.csv").count() == 40
+    assert len(list(folder.iterdir())) == 40 and all(p.read_text() == "x" for p in folder.iterdir())
+    assert not (tmp / "out/runs/r.journal").exists()
+
+
+def test_sizes_follow_outcomes():
+    assert scoring.next_size(30, [False], 50) == 20 and scoring.next_size(20, [True], 50) == 30 and scoring.next_size(4, [False], 50) == 3
+    assert scoring.next_size(50, [True] * 10, 50) == 50 and scoring.next_size(30, [True, False], 50) == 30
+
+
+def test_journal(tmp_path, spark):
+    j = Journal(str(tmp_path / "j"))
+    assert j.get("a") is None and j.table(spark, "x long").count() == 0
+    j.put("a", [{"x": 1}, {"x": 2}])
+    assert j.get("a") == [{"x": 1}, {"x": 2}] and j.table(spark, "x long").count() == 2
+    j.clear()
+    assert j.get("a") is None
+    j.clear()
+
+
+def test_upload_reports_the_levels_before_it(spark, tmp_path, monkeypatch):
+    """A database that changes when it is written to: the report and the marks tell what was there before."""
+    levels = {101: 5, 102: 1}
+
+    class Cursor:
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            pass
+
+        def executemany(self, sql, rows):
+            levels.update({i: level for level, i in rows})
+
+    class Connection:
+        commits = 0
+
+        def cursor(self):
+            return Cursor()
+
+        def commit(self):
+            Connection.commits += 1
+
+        def close(self):
+            pass
+
+    import sys
+    import types
+
+    monkeypatch.setitem(sys.modules, "psycopg", types.SimpleNamespace(connect=lambda *a, **k: Connection()))
+    monkeypatch.setattr(cli.tables, "database_options", lambda: {"url": "x"})
+
+    monkeypatch.setattr(cli.tables, "read_words_table", lambda *a: spark.createDataFrame(sorted(levels.items()), "word_id long, rarity_level int"))
+    final = put(tmp_path / "final.csv", "word_id,word,type,final_level\n101,a,N,2\n102,b,N,5\n103,c,N,1\n")
+    assert cli.main(["step4", "--final-csv", final, "--report-csv", str(tmp_path / "report")]) == 0
+    report = {r.word_id: (r.previous_level, r.new_level, r.source) for r in tables.read_csv(spark, str(tmp_path / "report")).collect()}
+    assert report == {"101": ("5", "2", "final_csv"), "102": ("1", "5", "final_csv"), "103": ("", "", "missing_db_word")}
+    assert levels == {101: 2, 102: 5} and Connection.commits == 1
+    marks = {r.word_id: r.upload_status for r in tables.read_csv(spark, final).collect()}
+    assert marks == {"101": "uploaded", "102": "uploaded", "103": "missing_db_word"}
