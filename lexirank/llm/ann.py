@@ -17,8 +17,8 @@ from .storage import discard, materialize
 #: Vectors of one dimension that centres are fitted to, at most about, and their bytes; lists of a dimension, at most;
 #: dimensions that get centres, the most frequent ones: all vectors of another one are one list.
 SAMPLE_ROWS, SAMPLE_BYTES, MOST_LISTS, FITTED_DIMENSIONS = 50_000, 32 << 20, 2048, 8
-#: Rows, and queries, that one task holds against each other, at most, and their bytes.
-BLOCK_ROWS, BLOCK_QUERIES, BLOCK_BYTES = 8192, 8192, 64 << 20
+#: Rows, and queries, that one task holds against each other, at most, and their bytes; blocks of a dimension's rows, about, before they are that large.
+BLOCK_ROWS, BLOCK_QUERIES, BLOCK_BYTES, LEAST_BLOCKS = 8192, 8192, 64 << 20, 32
 #: Standard errors that the bound of an estimate spans.
 EPSILON = 3.0
 #: Lists from whose exact scores a query's threshold is taken.
@@ -263,7 +263,7 @@ def bundled(coded: DataFrame, index: Index) -> Lists:
     for d, number, count in sorted(tuple(r) for r in coded.groupBy("d", "list").count().collect()):
         out.counts.setdefault(d, np.zeros(len(index.of(d)), dtype=np.int64))[number] = count
     for d, counts in out.counts.items():
-        block, bundle, held = max(64, min(BLOCK_ROWS, BLOCK_BYTES // (8 * d))), [], None
+        block, bundle, held = max(64, min(BLOCK_ROWS, BLOCK_BYTES // (8 * d), int(counts.sum()) // LEAST_BLOCKS)), [], None
         for count in counts.tolist():
             if held is None or held + count > block:
                 out.blocks.append(0)
