@@ -183,9 +183,11 @@ def mark(
     each; an item with a null id marks words but is not listed; empty tables give no rows, or no hits.
     Items over `pass_bytes` go out in several passes, whose spans are merged.
     """
+    if pass_bytes < 1:
+        raise ValueError("a pass takes a byte of items or more")
     kinds = T.StructType.fromDDL(MARK_FIELDS).fields
     out = None
-    for block in _passes(benchmark, item_col, item_text_col, pass_bytes) if pass_bytes else ():
+    for block in _passes(benchmark, item_col, item_text_col, pass_bytes):
         packed = base64.b64encode(pickle.dumps(Phrases.of(block, window))).decode()
         rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc")) if out is None else out.withColumnsRenamed({f.name: f"_{f.name}" for f in kinds})
         rows = rows.withColumn("_text", F.col("doc").getField(text_col).cast("string"))
@@ -205,20 +207,21 @@ def _marked_nothing(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def _merged(marked: DataFrame, text_col: str) -> DataFrame:
-    """Two passes as one: spans that meet or overlap become one, and their words are counted again."""
+    """Two passes as one: spans that overlap, or have no other word between them, become one, and their words are counted again."""
+    text = F.col("doc").getField(text_col).cast("string")
+    meet = lambda a, b: (a >= b) | ~F.substring(text, (a + 1).cast("int"), (b - a).cast("int")).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
     both = F.array_sort(F.concat("_spans", "spans"))
     spans = F.aggregate(
         both,
         F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)"),
         lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["start"]),
+            (F.size(done) > 0) & meet(F.element_at(done, -1)["end"], s["start"]),
             F.concat(
                 F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))),
                 F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end"))),
             ),
         ).otherwise(F.concat(done, F.array(s))),
     )
-    text = F.col("doc").getField(text_col).cast("string")
     counted = F.aggregate(
         "spans",
         F.lit(0).cast("long"),

@@ -63,13 +63,19 @@ def parse_record(member: bytes) -> tuple[dict[str, str], bytes]:
     return headers, block.partition(b"\r\n\r\n")[2]
 
 
+def _file_system(uri: str):
+    """Arrow's file system of a place, and its path there; s3a is Hadoop's name of what Arrow calls s3."""
+    from pyarrow.fs import FileSystem
+
+    return FileSystem.from_uri(re.sub("^s3a:", "s3:", uri))
+
+
 def _writer(folder: str, date: str):
     def write_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow.fs import FileSystem
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        fs, root = FileSystem.from_uri(folder)
+        fs, root = _file_system(folder)
         fs.create_dir(root, recursive=True)
         out, path, offset = None, "", 0
         try:
@@ -130,8 +136,6 @@ def write_archives(
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyarrow.fs import FileSystem
-
     handles: dict = {}
 
     def spans() -> Iterator[tuple[str, list[tuple[int, int]]]]:
@@ -150,7 +154,7 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in handles:
             for f in handles.values():
                 f.close()
-            fs, place = FileSystem.from_uri(path)
+            fs, place = _file_system(path)
             handles = {path: fs.open_input_file(place)}
         start = ranges[0][0]
         data = handles[path].read_at(max(o + n for o, n in ranges) - start, start)

@@ -2,6 +2,7 @@ import re
 import string
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -78,3 +79,12 @@ def test_any_rows(spark, docs, empty):
     assert mark(docs, bench).count() == docs.count() and mark(empty, bench).count() == 0
     none = mark(docs, bench.limit(0)).collect()
     assert len(none) == docs.count() and all(r.n_hit == 0 and not r["items"] for r in none)
+
+
+def test_spans_are_the_same_in_one_pass_and_in_many(spark):
+    docs = spark.createDataFrame([(0, "see one two, three four; and one two"), (1, "three four one two x")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "one two"), (2, "three four")], "item_id long, text string")
+    found = [{r.doc.doc_id: [(s.start, s.end) for s in r.spans] for r in mark(docs, bench, pass_bytes=n).collect()} for n in (1 << 20, 1)]
+    assert found[0] == found[1] == {0: [(4, 23), (29, 36)], 1: [(0, 18)]}
+    with pytest.raises(ValueError):
+        mark(docs, bench, pass_bytes=0)

@@ -1,5 +1,17 @@
+import zlib
+
 import corpus_pipeline as P
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from lexirank.llm.storage import materialize
+from lexirank.llm.toxicity import THRESHOLD, clean_texts, train
+
+from .test_decontam import brute as windows_of
+from .test_ngram_join import brute as components_of
+from .test_secrets import BASE
 
 D = "/root/testdata/sf0.001"
 
@@ -20,6 +32,54 @@ def test_secrets_are_replaced_and_counted(spark):
     assert got == {1: ("<secret> x", 10), 2: ("clean", 5)}
 
 
+def without_secrets(text):
+    """A mark for each run of overlapping matches of the three base kinds."""
+    spans = sorted((m.start(), m.end()) for _, pattern, group, least in BASE for m in pattern.finditer(text or "") if len(m[group]) >= least)
+    out, at = [], 0
+    for a, b in spans:
+        if a >= at:
+            out += [(text or "")[at:a], "<secret>"]
+        at = max(at, b)
+    return "".join(out) + (text or "")[at:] if spans else text
+
+
+def test_run_against_plain_versions_of_the_stages(spark):
+    """Each stage's rows, from what the stage before kept, worked out by plain loops; the last one's pieces give every document's ids."""
+    docs, kept = spark.read.parquet(f"{D}/documents.parquet"), None
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    model = train(docs, spark.read.parquet(f"{D}/labels.parquet"))
+    for name, stage in P.STAGES[:-1]:
+        before, docs = rows, materialize(stage(spark, docs, D), f"test-{name}")
+        rows = {r.doc_id: r.text for r in docs.collect()}
+        assert docs.count() == len(rows)
+        if name == "toxicity":
+            texts = clean_texts(pa.array(list(before.values()), pa.string()))
+            kept = [i for i, t in zip(before, texts) if model.score(np.array([model.features(*t)]))[0] < THRESHOLD]
+            want = {i: before[i] for i in kept}
+        elif name == "ngram_join":
+            want = {i: before[i] for i, _, least in components_of(list(before.items()), 5, 80) if i == least}
+        elif name == "decontamination":
+            items = [(r.item_id, r.text) for r in spark.read.parquet(f"{D}/benchmark.parquet").collect()]
+            want = {i: t for (i, t), (n, hit, _) in zip(before.items(), windows_of(before.values(), items)) if not (hit and 20 * hit >= n)}
+        else:
+            want = {i: without_secrets(t) for i, t in before.items()}
+            odd = {i for i, t in before.items() if rows[i] != want[i]}  # kinds beyond the base ones
+            assert all(len(rows[i].split("<secret>")) > len(want[i].split("<secret>")) for i in odd) and len(odd) < 5
+            want |= {i: rows[i] for i in odd}
+        assert rows == want, name
+        assert len(rows) > 0.5 * len(before)
+    library = Tokenizer.from_file(P.tokenizer_path())
+    pieces = {}
+    for p in P.packing(spark, docs, D).collect():
+        pieces.setdefault(p.doc_id, []).append(p)
+    assert set(pieces) == set(rows)
+    for i, text in rows.items():
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        assert sum(p.length for p in pieces[i]) == len(ids) == pieces[i][0].doc_tokens
+        for p in pieces[i]:
+            assert zlib.crc32(ids[p.start : p.start + p.length].tobytes()) == p.ids_crc32
+
+
 def test_run(spark):
     pieces = P.run(spark, D)
     docs = spark.read.parquet(f"{D}/documents.parquet")
