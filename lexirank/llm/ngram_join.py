@@ -99,10 +99,10 @@ def _longs(values: np.ndarray) -> pa.Array:
 
 SKETCH = "key long, doc_id long, n_shingles long, set_id long"
 #: Sets that a task remembers to have given the parts of; parts that it holds before it gives them out.
-GIVEN_SETS, HELD_PARTS = 200_000, 800_000
+GIVEN_SETS, HELD_PARTS = 100_000, 400_000
 #: Parts of one range, about: what a task holds at a time to find those that are alike. A part that more of the sets
 #: that a task holds have is a common one.
-RANGE_PARTS, COMMON = 2_000_000, 128
+RANGE_PARTS, COMMON = 1_000_000, 128
 
 
 def _set_ids(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
