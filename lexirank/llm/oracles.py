@@ -85,3 +85,36 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM doc LEFT JOIN all_of USING (doc_row)
 """
+
+
+def _lloyd(rounds: int) -> str:
+    """CTEs cb0 (the first codebooks), then of each round a (nearest entries, d * 256 + e) and the next cb, and a last a."""
+    out = ""
+    for r in range(rounds + 1):
+        out += f""",
+a{r} AS MATERIALIZED (
+    SELECT row, p, min(256 * CAST(list_sum(list_transform(range(1, len(parts.x) + 1), lambda j: (parts.x[j] - cb{r}.x[j]) * (parts.x[j] - cb{r}.x[j]))) AS BIGINT) + e) AS m
+    FROM parts JOIN cb{r} USING (p) GROUP BY 1, 2)"""
+        if r < rounds:
+            out += f""",
+m{r} AS (
+    SELECT p, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY j) AS x FROM (
+        SELECT a.p, a.m % 256 AS e, j, CAST(sum(parts.x[j]) AS DOUBLE) AS s, count(*) AS n
+        FROM a{r} a JOIN parts ON a.row = parts.row AND a.p = parts.p, unnest(range(1, len(parts.x) + 1)) AS u(j) GROUP BY 1, 2, 3) GROUP BY 1, 2),
+cb{r + 1} AS MATERIALIZED (SELECT cb{r}.p, cb{r}.e, coalesce(m{r}.x, cb{r}.x) AS x FROM cb{r} LEFT JOIN m{r} ON m{r}.p = cb{r}.p AND m{r}.e = cb{r}.e)"""
+    return out
+
+
+OP12 = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row, vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT row, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS x FROM kept, unnest(range(4)) AS r(p)),
+cb0 AS (SELECT p, row AS e, x FROM parts WHERE row < 256){_lloyd(4)},
+coded AS (
+    SELECT row, string_agg(lpad(lower(to_hex(m % 256)), 2, '0'), '' ORDER BY p) AS code, CAST(sum(m // 256) AS BIGINT) AS error FROM a4 GROUP BY 1),
+books AS (
+    SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM cb4)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (row), books
+"""

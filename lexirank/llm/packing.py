@@ -91,14 +91,19 @@ class ByteBpe:
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         added = {x["content"] for x in file["added_tokens"]}
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+        byte = self.byte_of()
         ranks = {bytes(byte[c] for c in token): rank for token, rank in file["model"]["vocab"].items() if token not in added}
         self.merge = tiktoken.Encoding("byte_bpe", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.special = re.compile("|".join(map(re.escape, sorted(added))) or r"(?!)")
         self.odd = re.compile(r"\s\s|\s\Z|\A\s")
         self.known: dict[str, bytes] = {}
 
+    @staticmethod
+    def byte_of() -> dict[str, int]:
+        """The byte that each character of a byte-level token stands for."""
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)

@@ -14,10 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,5 +112,24 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_warc, op3_decontamination, op4_toxicity, op5_pii, op6_quality, op7_lm_scoring, op8_neighbours, op9_secrets, op10_ngram_join)}
-ORACLE_SQL = {"op2_warc": oracles.OP2, "op3_decontamination": oracles.OP3, "op9_secrets": oracles.OP9, "op10_ngram_join": oracles.OP10}
+def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_output import read_ids, write_ids
+
+    return read_ids(write_ids(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_codes import codebooks_sha256, fit_and_code, with_label_errors
+
+    coded, codebooks = fit_and_code(table(spark, sf_dir, "embeddings"))
+    return with_label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(codebooks_sha256(codebooks)).alias("codebooks_sha256"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .alignment import aligned_with_counts
+
+    return aligned_with_counts(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model")).drop("row")
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_warc, op3_decontamination, op4_toxicity, op5_pii, op6_quality, op7_lm_scoring, op8_neighbours, op9_secrets, op10_ngram_join, op11_token_output, op12_vector_codes, op13_alignment)}
+ORACLE_SQL = {"op2_warc": oracles.OP2, "op3_decontamination": oracles.OP3, "op9_secrets": oracles.OP9, "op10_ngram_join": oracles.OP10, "op12_vector_codes": oracles.OP12}
