@@ -136,10 +136,10 @@ def _pick(o, picks: str):
 def rebalance_(spark, o) -> int:
     run, at = o.run, sinks.layout(o.output_dir)
     with sinks.output_lock(o.output_csv):
-        table = tables.read_levels_table(spark, o.input_csv)
+        ordered = tables.read_levels_table(spark, o.input_csv, in_order=True)
+        table = ordered.drop("seq")
         score = F.col(o.score_column).cast("double") if o.score_column in table.columns else F.lit(0.0)
-        last = F.struct(F.input_file_name(), F.monotonically_increasing_id())
-        words = table.select("word_id", "word", "level", score.alias("score"), last.alias("_seq")).groupBy("word_id")
+        words = ordered.select("word_id", "word", "level", score.alias("score"), F.col("seq").alias("_seq")).groupBy("word_id")
         words = words.agg(*[F.max_by(c, "_seq").alias(c) for c in ("word", "level", "score")])  # of an id's rows the last counts
         found = _transitions(o)
         check_disjoint(found)

@@ -710,6 +710,7 @@ def final_level_scan(spark: SparkSession, d: str) -> DataFrame:
 def run_log_stream(spark: SparkSession, d: str) -> DataFrame:
     """The log as a stream of appended files, merged to the latest label of each word."""
     from ..schemas import RUN
+    from ..sources.versions import VersionedTable
     from ..streaming.run_log import follow_run_log
 
     log, table, marks = (scratch_path(spark, x) for x in ("log", "latest", "marks"))
@@ -717,4 +718,4 @@ def run_log_stream(spark: SparkSession, d: str) -> DataFrame:
     blank = {f.name: F.lit("").cast(f.dataType) for f in RUN.fields if f.name not in rows.columns}
     rows.withColumns(blank).write.parquet(log)
     follow_run_log(spark, log, table, marks).awaitTermination()
-    return spark.read.parquet(table).select("word_id", "rarity_level", "seq")
+    return VersionedTable(spark, table).read().select("word_id", "rarity_level", "seq")

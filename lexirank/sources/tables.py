@@ -9,34 +9,41 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.scalars import INTEGER
 from ..operators.dedup import last_wins
 from ..schemas import BASE_COLUMNS, CHECKPOINT, MAX_LEVEL, MIN_LEVEL, level_column, require_columns
+from .csv_ranges import BadRow, read_ranges
 
 _CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0000", "mode": "PERMISSIVE"}
 
 
-class BadRow(ValueError):
-    """A file has a row that its header doesn't fit."""
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file with a header, every column as text, "" for an empty cell. A row of another width is an error; blank lines are skipped."""
+    """CSV files with a header, every column as text, "" for an empty cell. A row of another width is an error; blank lines are skipped.
+
+    Read in ranges of bytes, each by a task of its own; where ranges can't be told (see read_ranges), each file by one task.
+    """
+    return read_in_order(spark, path).drop("seq")
+
+
+def read_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """read_csv() with seq, the rows' order in the files: by file name, then by place."""
+    found = read_ranges(spark, path)
+    return read_whole(spark, path) if found is None else found.withColumnRenamed("_seq", "seq")
+
+
+def read_whole(spark: SparkSession, path: str) -> DataFrame:
+    """read_in_order() by Spark's own reader, a task for each file."""
     names = spark.read.options(**_CSV).option("inferSchema", "false").csv(path).columns
     if not names:
         raise BadRow(f"{path}: no header")
     schema = StructType([StructField(n, StringType()) for n in [*names, "_corrupt"]])
     rows = spark.read.options(**_CSV).option("columnNameOfCorruptRecord", "_corrupt").schema(schema).csv(path)
+    rows = rows.withColumn("seq", F.struct(F.input_file_name(), F.monotonically_increasing_id()))
     wrong = F.concat(F.lit(f"{path}: a row does not fit the header: "), F.col("_corrupt"))
     first = F.when(F.col("_corrupt").isNotNull(), F.raise_error(wrong).cast("string")).otherwise(F.col(names[0]))
-    return rows.select(first.alias(names[0]), *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names[1:]])
-
-
-def with_seq(df: DataFrame) -> DataFrame:
-    """The rows with seq, their order in the files: by file name, then by position."""
-    return df.withColumn("seq", F.struct(F.input_file_name(), F.monotonically_increasing_id()))
+    return rows.select(first.alias(names[0]), *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names[1:]], "seq")
 
 
 def strict(kind: str, column: str, where: str) -> Column:
@@ -66,7 +73,7 @@ def read_run(spark: SparkSession, path: str, *, missing_is_empty: bool = True) -
         from ..schemas import RUN
 
         return spark.createDataFrame([], RUN)
-    rows = with_seq(require_columns(read_csv(spark, path), *BASE_COLUMNS, "rarity_level", "confidence"))
+    rows = require_columns(read_in_order(spark, path), *BASE_COLUMNS, "rarity_level", "confidence")
     sure = strict("double", "confidence", path)
     sure = F.when(sure.between(0, 1), sure).otherwise(F.raise_error(F.lit(f"{path}: a confidence is not from 0 to 1")).cast("double"))
     text = lambda c: (F.col(c) if c in rows.columns else F.lit("")).alias(c)
@@ -79,15 +86,15 @@ def read_run(spark: SparkSession, path: str, *, missing_is_empty: bool = True) -
 
 def read_final_levels(spark: SparkSession, path: str, column: str | None = None) -> DataFrame:
     """word_id and level: of the first level column that is there, the last row of each word."""
-    rows = with_seq(require_columns(read_csv(spark, path), "word_id"))
+    rows = require_columns(read_in_order(spark, path), "word_id")
     level = level_column(rows, column)
     typed = rows.select(strict("long", "word_id", path).alias("word_id"), checked_level(level, path).alias("level"), "seq")
     return last_wins(typed, "word_id", "seq").drop("seq")
 
 
-def read_levels_table(spark: SparkSession, path: str, column: str | None = None) -> DataFrame:
-    """All columns and rows, with word_id and level typed: the input of a rebalance."""
-    rows = require_columns(read_csv(spark, path), *BASE_COLUMNS)
+def read_levels_table(spark: SparkSession, path: str, column: str | None = None, *, in_order: bool = False) -> DataFrame:
+    """All columns and rows, with word_id and level typed: the input of a rebalance. in_order: with seq, the rows' order."""
+    rows = require_columns((read_in_order if in_order else read_csv)(spark, path), *BASE_COLUMNS)
     return rows.withColumns({"level": checked_level(level_column(rows, column), path), "word_id": strict("long", "word_id", path)})
 
 
@@ -119,7 +126,7 @@ def read_review_labels(spark: SparkSession, path: str) -> DataFrame:
     """The last label of each word; a missing file has none. Levels are not checked."""
     if not exists(spark, path):
         return spark.createDataFrame([], "word_id long, predicted_level int, label string")
-    rows = with_seq(require_columns(read_csv(spark, path), "word_id", "predicted_level", "label"))
+    rows = require_columns(read_in_order(spark, path), "word_id", "predicted_level", "label")
     typed = rows.select(strict("long", "word_id", path).alias("word_id"), strict("int", "predicted_level", path).alias("predicted_level"), F.trim("label").alias("label"), "seq")
     return last_wins(typed, "word_id", "seq").drop("seq")
 

@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructType
 
-from ..operators.dedup import last_wins
 from ..schemas import RUN
-from ..sources.sinks import recover, replace
-from ..sources.tables import exists
+from ..sources.versions import VersionedTable
 
 LOG = StructType([*RUN.fields]).add("seq", LongType())
 
@@ -19,14 +17,12 @@ def run_log_stream(spark: SparkSession, path: str, files: int = 1000) -> DataFra
     return spark.readStream.schema(LOG).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def merge_batch(rows: DataFrame, table: str, batch: int) -> None:
-    """The table with a batch's rows: of each word that with the greatest seq, so a batch that comes twice changes nothing. What a stopped merge left is put right first."""
-    spark = rows.sparkSession
-    recover(spark, table)
-    both = spark.read.schema(LOG).parquet(table).unionByName(rows) if exists(spark, table) else rows
-    staged = f"{table}.batch-{batch}"
-    last_wins(both, "word_id", "seq").write.mode("overwrite").parquet(staged)
-    replace(spark, staged, table)
+def merge_batch(rows: DataFrame, table: str, batch: int, source: str = "run-log") -> None:
+    """The next version of a table with a batch's rows: of each word that with the greatest seq. A batch that comes twice is passed over.
+
+    Only the ranges of ids that the batch touches are rewritten, and readers keep the version that they have.
+    """
+    VersionedTable(rows.sparkSession, table).merge(rows, "word_id", "seq", source=source, batch=batch)
 
 
 def follow_run_log(spark: SparkSession, path: str, table: str, checkpoint: str) -> StreamingQuery:

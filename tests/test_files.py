@@ -96,18 +96,17 @@ def test_state_and_lock(tmp_path):
                 pass
 
 
-def test_a_stopped_replace_loses_nothing(spark, tmp_path, monkeypatch):
-    from lexirank.streaming.run_log import LOG, merge_batch
-
+def test_a_stopped_replace_loses_nothing(spark, tmp_path):
     table = str(tmp_path / "latest")
-    row = lambda i, level, seq: (i, "w", "N", level, "t", 0.5, "x", "m", "r", seq)
-    merge_batch(spark.createDataFrame([row(1, 2, 0), row(2, 3, 1)], LOG), table, 0)
+    write = lambda *rows: sinks.write_csv(spark.createDataFrame(rows, "word_id int, level int"), table)
+    write((1, 2), (2, 3))
     (tmp_path / "latest").rename(tmp_path / "latest.old-abc")  # as between the two renames
-    merge_batch(spark.createDataFrame([row(2, 4, 2)], LOG), table, 1)
-    assert {r.word_id: r.rarity_level for r in spark.read.parquet(table).collect()} == {1: 2, 2: 4}
+    sinks.recover(spark, table)
+    assert sorted(r.level for r in tables.read_csv(spark, table).collect()) == ["2", "3"]
+    write((1, 2), (2, 4))
     (tmp_path / "latest.old-def").mkdir()  # as after them
     sinks.recover(spark, table)
-    assert not [p for p in tmp_path.iterdir() if ".old-" in p.name] and spark.read.parquet(table).count() == 2
+    assert not [p for p in tmp_path.iterdir() if ".old-" in p.name] and tables.read_csv(spark, table).count() == 2
 
 
 def test_words_of_a_database(spark, tmp_path):
