@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .chunks import Remembered, pieces, runs
 from .idfile import Reader, Writer
+from .packing import ByteBpe
 from .storage import importable, materialize, new_path
 from .warc import _file_system
 
@@ -29,29 +33,69 @@ TOKENS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 class WordBpe:
-    """Ids that the tokenizers library gives texts, for files that cut at white space and drop it.
+    """Ids that the tokenizers library gives texts, for files of its BPE with word ends that cut at white space and drop it.
 
-    Their white space belongs to no token, so the ids of a text are those of its chunks; each distinct chunk of
-    a block goes to the library once. A special token's string has no space, so it lies within a chunk.
+    White space belongs to no token, so the ids of a text are those of its chunks, and each distinct chunk of a block is
+    worked on once. The file's normalizer is the library's own; its pattern gives the words; merges are done with the
+    file's vocabulary as ranks, where MARK stands for the end of a word. What could be taken for a mark or has a special
+    token's string in it goes to the library.
     """
 
+    MARK, SPLIT = "\0", " "
+
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        added = [x["content"] for x in file["added_tokens"]]
+        byte, end = ByteBpe.byte_of(), file["model"]["end_of_word_suffix"]
+        ranks = {bytes(byte[c] for c in t.removesuffix(end)) + self.MARK.encode() * t.endswith(end): i for t, i in file["model"]["vocab"].items() if t not in added}
+        self.merge = tiktoken.Encoding("word_bpe", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        (pattern,) = (p["pattern"]["Regex"] for p in file["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.words = regex.compile(f"{pattern}|{self.SPLIT}").findall
+        self.split_id = ranks[(self.SPLIT + self.MARK).encode()]
+        self.odd = regex.compile("|".join([r"[^\S ]|[\x00\x1c-\x1f]", *map(regex.escape, added)])).search
+        self.recent = re.compile("[^\0-\u1c7f]").search
         self.remembered = Remembered(self._work, self._forget, HELD_CHUNKS)
         self._forget()
 
     def _forget(self) -> None:
         self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _normal(self, text: str) -> str:
+        """NFC in lower case, letter by letter: by Python where it must agree with the library, whose tables may be of another year."""
+        if self.recent(text) or not unicodedata.is_normalized("NFC", text):
+            return self.library.normalizer.normalize_str(text)
+        return text.replace("Σ", "σ").lower()
+
+    def _plain(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks that hold neither white space nor marks nor special tokens, and how many each has."""
+        there = np.fromiter(map(bool, chunks), bool, len(chunks))
+        lengths = np.zeros(len(chunks), np.int64)
+        if not there.any():
+            return np.zeros(0, np.uint32), lengths
+        words = self.words(self._normal(self.SPLIT.join(filter(None, chunks))))  # an empty one would leave two spaces, which become one
+        ids = np.array(self.merge(self.MARK.join([*words, self.SPLIT]) + self.MARK), np.uint32)
+        ends = np.flatnonzero(ids == self.split_id)
+        lengths[there] = np.diff(ends, prepend=-1) - 1
+        return np.delete(ids, ends), lengths
+
     def _work(self, chunks: list[str]) -> None:
-        found = [e.ids for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
+        odd = {}
+        if self.odd(self.SPLIT.join(chunks)):
+            odd = {i: self.library.encode(c, add_special_tokens=False).ids for i, c in enumerate(chunks) if self.odd(c)}
+        plain, lengths = self._plain(["" if i in odd else c for i, c in enumerate(chunks)] if odd else chunks)
+        if odd:
+            at = np.cumsum(lengths) - lengths
+            plain = np.insert(plain, np.concatenate([np.full(len(ids), at[i]) for i, ids in odd.items()]).astype(np.int64), [x for ids in odd.values() for x in ids])
+            lengths[list(odd)] = [len(ids) for ids in odd.values()]
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.ids, self.lengths = np.concatenate([self.ids, flat]), np.concatenate([self.lengths, lengths])
+        self.ids, self.lengths = np.concatenate([self.ids, plain.astype(np.uint32)]), np.concatenate([self.lengths, lengths])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
@@ -121,7 +165,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, *, end_id: int = END_ID, id_
 
     Rows without an id come first; rows of one id are ordered by a hash of their texts, and an id that very many rows
     have is dealt to several tasks. A null or empty text is its end_id alone. A text lies in one file whole; a file
-    ends with the text in which it reaches file_ids. Each task names files of its own and the table of files tells
+    ends with the block of texts in which it reaches file_ids. Each task names files of its own and the table of files tells
     those of the tasks that counted, so tasks that run again, or twice, do no harm. Other columns are not read;
     an empty table gives no files.
     """
