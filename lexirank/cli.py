@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import functools
 import hashlib
+import json
 import sys
 import uuid
 from pathlib import Path
@@ -20,6 +22,7 @@ from .operators.selection import picker
 from .plans import chain
 from .schemas import level_column
 from .sources import sinks, tables
+from .sources.uploads import Database, upload_words
 from .transitions import DEFAULT_TRANSITIONS, Transition, check_disjoint, parse_transition, parse_transitions
 
 
@@ -87,27 +90,45 @@ def compare_(spark, o) -> int:
     return 0
 
 
+def _connect(options: dict[str, str]):
+    import psycopg
+
+    return psycopg.connect(options["url"], user=options.get("user"), password=options.get("password"))
+
+
+def _database(options: dict[str, str]) -> Database:
+    return Database(functools.partial(_connect, options))
+
+
 def upload_(spark, o) -> int:
+    """The plan is written before the database changes: it is what is uploaded and what is reported, by a run that takes up a stopped one too."""
     options = tables.database_options()
     final = tables.read_final_levels(spark, o.final_csv)
     db = tables.read_words_table(spark, options, ("id", "rarity_level"))
-    # The plan is written before the database changes: it is what is uploaded and what is reported.
-    staged = sinks.stage_csv(upload.upload_report(final, db, o.mode).orderBy("word_id"), o.report_csv)
-    plan = tables.read_csv(spark, staged)
-    plan = plan.withColumns({"word_id": F.col("word_id").cast("long"), "new_level": F.when(F.col("new_level") != "", F.col("new_level")).cast("int")})
-    import psycopg
-
-    n = sinks.update_words(upload.upload_updates(plan), lambda: psycopg.connect(options["url"], user=options.get("user"), password=options.get("password")))
-    sinks.replace(spark, staged, o.report_csv)
-    status, marks = upload.upload_status(final, db), {"uploaded_at": now(), "batch_id": o.upload_batch_id or uuid.uuid4().hex}
-    print(f"updated={n}")
-    if status.isEmpty():
-        return 0
-    candidate = tables.read_csv(spark, o.final_csv)
-    try:
-        sinks.write_csv(upload.mark_uploaded(candidate, status, **marks), o.final_csv)
-    except PermissionError:
-        sinks.write_csv(upload.companion_markers(candidate, status, **marks), f"{o.final_csv}.upload_markers.csv")
+    pending = f"{o.output_dir}/upload.pending.json"
+    with sinks.output_lock(f"{o.output_dir}/upload"):
+        state = json.loads(Path(pending).read_text("utf-8")) if Path(pending).exists() else {}
+        asked = {"final_csv": o.final_csv, "mode": upload.parse_mode(o.mode), "report_csv": o.report_csv}
+        if state and {k: state[k] for k in asked} != asked:
+            raise ValueError(f"an upload of {state['final_csv']} was stopped: run it again, or delete {pending}")
+        if not state:
+            staged = sinks.stage_csv(upload.upload_report(final, db, o.mode).orderBy("word_id"), o.report_csv)
+            state = asked | {"token": o.upload_batch_id or uuid.uuid4().hex, "staged": staged}
+            sinks.write_state(pending, state)
+        if tables.exists(spark, state["staged"]):
+            plan = tables.read_csv(spark, state["staged"])
+            plan = plan.withColumns({"word_id": F.col("word_id").cast("long"), "new_level": F.when(F.col("new_level") != "", F.col("new_level")).cast("int")})
+            n = upload_words(upload.upload_updates(plan), _database(options), state["token"])
+            sinks.replace(spark, state["staged"], o.report_csv)
+            print(f"updated={n}")
+        status, marks = upload.upload_status(final, db), {"uploaded_at": now(), "batch_id": state["token"]}
+        if not status.isEmpty():
+            candidate = tables.read_csv(spark, o.final_csv)
+            try:
+                sinks.write_csv(upload.mark_uploaded(candidate, status, **marks), o.final_csv)
+            except PermissionError:
+                sinks.write_csv(upload.companion_markers(candidate, status, **marks), f"{o.final_csv}.upload_markers.csv")
+        Path(pending).unlink()
     return 0
 
 

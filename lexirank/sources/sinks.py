@@ -16,8 +16,6 @@ _CSV = {"header": "true", "quoteAll": "true", "escape": '"', "nullValue": "", "e
 
 # Folders under the output root.
 LAYOUT = ("runs", "failed_batches", "rebalance/runs", "rebalance/failed_batches", "rebalance/switched_words", "rebalance/checkpoints", "rebalance/progress")
-UPDATE_CHUNK = 5000
-UPDATE_SQL = "UPDATE words SET rarity_level=%s WHERE id=%s"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -93,40 +91,6 @@ def append_labels(df: DataFrame, path: str) -> None:
     rows.write.mode("append").options(header="true", escape='"').csv(path)
 
 
-def update_words(df: DataFrame, connect, chunk: int = UPDATE_CHUNK) -> int:
-    """Levels into the words table over one connection and one commit; without rows no connection is made. Rows come one partition at a time."""
-    rows = df.select("rarity_level", "word_id").toLocalIterator()
-    batch, n, connection = [], 0, None
-    try:
-        for row in rows:
-            batch.append((row[0], row[1]))
-            if len(batch) == chunk:
-                connection = connection or connect()
-                _update(connection, batch)
-                n, batch = n + len(batch), []
-        if batch:
-            connection = connection or connect()
-            _update(connection, batch)
-            n += len(batch)
-        if connection is not None:
-            connection.commit()
-    finally:
-        if connection is not None:
-            connection.close()
-    return n
-
-
-def _update(connection, batch: list[tuple]) -> None:
-    with connection.cursor() as cursor:
-        cursor.executemany(UPDATE_SQL, batch)
-
-
-def stage_words(df: DataFrame, options: dict[str, str], table: str = "words_staged") -> str:
-    """Levels into a staging table, written in parallel; the statement that takes them over in the database."""
-    df.select(F.col("word_id").alias("id"), "rarity_level").write.format("jdbc").options(dbtable=table, **options).mode("overwrite").save()
-    return f"UPDATE words SET rarity_level = s.rarity_level FROM {table} s WHERE words.id = s.id"
-
-
 def layout(root: str) -> dict[str, str]:
     return {name: f"{root.rstrip('/')}/{name}" for name in LAYOUT}
 

@@ -1,4 +1,6 @@
+import functools
 import json
+import sqlite3
 
 import pandas as pd
 import pytest
@@ -9,6 +11,7 @@ from lexirank.operators.endpoint import Abilities, ChatScorer, ChatSelector, End
 from lexirank.operators.journal import Journal
 from lexirank.operators.selection import chosen
 from lexirank.sources import tables
+from lexirank.sources.uploads import Database
 
 
 def put(path, text):
@@ -246,42 +249,32 @@ def test_journal(tmp_path, spark):
 
 
 def test_upload_reports_the_levels_before_it(spark, tmp_path, monkeypatch):
-    """A database that changes when it is written to: the report and the marks tell what was there before."""
-    levels = {101: 5, 102: 1}
-
-    class Cursor:
-        def __enter__(self):
-            return self
-
-        def __exit__(self, *a):
-            pass
-
-        def executemany(self, sql, rows):
-            levels.update({i: level for level, i in rows})
-
-    class Connection:
-        commits = 0
-
-        def cursor(self):
-            return Cursor()
-
-        def commit(self):
-            Connection.commits += 1
-
-        def close(self):
-            pass
-
-    import sys
-    import types
-
-    monkeypatch.setitem(sys.modules, "psycopg", types.SimpleNamespace(connect=lambda *a, **k: Connection()))
+    """A database that changes when it is written to: the report and the marks tell what was there before, and a run that was stopped is taken up."""
+    path = str(tmp_path / "words.db")
+    with sqlite3.connect(path) as c:
+        c.execute("CREATE TABLE words (id INTEGER PRIMARY KEY, rarity_level INTEGER)")
+        c.executemany("INSERT INTO words VALUES (?, ?)", [(101, 5), (102, 1)])
+    read = lambda: dict(sqlite3.connect(path).execute("SELECT id, rarity_level FROM words"))
     monkeypatch.setattr(cli.tables, "database_options", lambda: {"url": "x"})
-
-    monkeypatch.setattr(cli.tables, "read_words_table", lambda *a: spark.createDataFrame(sorted(levels.items()), "word_id long, rarity_level int"))
+    monkeypatch.setattr(cli, "_database", lambda options: Database(functools.partial(sqlite3.connect, path, timeout=60), "?"))
+    monkeypatch.setattr(cli.tables, "read_words_table", lambda *a: spark.createDataFrame(sorted(read().items()), "word_id long, rarity_level int"))
     final = put(tmp_path / "final.csv", "word_id,word,type,final_level\n101,a,N,2\n102,b,N,5\n103,c,N,1\n")
-    assert cli.main(["step4", "--final-csv", final, "--report-csv", str(tmp_path / "report")]) == 0
+    run = ["--output-dir", str(tmp_path / "out"), "step4", "--final-csv", final, "--report-csv", str(tmp_path / "report")]
+    replace = cli.sinks.replace
+
+    def stopped(*a):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(cli.sinks, "replace", stopped)  # after the database has changed
+    with pytest.raises(KeyboardInterrupt):
+        cli.main(run)
+    assert read() == {101: 2, 102: 5}
+    monkeypatch.setattr(cli.sinks, "replace", replace)
+    assert cli.main([*run, "--mode", "full-fallback"]) == 2  # not what was stopped
+    assert cli.main(run) == 0
     report = {r.word_id: (r.previous_level, r.new_level, r.source) for r in tables.read_csv(spark, str(tmp_path / "report")).collect()}
     assert report == {"101": ("5", "2", "final_csv"), "102": ("1", "5", "final_csv"), "103": ("", "", "missing_db_word")}
-    assert levels == {101: 2, 102: 5} and Connection.commits == 1
+    assert read() == {101: 2, 102: 5}
     marks = {r.word_id: r.upload_status for r in tables.read_csv(spark, final).collect()}
     assert marks == {"101": "uploaded", "102": "uploaded", "103": "missing_db_word"}
+    assert not (tmp_path / "out/upload.pending.json").exists()

@@ -54,35 +54,6 @@ def test_appended_runs_keep_the_first_columns(spark, tmp_path):
     assert sorted((r.word_id, r.tag, r.seq) for r in spark.read.parquet(path).collect()) == [(1, "a", 1), (2, None, 2)]
 
 
-def test_database_updates_in_chunks_with_one_commit(spark):
-    log = []
-
-    class Cursor:
-        def __enter__(self):
-            return self
-
-        def __exit__(self, *a):
-            pass
-
-        def executemany(self, sql, rows):
-            log.append((sql, list(rows)))
-
-    class Connection:
-        def cursor(self):
-            return Cursor()
-
-        def commit(self):
-            log.append("commit")
-
-        def close(self):
-            log.append("close")
-
-    rows = spark.createDataFrame([(101, 2), (102, 5), (103, 1)], "word_id long, rarity_level int").coalesce(1)
-    assert sinks.update_words(rows, Connection, chunk=2) == 3
-    assert [len(x[1]) for x in log[:2]] == [2, 1] and log[2:] == ["commit", "close"]
-    assert sinks.update_words(rows.limit(0), lambda: pytest.fail("no connection is needed")) == 0
-
-
 def test_state_and_lock(tmp_path):
     path = str(tmp_path / "s.tsv")
     sinks.write_tsv_state(path, {"last_completed_step": "3", "current_csv": "x"})
