@@ -7,6 +7,7 @@ import functools
 import hashlib
 import json
 import sys
+import time
 import uuid
 from pathlib import Path
 
@@ -14,7 +15,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .functions.scalars import run_slug
-from .operators import audit, compare, distribution, metrics, rebalance, retry, review, scoring, upload
+from .operators import audit, compare, counters, distribution, metrics, rebalance, retry, review, scoring, upload
 from .operators.dedup import guarded_rewrite
 from .operators.endpoint import ChatScorer, ChatSelector, detect, preflight
 from .operators.journal import Journal
@@ -46,7 +47,8 @@ def _chat(o, kind, system: str, template: str):
     if not o.skip_preflight:
         for warning in preflight(endpoint, o.model):
             print(f"warning: {warning}")
-    return kind(endpoint, o.model, Path(system).read_text("utf-8"), Path(template).read_text("utf-8"), o.max_tokens, o.timeout_seconds)
+    log = Journal(f"{o.output_dir}/requests/{uuid.uuid4().hex}") if o.log_requests else None
+    return kind(endpoint, o.model, Path(system).read_text("utf-8"), Path(template).read_text("utf-8"), o.max_tokens, o.timeout_seconds, log=log)
 
 
 def score(spark, o) -> int:
@@ -60,20 +62,27 @@ def score(spark, o) -> int:
             base = tables.read_base(spark, o.input or o.base_csv)
             done = tables.read_run(spark, o.output_csv)
             before = done.count()
-            kept = journal.table(spark, scoring.SCORED).dropDuplicates(["word_id"])  # of a run that ended early
+            kept = journal.table(spark, scoring.SCORED).filter("rarity_level is not null").dropDuplicates(["word_id"])  # of a run that ended early
             found = kept.count()
             pending = retry.pending_words(base, done, force=o.force, most=o.limit or 0).join(kept.select("word_id"), "word_id", "left_anti")
-            scored = scoring.score_words(pending, _chat(o, ChatScorer, o.system_prompt_file, o.user_template_file), batch_size=o.batch_size, retry=scoring.Retry(o.max_retries), journal=journal)
+            scorer = _chat(o, ChatScorer, o.system_prompt_file, o.user_template_file)
+            scored = scoring.score_words(pending, scorer, batch_size=o.batch_size, retry=scoring.Retry(o.max_retries), journal=journal, slots=o.slots)
             log = f"{o.output_dir}/runs/{run}-{uuid.uuid4().hex}"
+            started = time.monotonic()
+            scored, counts = counters.counted(scored, counters.scoring())
             scored.unionByName(kept).write.parquet(log)
-            scored = spark.read.parquet(log)
+            if error := journal.tripped():
+                raise scoring.Unreachable(f"{error}: what was answered is kept, the next run goes on from there")
+            scored, seen = spark.read.parquet(log), counts()
             rows = scoring.run_rows(scored, model=o.model, run=run, at=now())
             failed = scoring.failed_rows(scored, run=run, at=now())
             sinks.append_json(failed, f"{o.output_dir}/failed_batches/{run}.failed.jsonl")
             sinks.write_csv(guarded_rewrite(done, rows) if before else rows.orderBy("word_id"), o.output_csv)
             journal.clear()
-            n, bad = rows.count(), failed.count()
-            sinks.write_state(state, {"run": run, "status": "completed", "scored": n, "failed": bad, "pending": bad})
+            n, bad = seen["scored"] + found, seen["failed"]
+            sinks.write_state(state, {"run": run, "status": "completed", "scored": n, "failed": bad, "pending": bad, "counters": seen})
+            asked = spark.range(1).select(*[F.lit(v).alias(k) for k, v in (("scored", seen["scored"]), ("failed", bad), ("successful", seen["scored"]), ("batches", seen["scored"] + bad))])
+            print(metrics.progress_text(asked, F.lit(bad), F.lit(time.monotonic() - started), F.lit(o.batch_size)).first()[0])
             print(f"scored={n} failed={bad} resumed={found}")
             return 0
         except BaseException as x:
@@ -284,12 +293,12 @@ def parser() -> argparse.ArgumentParser:
     flag = lambda default=False: {"action": argparse.BooleanOptionalAction, "default": default}
     number = lambda kind, default=None: {"type": kind, "default": default}
     default = lambda value: {"default": value}
-    lm = [("--model", need), ("--endpoint", text), ("--base-url", text), ("--skip-preflight", flag()), ("--max-retries", number(int, 3)), ("--timeout-seconds", number(int, 300)), ("--max-tokens", number(int, 8000))]
+    lm = [("--model", need), ("--endpoint", text), ("--base-url", text), ("--skip-preflight", flag()), ("--log-requests", flag()), ("--max-retries", number(int, 3)), ("--timeout-seconds", number(int, 300)), ("--max-tokens", number(int, 8000))]
     selects = [("--pick", {"choices": ("model", "score"), "default": "model"}), ("--select-system-file", default("prompts/select_system.txt")), ("--select-template-file", default("prompts/select_user.txt"))]
     prompts = [("--system-prompt-file", default("prompts/system.txt")), ("--user-template-file", default("prompts/user.txt"))]
     gates = [("--reference-csv", text), ("--anchor-l1-file", text), ("--min-l1-jaccard", number(float)), ("--min-anchor-l1-precision", number(float)), ("--min-anchor-l1-recall", number(float))]
     command(("step1-export", "step1"), export, ("--output-csv", need))
-    command(("step2-score", "step2"), score, ("--run", need), ("--base-csv", need), ("--output-csv", need), ("--input", text), ("--batch-size", number(int, 50)), ("--limit", number(int)), ("--force", flag()), *lm, *prompts)
+    command(("step2-score", "step2"), score, ("--run", need), ("--base-csv", need), ("--output-csv", need), ("--input", text), ("--batch-size", number(int, 50)), ("--limit", number(int)), ("--force", flag()), ("--slots", number(int)), *lm, *prompts)
     command(
         ("step3-compare", "step3"), compare_, ("--run-a-csv", need), ("--run-b-csv", need), ("--run-c-csv", text), ("--output-csv", need), ("--outliers-csv", default("build/rarity/step3_outliers.csv")),
         ("--base-csv", default("build/rarity/step1_words.csv")), ("--outlier-threshold", number(int, 2)), ("--confidence-threshold", number(float, 0.55)), ("--merge-strategy", default("median")),

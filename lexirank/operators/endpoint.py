@@ -2,24 +2,31 @@
 
 from __future__ import annotations
 
+import http.client
 import json
 import os
 import re
 import urllib.error
 import urllib.request
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import UTC, datetime
+from urllib.parse import urlsplit
 
 import pandas as pd
 
 from ..functions.repair import parse_content
 from ..functions.scalars import said
+from .journal import Journal
 
 # Where an endpoint is looked for, paths by flavour, time and token limits.
 BASE_URL = "http://127.0.0.1:1234"
 PATHS = {"openai": ("/v1/models", "/v1/chat/completions"), "native": ("/api/v1/models", "/api/v1/chat")}
 TIMEOUT, PREFLIGHT_TIMEOUT, TOKENS = 300, 5, 8000
 FORMATS = ("json_object", "json_schema", "none")
+#: Entries of a file of the request log.
+ENTRIES = 100
 
 
 @dataclass(frozen=True)
@@ -55,8 +62,12 @@ def profile_of(model: str) -> Profile:
 class Endpoint:
     base: str
     flavour: str
+    #: The base is where chats are posted, and there is no list of models.
+    exact: bool = False
 
-    def url(self, what: str) -> str:
+    def url(self, what: str) -> str | None:
+        if self.exact:
+            return self.base if what == "chat" else None
         return self.base.rstrip("/") + PATHS[self.flavour][("models", "chat").index(what)]
 
 
@@ -66,11 +77,16 @@ def _get(url: str, timeout: float) -> str:
 
 
 def detect(endpoint: str | None = None, base: str | None = None, get: Callable[[str, float], str] = _get) -> Endpoint:
-    """An endpoint named by its path has that path's flavour; else the flavours are tried in turn, and the first stands if none answers."""
+    """An endpoint named by its path has that path's flavour, and is used as it stands if the path is of none.
+
+    Else the flavours are tried in turn, and the first stands if none answers.
+    """
     for flavour, (_, chat) in PATHS.items():
         if endpoint and endpoint.rstrip("/").endswith(chat):
             return Endpoint(endpoint.rstrip("/")[: -len(chat)], flavour)
-    root = (endpoint or base or BASE_URL).rstrip("/")
+    if endpoint and urlsplit(endpoint).path.strip("/"):
+        return Endpoint(endpoint.strip(), next(iter(PATHS)), exact=True)
+    root = (endpoint or base or BASE_URL).strip().rstrip("/")
     for flavour in PATHS:
         try:
             get(Endpoint(root, flavour).url("models"), PREFLIGHT_TIMEOUT)
@@ -81,7 +97,9 @@ def detect(endpoint: str | None = None, base: str | None = None, get: Callable[[
 
 
 def preflight(endpoint: Endpoint, model: str, get: Callable[[str, float], str] = _get) -> list[str]:
-    """Warnings; an endpoint that doesn't answer is an error."""
+    """Warnings; an endpoint that doesn't answer is an error. One without a list of models isn't asked."""
+    if endpoint.url("models") is None:
+        return []
     body = get(endpoint.url("models"), PREFLIGHT_TIMEOUT)
     return [] if model in body else [f"the endpoint doesn't list {model}"]
 
@@ -99,9 +117,10 @@ def results_schema(count: int) -> dict:
             "word_id": {"type": "integer"}, "word": {"type": "string"}, "type": {"type": "string"},
             "rarity_level": {"type": "integer", "minimum": 1, "maximum": 5}, "tag": {"type": "string"}, "confidence": {"type": "number", "minimum": 0, "maximum": 1},
         },
-        "required": ["word_id", "rarity_level", "confidence"],
     }
-    return {"type": "object", "properties": {"results": {"type": "array", "items": item, "minItems": count, "maxItems": count}}, "required": ["results"]}
+    item |= {"required": list(item["properties"]), "additionalProperties": False}
+    results = {"type": "array", "items": item, "minItems": count, "maxItems": count}
+    return {"type": "object", "properties": {"results": results}, "required": ["results"], "additionalProperties": False}
 
 
 def selection_schema(size: int, expected: int) -> dict:
@@ -152,6 +171,22 @@ def payload(model: str, system: str, user: str, *, tokens: int, abilities: Abili
     return body
 
 
+#: Where a prompt's template has the entries; templates without any of them are followed by the entries.
+INPUTS = ("{words}", "{{INPUT_JSON}}")
+
+
+def prompt(template: str, entries: list[dict], **values: int) -> str:
+    """A template with its numbers and entries; no template sends a prompt without the entries."""
+    for name, value in values.items():
+        template = template.replace(f"{{{name}}}", str(value))
+    listed = json.dumps(entries, ensure_ascii=False)
+    if not any(x in template for x in INPUTS):
+        return f"{template}\n\n{listed}"
+    for x in INPUTS:
+        template = template.replace(x, listed)
+    return template
+
+
 #: The fence at the start or the end of a part of an answer.
 _FENCE = re.compile(r"\A\s*```\w*\s*|\s*```\s*\Z")
 
@@ -186,6 +221,8 @@ class Chat:
     tokens: int = TOKENS
     timeout: float = TIMEOUT
     post: Callable[[str, dict, float], dict] | None = None
+    #: Where requests and answers are kept.
+    log: Journal | None = None
 
     def _post(self, url: str, body: dict, timeout: float) -> dict:
         request = urllib.request.Request(url, json.dumps(body).encode(), headers())  # noqa: S310
@@ -194,6 +231,8 @@ class Chat:
                 return json.load(r)
         except urllib.error.HTTPError as x:
             raise ValueError(x.read().decode(errors="replace")) from x
+        except (urllib.error.URLError, http.client.HTTPException) as x:
+            raise ConnectionError(str(x)) from x
 
     def ask(self, system: str, user: str, tokens: int, schema: dict) -> str:
         """The text of the answer; asked again without what the endpoint says it refuses."""
@@ -201,11 +240,28 @@ class Chat:
             self.abilities = Abilities.of(self.endpoint)
         while True:
             body = payload(self.model, system, user, tokens=tokens, abilities=self.abilities, schema=schema)
+            answer: dict | str = ""
             try:
-                return content_text((self.post or self._post)(self.endpoint.url("chat"), body, self.timeout))
-            except ValueError as x:
-                if not self.abilities.refused(str(x)):
+                answer = (self.post or self._post)(self.endpoint.url("chat"), body, self.timeout)
+                return content_text(answer)
+            except Exception as x:
+                answer = answer or json_or_text(str(x))
+                if not isinstance(x, ValueError) or not self.abilities.refused(str(x)):
                     raise
+            finally:
+                self.note(body, answer)
+
+    def note(self, request: dict, response: dict | str) -> None:
+        """Keep a request and what came of it; entries go out by the hundred, and at the end of a task by flush()."""
+        if self.log is not None:
+            self.entries = [*getattr(self, "entries", []), {"ts": datetime.now(UTC).isoformat(), "model": self.model, "request": request, "response": response}]
+            if len(self.entries) >= ENTRIES:
+                self.flush()
+
+    def flush(self) -> None:
+        if getattr(self, "entries", None):
+            self.log.put(uuid.uuid4().hex, self.entries)
+            self.entries = []
 
 
 @dataclass
@@ -216,8 +272,7 @@ class ChatScorer(Chat):
         from ..functions.responses import _nodes, _waterfall
 
         words = list(batch[["word_id", "word", "type"]].itertuples(index=False, name=None))
-        listed = json.dumps([{"word_id": int(i), "word": w, "type": t} for i, w, t in words], ensure_ascii=False)
-        user = self.template.replace("{words}", listed).replace("{count}", str(len(words)))
+        user = prompt(self.template, [{"word_id": int(i), "word": w, "type": t} for i, w, t in words], count=len(words))
         tokens = max(256, min(40 * len(words) + 200, self.tokens))
         content = self.ask(self.system, user, tokens, results_schema(len(words)))
         try:
@@ -225,9 +280,9 @@ class ChatScorer(Chat):
         except ValueError as x:
             self.abilities.refused(str(x))
             raise
-        found = [(r[0], *r[3:6]) for r in rows if r[3] is not None]
+        found = [(r[0], *r[3:7]) for r in rows if r[3] is not None]
         self.abilities.answered(len(words), len(words) - len(found))
-        return pd.DataFrame(found, columns=["word_id", "rarity_level", "tag", "confidence"])
+        return pd.DataFrame(found, columns=["word_id", "rarity_level", "tag", "confidence", "matched"])
 
 
 #: What is asked when a selection had the wrong number of picks.
@@ -261,10 +316,11 @@ class ChatSelector(Chat):
     """A selector over an endpoint: words and how many to pick in, local ids of the commonest out."""
 
     def __call__(self, words: list[str], expected: int, repair: bool = False) -> list[int]:
-        listed = json.dumps([{"local_id": i, "word": w} for i, w in enumerate(words, 1)], ensure_ascii=False)
+        entries = [{"local_id": i, "word": w} for i, w in enumerate(words, 1)]
         system, user = (REPAIR_SYSTEM, REPAIR_USER) if repair else (self.system, self.template)
-        fill = lambda t: t.replace("{count}", str(expected)).replace("{size}", str(len(words))).replace("{words}", listed)
+        system = system.replace("{count}", str(expected)).replace("{size}", str(len(words)))
+        user = prompt(user, entries, count=expected, size=len(words))
         tokens = min(max(128, min(24 * expected + 128, self.tokens)), 1024)
-        content = self.ask(fill(system), fill(user), tokens, selection_schema(len(words), expected))
+        content = self.ask(system, user, tokens, selection_schema(len(words), expected))
         node = parse_content(content)[0]
         return picked_ids(json_or_text(node) if isinstance(node, str) else node, words, expected)

@@ -63,6 +63,7 @@ def batch_sizes(outcomes: DataFrame, key: str, order: str, ratio: str, initial:
 
 
 def progress_text(metrics: DataFrame, remaining: Column, elapsed: Column, batch_size: Column) -> DataFrame:
+    """A line on a run, from run_metrics()."""
     wpm = throughput(F.col("scored"), elapsed)
     text = F.format_string(
         "scored=%d failed=%d remaining=%d wpm=%.1f eta=%s batch_size=%d success_rate=%.0f%%",

@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..functions.sizes import byte_size
+from .places import file_system
+
 #: Bytes of a range, unless the session's spark.sql.files.maxPartitionBytes are fewer.
 RANGE_BYTES = 32 << 20
 _MORE = 1 << 20
@@ -35,12 +38,7 @@ class BadRow(ValueError):
 
 
 def open_file(uri: str):
-    """A file for reading at any place: local, or of a store that Arrow has a file system for."""
-    from pyarrow.fs import FileSystem, LocalFileSystem
-
-    if uri.startswith("file:") or "://" not in uri:
-        return LocalFileSystem().open_input_file(re.sub("^file:/+", "/", uri))
-    fs, place = FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+    fs, place = file_system(uri)
     return fs.open_input_file(place)
 
 
@@ -206,8 +204,6 @@ def read_ranges(spark: SparkSession, path: str, size: int | None = None) -> Data
     None where ranges can't be told: files that are packed, that Arrow can't open, with columns that have no or the
     same name, with quotes within unquoted cells, or with text after quoted ones.
     """
-    from ..functions.sizes import byte_size
-
     size = size or min(RANGE_BYTES, byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes")))
     files = files_of(spark, path)
     if not files or any(_PACKED.search(f) for f, _ in files):

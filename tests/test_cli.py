@@ -1,13 +1,16 @@
 import functools
+import http.server
 import json
 import sqlite3
+import threading
+import time
 
 import pandas as pd
 import pytest
 
 from lexirank import cli
 from lexirank.operators import scoring
-from lexirank.operators.endpoint import Abilities, ChatScorer, ChatSelector, Endpoint, content_text, detect, json_or_text, payload, picked_ids, preflight, profile_of, selection_schema
+from lexirank.operators.endpoint import Abilities, ChatScorer, ChatSelector, Endpoint, content_text, detect, json_or_text, payload, picked_ids, preflight, profile_of, prompt, results_schema, selection_schema
 from lexirank.operators.journal import Journal
 from lexirank.operators.selection import chosen
 from lexirank.sources import tables
@@ -71,6 +74,38 @@ def test_endpoint_is_found_by_path_then_by_asking():
         raise OSError("down")
 
     assert detect(get=down).flavour == "openai"
+    other = detect("http://h:1/custom/score?key=1")
+    assert other.url("chat") == "http://h:1/custom/score?key=1" and preflight(other, "m", down) == []
+
+
+def test_no_prompt_lacks_its_entries():
+    assert prompt("{count} of {{INPUT_JSON}}", [{"word": "ă"}], count=1) == '1 of [{"word": "ă"}]'
+    assert prompt("{words}", [], count=0) == "[]"
+    assert prompt("Score these.", [{"word": "x"}], count=1) == 'Score these.\n\n[{"word": "x"}]'
+
+
+def test_schemas_are_closed():
+    schema = results_schema(2)
+    item = schema["properties"]["results"]["items"]
+    assert sorted(item["required"]) == sorted(item["properties"]) and len(item["required"]) == 6
+    assert not item["additionalProperties"] and not schema["additionalProperties"]
+
+
+def test_requests_and_answers_are_logged(spark, tmp_path):
+    def post(url, body, timeout):
+        if body["max_tokens"] < 300:
+            raise ConnectionError("connection refused")
+        return {"choices": [{"message": {"content": '[{"word_id": 1, "rarity_level": 2, "confidence": 1}]'}}]}
+
+    log = Journal(str(tmp_path / "log"))
+    scorer = ChatScorer(Endpoint("http://h", "openai"), "m", "s", "{words}", post=post, log=log)
+    scorer(pd.DataFrame({"word_id": [1, 2, 3], "word": ["a", "b", "c"], "type": ["N"] * 3}))
+    with pytest.raises(ConnectionError):
+        scorer(pd.DataFrame({"word_id": [1], "word": ["a"], "type": ["N"]}))
+    scorer.flush()
+    rows = log.table(spark, "model string, request struct<messages:array<struct<content:string>>>, response string").collect()
+    assert [r.model for r in rows] == ["m", "m"] and "word_id" in rows[0].request.messages[1].content
+    assert "rarity_level" in rows[0].response and rows[1].response == "connection refused"
 
 
 def test_scorer_learns_what_is_refused():
@@ -87,7 +122,7 @@ def test_scorer_learns_what_is_refused():
     scorer = ChatScorer(Endpoint("http://h", "openai"), "m", "s", "{count}: {words}", post=post)
     got = scorer(pd.DataFrame({"word_id": [1, 2], "word": ["a", "bcdef"], "type": ["N", "N"]}))
     assert sent == ["json_object", "json_schema", None]
-    assert got.values.tolist() == [[1, 2, "uncertain", 1.0]]
+    assert got.values.tolist() == [[1, 2, "uncertain", 1.0, "id"]]
     assert Abilities.of(Endpoint("", "native")).format == "none"
 
 
@@ -171,6 +206,127 @@ def _listening(post):
     return lambda o, kind, system, template: kind(Endpoint("http://h", "openai"), o.model, "s", "{words}", post=post)
 
 
+class Stub:
+    """An endpoint that counts how many calls it gets, and how many at once; after so many words it drops calls unanswered."""
+
+    def __enter__(self):
+        stub = self
+
+        class Handler(http.server.BaseHTTPRequestHandler):
+            def do_POST(self):
+                with stub.lock:
+                    stub.calls += 1
+                    stub.at_once += 1
+                    stub.most = max(stub.most, stub.at_once)
+                body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+                words = json.loads(body["messages"][1]["content"])
+                time.sleep(0.02)
+                with stub.lock:
+                    stub.at_once -= 1
+                    down = stub.limit is not None and stub.answered >= stub.limit
+                    stub.after += down
+                    stub.answered += 0 if down else len(words)
+                    stub.asked += [] if down else [w["word_id"] for w in words]
+                if down:
+                    self.close_connection = True
+                    return
+                answer = json.dumps({"choices": [{"message": {"content": json.dumps([w | {"rarity_level": 2, "confidence": 0.5, "tag": "t"} for w in words])}}]}).encode()
+                self.send_response(200)
+                self.send_header("Content-Length", str(len(answer)))
+                self.end_headers()
+                self.wfile.write(answer)
+
+            def log_message(self, *a):
+                pass
+
+        self.server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        return self
+
+    def __init__(self, limit=None):
+        self.lock, self.limit = threading.Lock(), limit
+        self.calls = self.at_once = self.most = self.answered = self.after = 0
+        self.asked = []
+
+    def __exit__(self, *a):
+        self.server.shutdown()
+
+    def scorer(self):
+        return ChatScorer(Endpoint(f"http://127.0.0.1:{self.server.server_port}", "openai"), "m", "s", "{words}")
+
+
+def test_an_endpoint_gets_no_more_calls_than_it_has_slots(spark):
+    words = spark.range(300).selectExpr("id as word_id", "concat('w', id) as word", "'N' as type")
+    with Stub() as stub:
+        rows = scoring.score_words(words, stub.scorer(), batch_size=5, slots=2).collect()
+        assert len(rows) == 300 and stub.most == 2 and {r.matched for r in rows} == {"id"}
+        scoring.score_words(words, stub.scorer(), batch_size=5).collect()
+        assert stub.most > 2
+
+
+def test_calls_after_an_outage_are_bounded(spark, tmp_path):
+    """Each task makes at most as many further calls as a batch has attempts, none fails, and the next run asks for the rest once."""
+    words = spark.range(2000).selectExpr("id as word_id", "concat('w', id) as word", "'N' as type")
+    journal, retry = Journal(str(tmp_path / "j")), scoring.Retry(attempts=3)
+    with Stub(limit=200) as stub:
+        rows = scoring.score_words(words, stub.scorer(), batch_size=20, retry=retry, journal=journal).collect()
+        assert journal.tripped() and 0 < stub.after <= retry.attempts * spark.sparkContext.defaultParallelism
+        assert {r.word_id for r in rows} == set(stub.asked) and len(stub.asked) == len(set(stub.asked))
+        kept = journal.table(spark, scoring.SCORED).filter("rarity_level is not null")
+        stub.limit = None
+        more = scoring.score_words(words.join(kept.select("word_id"), "word_id", "left_anti"), stub.scorer(), batch_size=20, retry=retry, journal=journal).collect()
+        assert not journal.tripped() and {r.word_id for r in rows} | {r.word_id for r in more} == set(range(2000))
+        assert len(stub.asked) == len(set(stub.asked)) == 2000
+
+
+def test_an_outage_after_a_part_of_a_batch_ends_it():
+    asked = []
+
+    def scorer(batch):
+        asked.append(len(batch))
+        if len(asked) > 1:
+            raise ConnectionError("connection refused")
+        return pd.DataFrame({"word_id": batch["word_id"][:1], "rarity_level": [2], "tag": ["t"], "confidence": [0.5]})
+
+    batch = pd.DataFrame({"word_id": range(50), "word": ["w"] * 50, "type": ["N"] * 50})
+    with pytest.raises(scoring.Unreachable) as x:
+        scoring.resilient(scorer, batch, scoring.Retry(attempts=3))
+    assert len(asked) == 3 and x.value.done["word_id"].tolist() == [0]
+
+
+def test_a_task_that_runs_again_asks_for_nothing_twice(spark, tmp_path):
+    """The same plan twice, as after the loss of an executor: words that failed aren't asked for again either."""
+    folder = tmp_path / "asked"
+    folder.mkdir()
+
+    def scorer(batch):
+        for i in batch["word_id"]:
+            path = folder / str(i)
+            path.write_text((path.read_text() if path.exists() else "") + "x")
+        good = batch[batch["word_id"] % 10 != 3]
+        return pd.DataFrame({"word_id": good["word_id"], "rarity_level": 2, "tag": "t", "confidence": 0.5})
+
+    words = spark.range(100).selectExpr("id as word_id", "'w' as word", "'N' as type")
+    plan = scoring.score_words(words, scorer, batch_size=10, retry=scoring.Retry(attempts=1, depth=0), journal=Journal(str(tmp_path / "j")))
+    first, second = ({(r.word_id, r.rarity_level) for r in plan.collect()} for _ in range(2))
+    assert first == second and len(first) == 100
+    assert len(list(folder.iterdir())) == 100 and all(p.read_text() == "x" for p in folder.iterdir())
+
+
+def test_counters_are_those_of_a_second_pass(spark, tmp_path):
+    from lexirank.operators import counters
+
+    def scorer(batch):
+        good = batch[batch["word_id"] % 4 != 3]
+        return pd.DataFrame({"word_id": good["word_id"], "rarity_level": 2, "tag": "t", "confidence": 0.5, "matched": "id"})
+
+    words = spark.range(100).selectExpr("id as word_id", "'w' as word", "'N' as type")
+    plan, got = counters.counted(scoring.score_words(words, scorer, retry=scoring.Retry(attempts=1)), counters.scoring())
+    plan.write.parquet(str(tmp_path / "log"))
+    again = spark.read.parquet(str(tmp_path / "log")).agg(*[c.alias(n) for n, c in counters.scoring().items()]).first().asDict()
+    assert got() == again and (again["scored"], again["failed"], again["by_id"], again["error_other"]) == (75, 25, 75, 25)
+
+
 def test_rebalance_by_a_model_is_taken_up_where_it_stopped(spark, files, monkeypatch):
     _, (a, _, _), tmp = files
     folder = tmp / "asked"
@@ -214,6 +370,10 @@ def test_scoring_goes_on_after_an_outage(spark, files, monkeypatch):
     def post(url, body, timeout, last=None):
         words = json.loads(body["messages"][1]["content"])
         if last is not None and words[0]["word_id"] > last:
+            for _ in range(600):  # until others have been answered
+                if any(folder.iterdir()):
+                    break
+                time.sleep(0.1)
             raise ConnectionError("connection refused")
         for w in words:
             path = folder / str(w["word_id"])
