@@ -64,6 +64,23 @@ def test_groups_of_many_blocks(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 3, 90)
 
 
+@pytest.mark.parametrize("share", [1, 60, 250_000])
+def test_components_at_every_share_of_a_task(spark, monkeypatch, share):
+    """Rounds of stars until nothing changes, until few edges are left, or none at all."""
+    from lexirank.llm import components
+
+    monkeypatch.setattr(components, "TASK_EDGES", share)
+    monkeypatch.setattr(components, "HELD_EDGES", 40)
+    rng = random.Random(share)
+    edges = [(rng.randrange(-400, 400), rng.randrange(-400, 400)) for _ in range(330)] + [(7, 7), (1000, 1001), (1001, 1000)]
+    root = {x: x for e in edges for x in e}
+    for _ in range(len(root)):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    found = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
+    assert found == {x: r for x, r in root.items() if sum(1 for v in root.values() if v == r) > 1}
+
+
 def test_chains_of_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(100 + i, 100) for i in range(1, 30)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
