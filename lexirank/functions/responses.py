@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import scalars as S
+from .near import NearWords, near_pairs
 
 RESULT = "array<struct<word_id:string,word:string,type:string,rarity_level:string,tag:string,confidence:string>>"
 
@@ -45,9 +47,9 @@ def match_by_word(batch: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def match_fuzzy(batch: DataFrame, results: DataFrame) -> DataFrame:
-    """Words and results of one batch and type whose spellings nearly match; of a result's words the first. The length test goes before the distance."""
+    """Words and results of one batch and type whose spellings nearly match; of a result's words the first, of a word's results the first."""
     right = results.where("word is not null").select("batch", "type", "pos", F.col("word").alias("_w"), "rarity_level", "tag", "confidence")
-    pairs = batch.join(right, ["batch", "type"]).where((F.abs(F.length("word") - F.length("_w")) <= 2) & S.matches(F.col("word"), F.col("_w")))
+    pairs = near_pairs(batch, right, ["batch", "type"], "word", "_w")
     first = pairs.groupBy("batch", "pos").agg(F.min_by(F.struct(*batch.columns, "rarity_level", "tag", "confidence"), "word_id").alias("r")).select("r.*", "pos")
     return first.withColumn("n", F.row_number().over(Window.partitionBy("batch", "word_id").orderBy("pos"))).where("n = 1").drop("n", "pos")
 
@@ -96,33 +98,36 @@ def _sure(x) -> float:
     return value if 0 <= value <= 1 else value / 100 if 1 < value <= 100 else 0.5
 
 
-def _near(a: str, b: str) -> bool:
-    fold = str.maketrans(S.FOLDED_FROM, S.FOLDED_TO)
-    a, b = a.translate(fold).lower(), b.translate(fold).lower()
-    if abs(len(a) - len(b)) > 2:
-        return False
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        diagonal, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            diagonal, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, diagonal + (x != y))
-    return row[-1] <= 2
-
-
 def _waterfall(words: list[tuple], nodes: list[dict], strict: bool) -> list[tuple]:
-    left = {int(w[0]): w for w in words}
+    """A row for each word: of the nodes in order, each takes the word of its id, else the first of its word and type left, else the first left that nearly matches."""
+    ids = [int(w[0]) for w in words]
+    by_id = {i: k for k, i in reversed(list(enumerate(ids)))}
+    by_word: dict[tuple, deque[int]] = {}
+    near: NearWords | None = None
+    for k, w in enumerate(words):
+        by_word.setdefault((w[1], w[2]), deque()).append(k)
     taken: dict[int, tuple] = {}
+    gone: set[int] = set()
     for node in nodes:
         level = _whole(node.get("rarity_level"))
         if level is None or not 1 <= level <= 5:
             continue
         number, word, kind = _whole(node.get("word_id")), str(node.get("word") or "").strip(), str(node.get("type") or "").strip()
-        how, found = ("id", number) if number in left else ("word", next((i for i, w in left.items() if word and (w[1], w[2]) == (word, kind)), None))
+        how, found = "id", by_id.get(number)
+        if found is None or ids[found] in gone:
+            same = by_word.get((word, kind), ()) if word else ()
+            while same and ids[same[0]] in gone:
+                same.popleft()
+            how, found = "word", same[0] if same else None
         if found is None and word:
-            how, found = "fuzzy", next((i for i, w in left.items() if w[2] == kind and _near(w[1], word)), None)
+            if near is None:
+                near = NearWords()
+                for w in words:
+                    near.put(w[2], w[1])
+            how, found = "fuzzy", next((k for k in near.near(kind, word) if ids[k] not in gone), None)
         if found is not None:
-            w = left.pop(found)
-            taken[found] = (*w, level, (str(node.get("tag") or "").strip() or "uncertain")[:16], _sure(node.get("confidence")), how)
+            gone.add(ids[found])
+            taken[ids[found]] = (*words[found], level, (str(node.get("tag") or "").strip() or "uncertain")[:16], _sure(node.get("confidence")), how)
     if strict and words and not taken:
         raise ValueError(f"no valid results parsed from {len(nodes)} result nodes")
     return [taken.get(int(w[0]), (*w, None, None, None, "unresolved")) for w in words]

@@ -616,6 +616,21 @@ def answers_fuzzy(spark: SparkSession, d: str) -> DataFrame:
     return responses.match_fuzzy(words, results).select("word_id", "word", "type", "rarity_level")
 
 
+@query(
+    f""", w AS (SELECT *, word_id // 25 AS batch, {_LEVEL} AS rarity_level, row_number() OVER (PARTITION BY word_id // 25 ORDER BY word_id) - 1 AS pos FROM base),
+    r AS (SELECT batch, pos, type, rarity_level, CASE WHEN word_id % 3 = 2 THEN 'x' || word ELSE word END AS word FROM w),
+    p AS (
+        SELECT r.batch, r.pos, r.rarity_level, min(w.word_id) AS word_id FROM w JOIN r USING (batch, type)
+        WHERE abs(len(w.word) - len(r.word)) <= 2 AND levenshtein(lower(w.word), lower(r.word)) <= 2 GROUP BY 1, 2, 3)
+    SELECT word_id, rarity_level FROM p QUALIFY row_number() OVER (PARTITION BY word_id ORDER BY pos) = 1"""
+)
+def answers_fuzzy_ties(spark: SparkSession, d: str) -> DataFrame:
+    """Words that are alike: a result fits several, and takes the first; a word that several take has the first's level."""
+    words, answers = _answered(spark, d)
+    results = responses.valid_results(answers.withColumn("nodes", responses.result_nodes(F.col("response"))))
+    return responses.match_fuzzy(words, results).select("word_id", "rarity_level")
+
+
 @query(f"SELECT word_id, {_LEVEL} AS rarity_level, ['id', 'word', 'fuzzy'][1 + word_id % 3] AS matched FROM base")
 def answers_waterfall(spark: SparkSession, d: str) -> DataFrame:
     """Every word gets an answer of its batch: by id, by word, or by spelling."""
