@@ -176,21 +176,35 @@ def rebalance_(spark, o) -> int:
         print_of = _fingerprint(words, [t.text for t in found], o.lower_ratio, o.batch_size, o.seed or 0, o.pick, o.model)
         root = f"{at['rebalance/runs']}/{run}-{uuid.uuid4().hex}"
         model = o.model if o.pick == "model" else ""
-        done = words.withColumn("processed", F.lit(False))
         kept = ("batch", "target", "is_common", "previous_level", "rule")
-        marks = None
+        # Transitions that a run with the same words and settings completed are taken from its checkpoint; the others follow.
+        start = words.withColumn("processed", F.lit(False))
+        log = f"{at['rebalance/checkpoints']}/{run}.jsonl"
+        ended = tables.read_checkpoint(spark, log)
+        there, counts = rebalance.checkpoint_batches(ended, print_of), rebalance.level_counts(start)
+        complete = [t.text for t in found if 0 < there.get(t.text, 0) == rebalance.batches_of(counts, t, o.batch_size)]
+        done, marks = start, None
+        if complete:
+            rows = ended.where(F.col("transition").isin(*complete))
+            rebalance.replay_checkpoint(start, rows, print_of).write.parquet(f"{root}/0")
+            rebalance.checkpoint_rules(rows, print_of).write.parquet(f"{root}/rules")
+            done, marks = spark.read.parquet(f"{root}/0"), spark.read.parquet(f"{root}/rules")
+            print(f"resumed: {', '.join(complete)}")
         for n, t in enumerate(found, 1):
-            picks = f"{at['rebalance/checkpoints']}/{run}/{print_of}/{n}"
+            if t.text in complete:
+                continue
+            picks, key = f"{at['rebalance/checkpoints']}/{run}/{print_of}/{n}", f"{print_of}-{n}"
             after = rebalance.apply_transition(done, t, ratio=o.lower_ratio, batch_size=o.batch_size, seed=o.seed or 0, pick=_pick(o, picks))
+            after, sums = counters.counted(after, counters.transitions())
             after.write.parquet(f"{root}/{n}")
-            after = spark.read.parquet(f"{root}/{n}")
+            after, sums = spark.read.parquet(f"{root}/{n}"), sums()
             stamp = {"timestamp": now(), "run_slug": F.lit(run), "model": F.lit(model)}
-            sinks.append_json(rebalance.switched_events(after, t).withColumns(stamp), f"{at['rebalance/switched_words']}/{run}.jsonl")
-            sinks.append_json(rebalance.progress_rows(after, t), f"{at['rebalance/progress']}/{run}.jsonl")
+            sinks.append_json(rebalance.switched_events(after, t).withColumns(stamp), f"{at['rebalance/switched_words']}/{run}.jsonl", key)
+            sinks.append_json(rebalance.progress_rows(after, t), f"{at['rebalance/progress']}/{run}.jsonl", key)
             rows = rebalance.checkpoint_rows(after, t, print_of, now())
-            sinks.append_json(rows, f"{at['rebalance/checkpoints']}/{run}.jsonl")
-            stats, sums = rebalance.resume_stats(rows).first(), rebalance.transition_summary(after).first()
-            print(f"{t.text}: batches={stats.batches} eligible={sums.eligible} common={sums.common_assigned} switched={sums.switched}")
+            sinks.append_json(rows, log, key)  # the last: with it the transition is complete
+            stats = rebalance.resume_stats(rows).first()
+            print(f"{t.text}: batches={stats.batches} eligible={sums['eligible']} common={sums['common']} switched={sums['switched']}")
             taken = after.where("batch is not null").select("word_id", "rule")
             marks = taken if marks is None else marks.unionByName(taken)
             done = after.drop(*kept)

@@ -8,6 +8,7 @@ batches runs, and nothing is joined to find a batch.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,8 +68,8 @@ def plan_phases(counts: dict[int, int], batch_size: int) -> list[dict]:
     return out
 
 
-def with_batches(ranked: DataFrame, phases: list[dict], ratio: float) -> DataFrame:
-    """Rows (level, _rank from 1) with their batch, its size and its target: the rounded share of all words up to its end, less that up to its start."""
+def batch_columns(phases: list[dict]) -> tuple[Column, Column, Column]:
+    """Of rows (level, _rank from 1) their batch; and, by the column `batch`, its size and the words in batches before it."""
     batch, size, done = F.lit(None).cast("long"), F.lit(None).cast("int"), F.lit(None).cast("long")
     for p in phases:
         for level, share in p["shares"].items():
@@ -79,8 +80,20 @@ def with_batches(ranked: DataFrame, phases: list[dict], ratio: float) -> DataFra
         inside = F.col("batch").between(p["batch"], p["batch"] + p["batches"] - 1)
         size = F.when(inside, p["size"]).otherwise(size)
         done = F.when(inside, p["done"] + (F.col("batch") - p["batch"]) * p["size"]).otherwise(done)
+    return batch.cast("long"), size.cast("int"), done.cast("long")
+
+
+def _chosen(by: Column, values: list) -> Column:
+    """The value of the number that a column holds."""
+    return reduce(lambda rest, nv: F.when(by == nv[0], nv[1]).otherwise(rest), list(enumerate(values))[1:], values[0] if isinstance(values[0], Column) else F.lit(values[0]))
+
+
+def with_batches(ranked: DataFrame, plans: list[list[dict]], ratio: float) -> DataFrame:
+    """Rows (level, _rank from 1, _of: which plan) with their batch, its size and its target: the rounded share of all words up to its end, less that up to its start."""
+    made = [batch_columns(phases) for phases in plans]
     share = lambda n: F.bround(n.cast("double") * F.lit(float(ratio)))
-    rows = ranked.withColumn("batch", batch.cast("long")).withColumns({"size": size.cast("int"), "_done": done.cast("long")})
+    rows = ranked.withColumn("batch", _chosen(F.col("_of"), [m[0] for m in made]))
+    rows = rows.withColumns({"size": _chosen(F.col("_of"), [m[1] for m in made]), "_done": _chosen(F.col("_of"), [m[2] for m in made])})
     return rows.withColumn("target", (share(F.col("_done") + F.col("size")) - share(F.col("_done"))).cast("int")).drop("_done", "_rank")
 
 
@@ -105,57 +118,71 @@ def _ranked(rows: DataFrame, total: int, seed: int) -> DataFrame:
     return keyed.join(sizes.drop("_n"), ["level", "_slice"]).withColumn("_rank", (within + F.col("_before")).cast("long")).drop("_key", "_slice", "_before")
 
 
-def apply_transition(
-    words: DataFrame, transition: Transition, *, ratio: float = RATIO, batch_size: int = BATCH_SIZE, seed: int = 0, score: Column | str = "score", pick: Callable[[DataFrame], DataFrame] | None = None
+def level_counts(words: DataFrame) -> dict[int, int]:
+    """Words that no transition has taken yet, by level."""
+    return {r["level"]: r["n"] for r in words.where(~F.col("processed")).groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def batches_of(counts: dict[int, int], transition: Transition, batch_size: int) -> int:
+    """How many batches a transition makes of so many words by level."""
+    own = {x: counts[x] for x in transition.sources if counts.get(x)}
+    return sum(p["batches"] for p in plan_phases(own, batch_size))
+
+
+def apply_transition(words: DataFrame, transition: Transition, *, pick: Callable[[DataFrame], DataFrame] | None = None, **options) -> DataFrame:
+    """apply_transitions() of one."""
+    return apply_transitions(words, [transition], picks=[pick], **options)
+
+
+def apply_transitions(
+    words: DataFrame, transitions: Sequence[Transition], *, ratio: float = RATIO, batch_size: int = BATCH_SIZE, seed: int = 0, score: Column | str = "score", picks: Sequence[Callable[[DataFrame], DataFrame] | None] | None = None
 ) -> DataFrame:
-    """The words (word_id, level, processed, ...) after a transition, with batch, target, is_common, previous_level and rule.
+    """The words (word_id, level, processed, ...) after transitions, with batch, target, is_common, previous_level and rule of the one that took them.
 
     Of every batch exactly its count of commonest words, by score, gets the commoner level and the others the rarer
-    one. A word is processed once. `pick` may replace the choice: from rows with batch and common_count to rows
-    with is_common, as by a model; batches of which all or none are common are decided without it.
+    one. A word is processed once, and transitions have no source level in common, so what each takes is known at the
+    start: all are one plan, with a ranking of the words by level and a window over batches. A `pick` may replace a
+    transition's choice: from rows with batch and common_count to rows with is_common, as by a model; batches of which
+    all or none are common are decided without it.
     """
-    eligible = F.col("level").isin(*transition.sources) & ~F.col("processed")
-    counts = {r["level"]: r["n"] for r in words.where(eligible).groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
+    check_disjoint(list(transitions))
+    picks = list(picks or [None] * len(transitions))
+    every = level_counts(words)
+    counts = [{x: every[x] for x in t.sources if every.get(x)} for t in transitions]
     rows = words.drop("batch", "target", "is_common", "previous_level", "rule")
     nothing = {"batch": F.lit(None).cast("long"), "target": F.lit(None).cast("int"), "is_common": F.lit(None).cast("boolean"), "previous_level": F.lit(None).cast("int"), "rule": F.lit("")}
-    if not counts:
+    if not any(counts):
         return rows.withColumns(nothing)
-    ranked = _ranked(rows.where(eligible), sum(counts.values()), seed)
-    dealt = with_batches(ranked, plan_phases(counts, batch_size), ratio)
-    common = F.col("target") if transition.to == transition.common else F.col("size") - F.col("target")
+    eligible = F.coalesce(F.col("level").isin(*[x for t in transitions for x in t.sources]) & ~F.col("processed"), F.lit(False))
+    of = reduce(lambda rest, nt: F.when(F.col("level").isin(*nt[1].sources), nt[0]).otherwise(rest), enumerate(transitions), F.lit(None).cast("int"))
+    ranked = _ranked(rows.where(eligible), sum(sum(c.values()) for c in counts), seed).withColumn("_of", of)
+    dealt = with_batches(ranked, [plan_phases(c, batch_size) for c in counts], ratio)
+    common = _chosen(F.col("_of"), [F.col("target") if t.to == t.common else F.col("size") - F.col("target") for t in transitions])
     dealt = dealt.withColumn("common_count", common)
-    if pick is None:
-        by_score = Window.partitionBy("batch").orderBy(score if isinstance(score, Column) else F.col(score), "word_id")
-        dealt = dealt.withColumn("is_common", F.row_number().over(by_score) <= F.col("common_count"))
-    else:
-        sure = dealt.where("common_count <= 0 or common_count >= size").withColumn("is_common", F.col("common_count") > 0)
-        dealt = sure.unionByName(pick(dealt.where("common_count > 0 and common_count < size")))
-    new = F.when(F.col("is_common"), F.lit(transition.common)).otherwise(F.lit(transition.rare))
-    rule = F.concat(F.col("level").cast("string"), F.lit("->"), new.cast("string"), F.lit(f" (via {transition.text})"))
-    changed = dealt.withColumns({"previous_level": F.col("level"), "rule": F.when(F.col("level") != new, rule).otherwise("")}).withColumns({"level": new.cast("int"), "processed": F.lit(True)})
+    by_score = Window.partitionBy("_of", "batch").orderBy(score if isinstance(score, Column) else F.col(score), "word_id")
+    scored = [n for n, pick in enumerate(picks) if pick is None]
+    parts = []
+    if scored:
+        own = dealt if len(scored) == len(picks) else dealt.where(F.col("_of").isin(*scored))
+        parts.append(own.withColumn("is_common", F.row_number().over(by_score) <= F.col("common_count")))
+    for n, pick in enumerate(picks):
+        if pick is not None:
+            own = dealt.where(F.col("_of") == n)
+            parts.append(own.where("common_count <= 0 or common_count >= size").withColumn("is_common", F.col("common_count") > 0))
+            parts.append(pick(own.where("common_count > 0 and common_count < size")))
+    decided = reduce(DataFrame.unionByName, parts)
+    new = F.when(F.col("is_common"), _chosen(F.col("_of"), [t.common for t in transitions])).otherwise(_chosen(F.col("_of"), [t.rare for t in transitions]))
+    rule = F.concat(F.col("level").cast("string"), F.lit("->"), new.cast("string"), F.lit(" (via "), _chosen(F.col("_of"), [t.text for t in transitions]), F.lit(")"))
+    changed = decided.withColumns({"previous_level": F.col("level"), "rule": F.when(F.col("level") != new, rule).otherwise("")}).withColumns({"level": new.cast("int"), "processed": F.lit(True)})
     kept = rows.where(~eligible).withColumns(nothing)
     return changed.select(*kept.columns).unionByName(kept)
 
 
-def rebalance(words: DataFrame, transitions: list[Transition], *, cut: Callable[[DataFrame], DataFrame] = lambda df: df, **options) -> DataFrame:
-    """Transitions in order, each on the levels that the earlier ones left; `cut` may end lineage between them.
-
-    words: word_id, level and what the score needs; the result adds processed, batch, target, is_common,
-    previous_level and rule of the transition that took the word, if one did.
-    """
-    check_disjoint(transitions)
+def rebalance(words: DataFrame, transitions: list[Transition], **options) -> DataFrame:
+    """Disjoint transitions in one pass; words: word_id, level and what the score needs. processed is added where it is not there."""
     if "processed" not in words.columns:
         words = words.withColumn("processed", F.lit(False))
-    kept = ["batch", "target", "is_common", "previous_level", "rule"]
-    out, before = words, None
-    for t in transitions:
-        after = apply_transition(out, t, **options)
-        if before is not None:
-            old = out.select("word_id", *[F.col(c).alias(f"_{c}") for c in kept])
-            after = after.join(old, "word_id").withColumns({c: F.when(F.col("previous_level").isNull(), F.col(f"_{c}")).otherwise(F.col(c)) for c in kept if c != "previous_level"})
-            after = after.withColumn("previous_level", F.coalesce("previous_level", "_previous_level")).drop(*[f"_{c}" for c in kept])
-        out = before = cut(after)
-    return out
+    return apply_transitions(words, transitions, **options)
 
 
 def transition_summary(after: DataFrame) -> DataFrame:
@@ -178,6 +205,18 @@ def checkpoint_rows(after: DataFrame, transition: Transition, fingerprint: str,
     return rows.select(timestamp.cast("string").alias("timestamp"), F.lit(transition.text).alias("transition"), F.lit(fingerprint).alias("fingerprint"), "batch", "processed_word_ids", "switched")
 
 
+def checkpoint_batches(rows: DataFrame, fingerprint: str) -> dict[str, int]:
+    """How many batches of each transition a checkpoint has."""
+    found = rows.where(F.col("fingerprint") == fingerprint).groupBy("transition").agg(F.count_distinct("batch").alias("n"))
+    return {r["transition"]: r["n"] for r in found.collect()}
+
+
+def checkpoint_rules(rows: DataFrame, fingerprint: str) -> DataFrame:
+    """word_id and rule of each word that a checkpoint switched: of several the first."""
+    own = rows.where(F.col("fingerprint") == fingerprint).select("timestamp", "batch", F.explode("switched").alias("s"))
+    return own.groupBy(F.col("s.word_id").alias("word_id")).agg(F.min_by("s.rule", F.struct("timestamp", "batch")).alias("rule"))
+
+
 def replay_checkpoint(words: DataFrame, rows: DataFrame, fingerprint: str) -> DataFrame:
     """The words as their checkpoint left them: processed ones, and of each switched one the first switch. Unknown ids are dropped."""
     own = rows.where(F.col("fingerprint") == fingerprint)

@@ -489,7 +489,7 @@ _CHAINED = _START + ", ".join(_step_sql(a, b, low, to, 600, "(CAST(1 AS DOUBLE)
 
 @query(_CHAINED + "SELECT word_id, level, done AS processed FROM s3")
 def rebalance_default(spark: SparkSession, d: str) -> DataFrame:
-    done = rebalance.rebalance(views.pool(spark, d), parse_transitions("2:1,3:2,4:3"), cut=written)
+    done = rebalance.rebalance(views.pool(spark, d), parse_transitions("2:1,3:2,4:3"))
     return done.select("word_id", "level", "processed")
 
 

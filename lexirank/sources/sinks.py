@@ -80,9 +80,23 @@ def append_run(df: DataFrame, path: str, seq: int) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def append_json(df: DataFrame, path: str) -> None:
-    """One JSON object a row, appended."""
-    df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("append").text(path)
+def append_json(df: DataFrame, path: str, key: str = "") -> None:
+    """One JSON object a row, appended. With a key the rows take the place of those appended under it before, so that a step that is done again leaves none twice."""
+    rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    if not key:
+        rows.write.mode("append").text(path)
+        return
+    staged = f"{path}/.{key}-{uuid.uuid4().hex}"  # hidden from readers of the folder
+    rows.write.text(staged)
+    place, fs = _fs(df.sparkSession, path)
+    new, _ = _fs(df.sparkSession, staged)
+    for s in fs.listStatus(place):
+        if s.getPath().getName().startswith(f"{key}-"):
+            fs.delete(s.getPath(), False)
+    parts = sorted(s.getPath().getName() for s in fs.listStatus(new) if s.getPath().getName().startswith("part-"))
+    for n, name in enumerate(parts):
+        fs.rename(df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{staged}/{name}"), df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path}/{key}-{n:05d}.txt"))
+    fs.delete(new, True)
 
 
 def append_labels(df: DataFrame, path: str) -> None:

@@ -362,6 +362,40 @@ def test_rebalance_by_a_model_is_taken_up_where_it_stopped(spark, files, monkeyp
     assert {r.word_id for r in switched} == {int(r.word_id) for r in rows} and {r.model for r in switched} == {"m"}
 
 
+@pytest.mark.parametrize("stop", ["switched_words", "progress", "checkpoints"])
+def test_a_rebalance_goes_on_in_the_transition_where_it_stopped(spark, files, monkeypatch, stop):
+    """Stopped in the second of three transitions, at each of its logs: no row is in a log twice, and the output is that of a run in one go."""
+    _, (a, _, _), tmp = files
+    append, apply, done = cli.sinks.append_json, cli.rebalance.apply_transition, []
+
+    def run(name, out):
+        return ["--output-dir", str(tmp / out), "step5", "--run", name, "--model", "m", "--input-csv", a, "--output-csv", f"{tmp}/{out}.csv", "--transitions", "2:1,3:2,5:4", "--batch-size", "3", "--pick", "score"]
+
+    def stopping(df, path, key=""):
+        if key.endswith("-2") and stop in path:
+            raise KeyboardInterrupt
+        append(df, path, key)
+
+    def noting(words, transition, **options):
+        done.append(transition.text)
+        return apply(words, transition, **options)
+
+    monkeypatch.setattr(cli.sinks, "append_json", stopping)
+    monkeypatch.setattr(cli.rebalance, "apply_transition", noting)
+    with pytest.raises(KeyboardInterrupt):
+        cli.main(run("r", "out"))
+    monkeypatch.setattr(cli.sinks, "append_json", append)
+    assert cli.main(run("r", "out")) == 0
+    assert done == ["2:1", "3:2", "3:2", "5:4"]
+    assert cli.main(run("r", "out")) == 0 and len(done) == 4  # all is there
+    assert cli.main(run("r", "other")) == 0
+    rows = lambda out: sorted((r.word_id, r.final_level, r.rebalance_rule) for r in tables.read_csv(spark, f"{tmp}/{out}.csv").collect())
+    assert rows("out") == rows("other") and any(r[2] for r in rows("out"))
+    for log, key in (("switched_words", ["word_id"]), ("progress", ["transition", "batch"]), ("checkpoints", ["fingerprint", "transition", "batch"])):
+        got, want = (spark.read.json(f"{tmp}/{out}/rebalance/{log}/r.jsonl").select(*key).collect() for out in ("out", "other"))
+        assert sorted(got) == sorted(want) and len(set(got)) == len(got)
+
+
 def test_scoring_goes_on_after_an_outage(spark, files, monkeypatch):
     base, _, tmp = files
     folder = tmp / "scored"

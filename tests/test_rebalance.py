@@ -106,7 +106,7 @@ def test_slices_rank_as_one(spark, monkeypatch):
 
 
 def test_words_are_taken_once_and_none_is_lost(spark):
-    done = R.rebalance(words(spark, 600), parse_transitions("2:1,3:2,4:3"), batch_size=50, cut=written).collect()
+    done = R.rebalance(words(spark, 600), parse_transitions("2:1,3:2,4:3"), batch_size=50).collect()
     assert len(done) == 600
     before = {r.word_id: r.level for r in words(spark, 600).collect()}
     for r in done:
@@ -176,3 +176,20 @@ def test_progress_of_one_batch(spark):
     assert first.picked_target_ids == [2] and first.remaining == 8 and first.picked_words == ["b"]
     rows = [(1, "a", 2, 2, 0, 1, True), (2, "b", 3, 2, 0, 1, False), (3, "c", 2, 3, 0, 1, True)]
     assert R.progress_rows(spark.createDataFrame(rows, schema), parse_transition("2-3:3")).first().picked_target_ids == [2]
+
+
+def test_transitions_of_one_pass_are_those_of_several(spark):
+    """All at once, and one after the other on what the earlier ones left; one plan ranks the words once and joins nothing by id."""
+    start = words(spark, 700).withColumn("processed", F.expr("word_id % 11 = 0"))
+    found = parse_transitions("2:1,3:2,4-5:5")
+    one = R.rebalance(start, found, batch_size=40, ratio=0.3, seed=5)
+    state, taken = start, {}
+    for t in found:
+        after = written(R.apply_transition(state, t, batch_size=40, ratio=0.3, seed=5))
+        taken |= {r.word_id: (r.level, r.batch, r.target, r.is_common, r.previous_level, r.rule) for r in after.where("batch is not null").collect()}
+        state = after.select(*start.columns)
+    got = {r.word_id: (r.level, r.batch, r.target, r.is_common, r.previous_level, r.rule) for r in one.collect()}
+    assert {i: v for i, v in got.items() if v[1] is not None} == taken and len(got) == 700
+    assert {r.word_id: r.level for r in state.collect()} == {i: v[0] for i, v in got.items()}
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 2 and "Join" not in plan
