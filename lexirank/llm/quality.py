@@ -16,7 +16,7 @@ from .storage import materialize
 from .textbytes import ALNUM, SPACED, words
 
 ROUNDS, STEPS = 3, 5
-#: A view's pseudo-label counts when its probability of a label is so high, and as so much of a label.
+#: A view's pseudo-label counts when its probability of a label is so high, and as so much of a label at most.
 CONFIDENT, PSEUDO_WEIGHT = 0.95, 0.25
 #: The penalty on the weight of a slot of words, where that of any other feature is 1: they are many, and each tells little.
 WORD_RIDGE = 30.0
@@ -147,20 +147,22 @@ def _sums(packed: str, job: str):
                 fold = batch.column(batch.schema.names.index("fold")).to_numpy(zero_copy_only=False)
                 a, b = views.split(x)
                 at, one = ((fold == 2) & ~np.isnan(y)).astype(float), np.ones(len(x))
+                if job == "views":
+                    other = [None, None] if teacher is None else [_sigmoid(b @ teacher.meta), _sigmoid(a @ teacher.text)]
+                    known, found = (fold == 1) & ~np.isnan(y), []
+                    for design, w, p in ((a, views.text, other[0]), (b, views.meta, other[1])):
+                        sure = [np.zeros(len(x), bool)] * 2 if p is None else [~known & (p <= 1 - CONFIDENT), ~known & (p >= CONFIDENT)]
+                        found.append(np.array([(known & (y < 0.5)).sum(), (known & (y >= 0.5)).sum(), sure[0].sum(), sure[1].sum()], float))
+                        for at, target in ((known, y), (sure[0], np.zeros(len(x))), (sure[1], one)):
+                            d, t = design[at], target[at]
+                            p_own = _sigmoid(d @ w)
+                            found += [d.T @ (t - p_own), (d.T @ (d * (p_own * (1 - p_own))[:, None])).ravel()]
+                    total = np.concatenate(found) if total is None else total + np.concatenate(found)
+                    continue
                 if job == "lines":
                     sides = [(np.stack([one, z], 1), w, y, at) for z, w in zip(views.logits(x), (views.text_line, views.meta_line))]
-                elif job == "both":
-                    sides = [(np.stack([one, *views.calibrated(x)], 1), views.both, y, at)]
                 else:
-                    sides = []
-                    other = [None, None] if teacher is None else [_sigmoid(b @ teacher.meta), _sigmoid(a @ teacher.text)]
-                    for design, w, p in ((a, views.text, other[0]), (b, views.meta, other[1])):
-                        known = (fold == 1) & ~np.isnan(y)
-                        target, weight = np.where(known, y, 0.0), known.astype(float)
-                        if p is not None:
-                            free = ~known & ((p >= CONFIDENT) | (p <= 1 - CONFIDENT))
-                            target, weight = np.where(free, p >= 0.5, target), np.where(free, PSEUDO_WEIGHT, weight)
-                        sides.append((design, w, target, weight))
+                    sides = [(np.stack([one, *views.calibrated(x)], 1), views.both, y, at)]
                 found = []
                 for design, w, target, weight in sides:
                     p = _sigmoid(design @ w)
@@ -182,6 +184,18 @@ def _total(rows: DataFrame, job: str, size: int, state) -> np.ndarray:
     return out
 
 
+def weighed(sums: np.ndarray, d: int) -> np.ndarray:
+    """Gradient and curvature of a view of d weights: of its labels, and of its pseudo-labels in the labels' proportion.
+
+    A pseudo-label of the kind that is scarcer by this measure counts as PSEUDO_WEIGHT of a label, one of the other kind
+    as less; while there are none of one kind, those of the other would only teach that all is of that kind, and don't count.
+    """
+    labels, pseudo, (known, zero, one) = sums[:2], sums[2:4], sums[4:].reshape(3, d + d * d)
+    share = min((n / k for n, k in zip(pseudo, labels) if k), default=0.0)
+    weights = [PSEUDO_WEIGHT * share * k / n if n else 0.0 for n, k in zip(pseudo, labels)]
+    return known + weights[0] * zero + weights[1] * one
+
+
 def ridge_of_text() -> np.ndarray:
     """The text view's penalties, bias first."""
     return np.array([1e-6, *[1.0] * SHAPES, *[WORD_RIDGE] * WORD_SLOTS, 1.0])
@@ -216,7 +230,7 @@ def cotrain_scores(
     of the calibrated views, the others fit both views. The text view sees words, in hashed slots, and the text's shape;
     the other source, language and size. In each round the views' sums of gradients and curvatures are taken over all
     documents: labelled ones, and, from the second round on, for each view those that the other view of the round
-    before is CONFIDENT of. So what a task sends is of fixed size, and no document is sampled. A document counts with the
+    before is CONFIDENT of, both kinds in the labels' proportion. So what a task sends is of fixed size, and no document is sampled. A document counts with the
     mean of its labels, if it has several; without labels all scores are equal. Null texts, sources, languages
     and sizes have values of their own; a null id has no label and is joined with nothing.
     """
@@ -239,12 +253,12 @@ def cotrain_scores(
     scale = np.sqrt(np.maximum(moments[1 + dt + dm :] / n - mean**2, 0)) + 1e-6
     line = np.array([0.0, 1.0])
     views, teacher = Views(mean, scale, np.zeros(dt + 1), np.zeros(dm + 1), line, line, np.array([0.0, 1.0, 0.0])), None
-    cut = (dt + 1) * (dt + 2)
+    cut = 4 + 3 * (dt + 1) * (dt + 2)
     for _ in range(rounds):
         for _ in range(STEPS):
-            found = _total(rows, "views", cut + (dm + 1) * (dm + 2), (views, teacher))
-            views.text = views.text + _step(views.text, found[:cut], ridge=ridge_of_text())
-            views.meta = views.meta + _step(views.meta, found[cut:])
+            found = _total(rows, "views", cut + 4 + 3 * (dm + 1) * (dm + 2), (views, teacher))
+            views.text = views.text + _step(views.text, weighed(found[:cut], dt + 1), ridge=ridge_of_text())
+            views.meta = views.meta + _step(views.meta, weighed(found[cut:], dm + 1))
         teacher = replace(views, text=views.text.copy(), meta=views.meta.copy())
     for _ in range(STEPS):
         found = _total(rows, "lines", 12, (views, None))

@@ -169,30 +169,50 @@ def test_quality_of_any_rows(spark, docs, empty):
     assert cotrain_scores(empty, odd).count() == 0
 
 
-def two_views(n, seed):
+def two_views(n, seed, tells=3, flip=0.0, right=0.97, vocab=30):
     """Documents whose words tell their quality a little, and whose source tells it well, by itself."""
     rng = random.Random(seed)
     rows = []
     for i in range(n):
         y = int(rng.random() < 0.5)
-        tells = [f"{'good' if y else 'bad'}{rng.randrange(30)}" for _ in range(3)]
-        text = [f"w{rng.randrange(200)}" for _ in range(15)] + tells
+        words = [f"{'good' if (y == 1) == (rng.random() >= flip) else 'bad'}{rng.randrange(vocab)}" for _ in range(tells)]
+        text = [f"w{rng.randrange(200)}" for _ in range(12)] + words
         rng.shuffle(text)
-        source = f"s{(0 if (y == 1) == (rng.random() < 0.97) else 1) * 2 + rng.randrange(2)}"
+        source = f"s{(0 if (y == 1) == (rng.random() < right) else 1) * 2 + rng.randrange(2)}"
         rows.append((i, " ".join(text), "en", source, 100, y))
     return rows
 
 
-def test_views_teach_each_other(spark):
-    """On documents without labels that count, the text view is better for what the other view told it."""
-    rows = two_views(3000, 6)
+def right_by_round(spark, rows, every, rounds):
+    """Of documents without labels, those that the text view is right about, by the number of rounds."""
     docs = spark.createDataFrame([r[:5] for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
-    labels = spark.createDataFrame([(r[0], r[5]) for r in rows if r[0] % 30 == 0], "doc_id long, quality int")
-    right = {}
-    for rounds in (1, quality.ROUNDS):
-        got = cotrain_scores(docs, labels, rounds=rounds).collect()
-        right[rounds] = np.mean([(r.text_score >= 0.5) == (rows[r.doc_id][5] == 1) for r in got if r.doc_id % 30])
-    assert right[quality.ROUNDS] > right[1] + 0.02, right
+    labels = spark.createDataFrame([(r[0], r[5]) for r in rows if r[0] % every == 0], "doc_id long, quality int")
+    found = {}
+    for k in rounds:
+        got = cotrain_scores(docs, labels, rounds=k).collect()
+        found[k] = np.mean([(r.text_score >= 0.5) == (rows[r.doc_id][5] == 1) for r in got if r.doc_id % every])
+    return found
+
+
+def test_views_teach_each_other(spark):
+    """75 labels, of which 44 fit a text view that sees words of which a quarter mislead: what the source tells of the others makes it better."""
+    right = right_by_round(spark, two_views(3000, 6, tells=6, flip=0.25, right=0.99, vocab=12), 40, (1, quality.ROUNDS))
+    assert right[1] < 0.88 and right[quality.ROUNDS] > right[1] + 0.025, right
+
+
+def test_pseudo_labels_of_one_kind_teach_nothing(spark):
+    """So few labels that a view is sure of one kind alone: taken as they come, its pseudo-labels would call everything that kind."""
+    right = right_by_round(spark, two_views(4000, 8, tells=8, flip=0.3, right=0.98, vocab=12), 80, (1, quality.ROUNDS))
+    assert right[quality.ROUNDS] > right[1] - 0.02 > 0.8, right
+
+
+def test_weights_of_pseudo_labels():
+    d = 2
+    sums = np.concatenate([[30, 10], [600, 100], np.zeros(d + d * d), np.full(d + d * d, 1.0), np.full(d + d * d, 100.0)])
+    both = quality.weighed(sums, d)  # ten of one kind for each of its labels: 300 and 100 count, as a quarter each
+    assert np.allclose(both, 0.25 * (300 / 600 * 1.0 + 100.0))
+    sums[3] = 0
+    assert not quality.weighed(sums, d).any()
 
 
 def test_first_round_against_a_plain_fit(spark):
