@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,11 @@ TITLES = {
     "Mme": "f", "Mlle": "f", "Señor": "m", "Señora": "f", "Señorita": "f", "Don": "m", "Doña": "f", "Signor": "m", "Signora": "f", "Господин": "m", "Госпожа": "f",
     "Κύριος": "m", "Κυρία": "f",
 }
+# What follows a name in Chinese, Japanese and Korean, with the gender it tells; common Chinese surnames, of which a
+# name there begins with one; small words within European names.
+HONORIFICS = {"先生": "m", "女士": "f", "小姐": "f", "太太": "f", "夫人": "f", "教授": "", "さん": "", "様": "", "氏": "", "씨": "", "님": "", "선생님": ""}
+SURNAMES = "王李张張刘劉陈陳杨楊赵趙黄黃周吴吳徐孙孫朱马馬胡郭何林高罗羅郑鄭梁谢謝宋唐许許韩韓冯馮邓鄧曹彭曾"
+PARTICLES = "al bin da de del della den der di du ibn la le ter van von zu".split()
 GIVEN = {
     ("latin", "f"): "Alma Anna Berta Carla Clara Diana Elena Emma Flora Greta Helga Ida Julia Laura Lena Maria Mona Nina Nora Olga Paula Rosa Sara Tina Vera".split(),
     ("latin", "m"): "Adam Anton Bruno Carl David Emil Erik Felix Georg Hans Hugo Ivan Jakob Karl Leon Marco Max Nils Oscar Otto Paul Peter Rolf Simon Viktor".split(),
@@ -49,6 +55,16 @@ _BLOCKS = (
     ("kana", 0x3040, 0x30FF), ("hangul", 0xAC00, 0xD7A3), ("han", 0x4E00, 0x9FFF),
 )
 
+_WORD = r"(?:\p{Lu}['’]\p{Lu}[\p{L}\p{M}]+|[\p{Lu}\p{Lt}\p{Lo}][\p{L}\p{M}]+)"
+_SMALL = rf"(?:(?:{'|'.join(PARTICLES)})[ \u00a0]){{0,3}}"
+_NAME = rf"{_SMALL}{_WORD}(?:[ \u00a0]{_SMALL}{_WORD}|-{_WORD}){{0,2}}"
+_AFTER = lambda *names: rf"(?=[ \u00a0]?(?:{'|'.join(names)}))"
+_BEFORE_HONORIFIC = "|".join([
+    rf"[{SURNAMES}]\p{{Han}}{{1,2}}{_AFTER('先生', '女士', '小姐', '太太', '夫人', '教授')}",
+    rf"(?<![\p{{Han}}\p{{Katakana}}])[\p{{Han}}\p{{Katakana}}ー]{{2,6}}{_AFTER('さん', '様', '氏')}",
+    rf"(?<!\p{{Hangul}})\p{{Hangul}}{{2,4}}[ \u00a0]?{_AFTER('씨', '님', '선생님')}",
+])
+
 _FINDERS = (
     ("email", re.compile(r"(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}\b"), "@"),
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w.]*\d)"), "."),
@@ -60,10 +76,10 @@ _FINDERS = (
         r"|(?<![\w.+-])(?:0\d{1,4}[ -]\d{5,8}|0\d{9,10}|[2-9]\d{9})(?![\w-]|\.\d)"  # national, in two groups or one
     ), None),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), "-"),
-    ("name", re.compile(r"\b(?:" + "|".join(TITLES) + r")\b\.?[  ]+(?:[^\W\d_a-zа-яα-ω][^\W\d_]+)(?:[ -][^\W\d_a-zа-яα-ω][^\W\d_]+){0,2}"), None),
+    ("name", regex.compile(rf"\b(?:{'|'.join(TITLES)})\b\.?[ \u00a0]+{_NAME}|{_BEFORE_HONORIFIC}"), None),
 )
 _ANY_DIGIT = re.compile(r"\d[\d .()-]{5}")
-_ANY_TITLE = re.compile("|".join(TITLES))
+_ANY_TITLE = re.compile("|".join([*TITLES, *HONORIFICS]))
 
 
 class Mention(NamedTuple):
@@ -82,7 +98,18 @@ class Mention(NamedTuple):
 
 
 _HEAD = re.compile(r"(\w+)\.?[\u0020\u00a0]+")
-_CAPITAL = re.compile(r"[^\W\d_a-zа-яα-ω][^\W\d_]+")
+_CAPITAL = regex.compile(_WORD)
+_WHOLE = regex.compile(_NAME)
+_HONORIFIC = re.compile(r"[ \u00a0]?(" + "|".join(sorted(HONORIFICS, key=len, reverse=True)) + ")")
+
+
+def titled(text: str, start: int, end: int) -> tuple[int, int, str]:
+    """Of a name's span where the name itself begins and ends, and the gender that the title before it, or what follows it, tells."""
+    head = _HEAD.match(text, start, end)
+    if head and head[1] in TITLES:
+        return head.end(), end, TITLES[head[1]]
+    after = _HONORIFIC.match(text, end - (text[end - 1] in " \u00a0"))
+    return start, end - (text[end - 1] in " \u00a0"), HONORIFICS[after[1]] if after else ""
 
 
 def find_entities(text: str) -> list[tuple[int, int, str]]:
@@ -109,57 +136,64 @@ def mentions(text: str) -> list[Mention]:
 
     A title with a last name alone is a mention of the person of the text who has it as last name, if one does: of
     several of the title's gender the one named last before it, or first after it. Once a person has been
-    named with a title, the name, and its last word by itself, are mentions of that person too.
+    named with a title, the name, and its last word by itself, are mentions of that person too. What has been named is
+    kept by name, so that the work grows with the text.
     """
-    found = [Mention(a, b, kind, canonical(kind, text[a:b]), TITLES[_HEAD.match(text[a:b])[1]] if kind == "name" else "") for a, b, kind in find_entities(text)]
+    found = []
+    for a, b, kind in find_entities(text):
+        end, gender = b, ""
+        if kind == "name":
+            _, end, gender = titled(text, a, b)
+        found.append(Mention(a, end, kind, canonical(kind, text[a:end]), gender))
     people = [m for m in found if m.kind == "name"]
     if not people:
         return found
-    whole: dict[str, list[Mention]] = {}
-    for m in people:
-        if " " in m.entity or "-" in m.entity:
-            whole.setdefault(re.split("[ -]", m.entity)[-1], []).append(m)
     gender: dict[str, str] = {}
     for m in people:
         if m.gender:
             gender.setdefault(m.entity, m.gender)
+    of = lambda m: m.gender or gender.get(m.entity, "")
+    ends = lambda m: re.split("[ -]", m.entity)[-1]
+    several = lambda m: " " in m.entity or "-" in m.entity
+    earliest: dict[tuple[str, str], Mention] = {}
+    for m in people:
+        if several(m):
+            earliest.setdefault((ends(m), of(m)), m)
+    latest: dict[tuple[str, str], Mention] = {}
 
     def person(m: Mention) -> Mention:
-        own = m.gender or gender.get(m.entity, "")
-        fits = [p for p in whole.get(m.entity, ()) if not (own and (p.gender or gender.get(p.entity)) not in (own, "", None))]
-        if not fits:
+        own = of(m)
+        if several(m):
+            latest[ends(m), own] = m
             return m._replace(gender=own)
-        p = max((p for p in fits if p.start < m.start), key=lambda p: p.start, default=fits[0])
-        return m._replace(entity=p.entity, gender=p.gender or gender.get(p.entity, ""), part="last")
+        fits = [own, ""] if own else ["", "m", "f"]
+        before = [latest[m.entity, g] for g in dict.fromkeys(fits) if (m.entity, g) in latest]
+        after = [earliest[m.entity, g] for g in dict.fromkeys(fits) if (m.entity, g) in earliest]
+        p = max(before, key=lambda p: p.start) if before else min(after, key=lambda p: p.start) if after else None
+        return m._replace(gender=own) if p is None else m._replace(entity=p.entity, gender=of(p), part="last")
 
     found = [person(m) if m.kind == "name" else m for m in found]
-    first: dict[str, list[Mention]] = {}
-    last: dict[str, list[Mention]] = {}
-    for m in found:
-        if m.kind == "name":
-            words = re.split("[ -]", m.entity)
-            first.setdefault(words[0], []).append(m)
-            last.setdefault(words[-1], []).append(m)
-    more, end, at = [], -1, 0
-    busy = [(m.start, m.end) for m in found]
+    named, last = {}, {}
+    more, end, at, told = [], -1, 0, 0
     for w in _CAPITAL.finditer(text):
         a, b = w.span()
-        while at < len(busy) and busy[at][1] <= a:
+        while told < len(found) and found[told].start < a:
+            if found[told].kind == "name":
+                named[found[told].entity] = last[ends(found[told])] = found[told]
+            told += 1
+        while at < len(found) and found[at].end <= a:
             at += 1
-        if a < end or at < len(busy) and busy[at][0] < b or w[0] not in first and w[0] not in last:
+        if a < end or at < len(found) and found[at].start < b or a and text[a - 1].isalnum():
             continue
-        known = [m for m in first.get(w[0], ()) if m.start < a and " " in m.entity and text.startswith(m.entity, a) and not text[a + len(m.entity) : a + len(m.entity) + 1].isalnum()]
-        if known:
-            m = max(known, key=lambda m: (len(m.entity), m.start))
-            if at == len(busy) or a + len(m.entity) <= busy[at][0]:
-                end = a + len(m.entity)
-                more.append(m._replace(start=a, end=end, part="whole"))
-                continue
-        known = [m for m in last.get(w[0], ()) if m.start < a]
-        if known and not (a and text[a - 1].isalnum()):
-            m = max(known, key=lambda m: m.start)
+        whole = _WHOLE.match(text, a)
+        cuts = [m.start() for m in re.finditer("[ -]", whole[0])] if whole else []
+        known = next((n for n in (whole[0][:c] for c in [len(whole[0]), *reversed(cuts)]) if n in named and " " in n), None) if cuts else None
+        if known and (at == len(found) or a + len(known) <= found[at].start):
+            end = a + len(known)
+            more.append(named[known]._replace(start=a, end=end, part="whole"))
+        elif w[0] in last:
             end = b
-            more.append(m._replace(start=a, end=b, part="last"))
+            more.append(last[w[0]]._replace(start=a, end=b, part="last"))
     return sorted([*found, *more])
 
 
@@ -170,26 +204,35 @@ def canonical(kind: str, value: str) -> str:
     if kind == "ip":
         return value
     if kind == "name":
-        return " ".join(value.replace(" ", " ").split()[1:])
+        words = value.split()
+        return " ".join(words[1:] if len(words) > 1 and words[0].rstrip(".") in TITLES else words)
     return re.sub(r"[^0-9A-Za-z+]", "", value)
 
 
-def permuted(number: int, size: int, key: bytes, tweak: str) -> int:
-    """A keyed permutation of 0..size-1: a balanced Feistel network, walked until it is back in the range."""
-    if size < 2:
-        return number
+def _feistel(number: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
+    """A keyed permutation of 0..size-1, or its inverse: a balanced Feistel network, walked until it is back in the range."""
     half = max(1, ((size - 1).bit_length() + 1) // 2)
     mask = (1 << half) - 1
     while True:
         left, right = number >> half, number & mask
-        for r in range(8):
-            digest = hmac.new(key, f"{tweak}|{r}|{half}|{right}".encode(), hashlib.sha256).digest()
-            left, right = right, left ^ (int.from_bytes(digest, "big") & mask)
+        for r in reversed(range(8)) if back else range(8):
+            known = left if back else right
+            digest = hmac.new(key, f"{tweak}|{r}|{half}|{known}".encode(), hashlib.sha256).digest()
+            bits = int.from_bytes(digest, "big") & mask
+            left, right = (right ^ bits, left) if back else (right, left ^ bits)
         number = (left << half) | right
         if number < size:
             return number
 
 
+def permuted(number: int, size: int, key: bytes, tweak: str) -> int:
+    """A keyed permutation of 0..size-1 that leaves no number where it is: a step along a keyed order of all of them."""
+    if size < 2:
+        return number
+    step = 1 + int.from_bytes(hmac.new(key, f"{tweak}|step|{size}".encode(), hashlib.sha256).digest(), "big") % (size - 1)
+    return _feistel((_feistel(number, size, key, tweak) + step) % size, size, key, tweak, back=True)
+
+
 def _like(value: str, key: bytes, tweak: str) -> str:
     """A string of the same pattern: digits for digits, small and capital ASCII letters for such, all else as it is."""
     sets = ["0123456789" if c.isascii() and c.isdigit() else "abcdefghijklmnopqrstuvwxyz" if "a" <= c <= "z" else "ABCDEFGHIJKLMNOPQRSTUVWXYZ" if "A" <= c <= "Z" else c for c in value]
@@ -255,7 +298,7 @@ def surrogate(kind: str, entity: str, gender: str, key: bytes, redraw: int = 0)
             if not (a in (0, 10, 127) or a >= 224 or (a == 172 and 16 <= b < 32) or (a, b) in ((192, 168), (169, 254))) or octets[0] in (0,) or octets[0] >= 224:
                 return ".".join(map(str, number.to_bytes(4, "big")))
     if kind == "name":
-        script, parts = _script(entity), re.split("[ -]", entity)
+        script, parts = _script(entity), [w for w in re.split("[ -]", entity) if w not in PARTICLES]
         hard, soft = _LETTERS[script]
         given = [x for g in (gender or "fm") for x in GIVEN.get((script, g), ())]
         number = int.from_bytes(hmac.new(key, f"{tweak}|{gender}|{entity}".encode(), hashlib.sha256).digest(), "big")
@@ -286,9 +329,8 @@ def in_place(kind: str, value: str, drawn: str, part: str = "whole") -> str:
         title = head[0] if head and head[1] in TITLES else ""
         if part == "last":
             return title + drawn.split()[-1]
-        seps = re.findall("[ \u00a0-]+", value[len(title) :])
-        words = drawn.split()
-        return title + words[0] + "".join(s + w for s, w in zip(seps, words[1:]))
+        words = iter(drawn.split())
+        return title + "".join(w if i % 2 or w in PARTICLES else next(words, "") for i, w in enumerate(re.split("([ \u00a0-]+)", value[len(title) :])))
     if kind == "email":
         return drawn.upper() if value.isupper() else drawn
     if kind == "ip":
@@ -390,7 +432,8 @@ def with_surrogates(docs: DataFrame, key: bytes, *, text_col: str = "text", keep
     rows = rows.withColumn("key", F.xxhash64("text"))
     mentions = rows.select("key", "text").dropDuplicates(["key"]).mapInArrow(_mentions, "key long, kind string, entity string, gender string")
     own = mentions.join(again, ["kind", "entity", "gender"]).groupBy("key").agg(F.collect_set(F.struct("kind", "entity", "gender", "redraw")).alias("own"))
-    return rows.join(own, "key", "left").select("doc", "text", "own").mapInArrow(_replacer(key, None), fields)
+    own = materialize(own, "own-redraws")  # a written table, so that a text that very many rows have is split
+    return rows.join(own.hint("merge"), "key", "left").select("doc", "text", "own").mapInArrow(_replacer(key, None), fields)
 
 
 def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,7 @@
 import random
 import re
+import string
+import time
 import zlib
 
 import numpy as np
@@ -152,6 +154,45 @@ def test_query_against_what_must_hold(spark):
         assert query[r.doc.doc_id].n_entities == len(r.entities) and query[r.doc.doc_id].kinds == ",".join(sorted({e.kind for e in r.entities}))
 
 
+@pytest.mark.parametrize(
+    "text,names",
+    [
+        ("Frau öffnet die Tür. Herr über alles. Monsieur était là. Señora ñandú.", []),
+        ("Frau Über und Mr O'Neil, dann Mr de Gaulle; Gaulle geht.", ["Frau Über", "Mr O'Neil", "Mr de Gaulle", "Gaulle"]),
+        ("今天王伟先生来了，张小红女士没来。", ["王伟", "张小红"]),
+        ("田中太郎さん と 김철수 씨", ["田中太郎", "김철수"]),
+        ("Mr राहुल शर्मा said so", ["Mr राहुल शर्मा"]),
+        ("Mme Élodie de la Tour-Petit; Κυρία Άννα Παππά", ["Mme Élodie de la Tour-Petit", "Κυρία Άννα Παππά"]),
+    ],
+)
+def test_names_of_many_scripts(text, names):
+    found = [m for m in pii.mentions(text) if m.kind == "name"]
+    assert [text[m.start : m.end] for m in found] == names
+    drawn = {m.name: pii.surrogate(*m.name, b"k") for m in found}
+    assert len(set(drawn.values())) == len(drawn)
+    for m in found:
+        new = pii.in_place("name", text[m.start : m.end], drawn[m.name], m.part)
+        assert new != text[m.start : m.end] and new.strip() and pii._script(new) == pii._script(m.entity)
+
+
+def test_a_name_of_a_hundred_thousand_mentions_takes_seconds():
+    began = time.monotonic()
+    found = pii.mentions("Mr. John Smith came. Mr. Smith went. " * 50_000)
+    assert len(found) == 100_000 and {m.entity for m in found} == {"John Smith"}
+    assert time.monotonic() - began < 15
+
+
+def test_nothing_is_its_own_surrogate():
+    """Of all short addresses, and of every small range, none stays; none of two becomes one."""
+    letters = string.ascii_lowercase
+    mails = [f"{a}{b}@x.de" for a in letters for b in letters]
+    drawn = [pii.surrogate("email", m, "", b"k") for m in mails]
+    assert len(set(drawn)) == len(mails) and not any(a.split("@")[0] == b.split("@")[0] for a, b in zip(mails, drawn))
+    for size in (2, 3, 10, 97, 676):
+        out = [pii.permuted(i, size, b"k", "t") for i in range(size)]
+        assert sorted(out) == list(range(size)) and all(a != b for a, b in enumerate(out))
+
+
 def test_quality_held_out(spark):
     d = "/root/testdata/sf0.01"
     r = queries.op6_quality(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").toPandas()
