@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-import base64
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .fmindex import SEPARATOR, FmIndex
+from .storage import discard, importable, materialize, new_path
 from .textbytes import ALNUM, words
+from .warc import _file_system
 
 WINDOW_WORDS = 13
 #: Words in one FM-index.
 SHARD_WORDS = 1_000_000
-#: Bytes of test items that one pass over the documents takes to every task; more items take more passes.
-PASS_BYTES = 32 << 20
+#: Characters of test items that one pass over the documents takes to every task; more items take more passes, each a stage of its own.
+PASS_BYTES = 4 << 20
 
 
 @dataclass
@@ -107,9 +108,32 @@ def occurrences(numbers: np.ndarray, bounds: np.ndarray, phrases: Phrases, shard
 MARK_FIELDS = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
 
 
-def _marker(packed: str, text_col: str | None):
+#: The phrases that this worker read last, by their file.
+_READ: dict[str, Phrases] = {}
+
+
+def stored(spark: SparkSession, phrases: Phrases) -> str:
+    """The phrases as a file of the shared folder: closures stay small, and a worker reads them once."""
+    path = new_path(spark, "phrases")
+    fs, place = _file_system(path)
+    fs.create_dir(place.rpartition("/")[0], recursive=True)
+    with fs.open_output_stream(place, compression=None) as out:
+        out.write(pickle.dumps(phrases, protocol=5))
+    return path
+
+
+def read_phrases(path: str) -> Phrases:
+    if path not in _READ:
+        _READ.clear()
+        fs, place = _file_system(path)
+        with fs.open_input_stream(place, compression=None) as file:
+            _READ[path] = pickle.loads(file.read())
+    return _READ[path]
+
+
+def _marker(path: str):
     def mark_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases: Phrases = pickle.loads(base64.b64decode(packed))
+        phrases = read_phrases(path)
         for batch in batches:
             texts = batch.column(batch.schema.names.index("_text"))
             n_words, n_hit, items, spans = [], [], [], []
@@ -181,29 +205,31 @@ def mark(
     spans are the merged runs of hit words, to be removed, in code points of the text, end exclusive.
     Documents stay where they are: no shuffle. A null or empty text has no words; repeated rows are marked
     each; an item with a null id marks words but is not listed; empty tables give no rows, or no hits.
-    Items over `pass_bytes` go out in several passes, whose spans are merged.
+    Items over `pass_bytes` go out in several passes: each reads what the one before wrote, and their spans are merged.
     """
     if pass_bytes < 1:
         raise ValueError("a pass takes a byte of items or more")
-    kinds = T.StructType.fromDDL(MARK_FIELDS).fields
-    out = None
+    spark, kinds, out = docs.sparkSession, T.StructType.fromDDL(MARK_FIELDS).fields, None
+    importable(spark)
+    plain = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
     for block in _passes(benchmark, item_col, item_text_col, pass_bytes):
-        packed = base64.b64encode(pickle.dumps(Phrases.of(block, window))).decode()
-        rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc")) if out is None else out.withColumnsRenamed({f.name: f"_{f.name}" for f in kinds})
-        rows = rows.withColumn("_text", F.col("doc").getField(text_col).cast("string"))
-        schema = T.StructType([*(f for f in rows.schema.fields if f.name != "_text"), *kinds])
-        marked = rows.mapInArrow(_marker(packed, text_col), schema)
-        out = marked if out is None else _merged(marked, text_col)
-    if out is None:
-        return _marked_nothing(docs, text_col)
-    return out
-
-
-def _marked_nothing(docs: DataFrame, text_col: str) -> DataFrame:
-    packed = base64.b64encode(pickle.dumps(Phrases.of([], 1))).decode()
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs[text_col].cast("string").alias("_text"))
-    kinds = T.StructType.fromDDL(MARK_FIELDS).fields
-    return rows.mapInArrow(_marker(packed, text_col), T.StructType([rows.schema.fields[0], *kinds]))
+        if out is not None:
+            before, out = out, materialize(out, "marked")
+            if hasattr(before, "_spent"):
+                discard(before._spent)
+        rows = plain if out is None else out.withColumnsRenamed({f.name: f"_{f.name}" for f in kinds})
+        marked = _pass(rows, Phrases.of(block, window), text_col, kinds)
+        merged = marked if out is None else _merged(marked, text_col)
+        if out is not None:
+            merged._spent = out
+        out = merged
+    return _pass(plain, Phrases.of([], 1), text_col, kinds) if out is None else out
+
+
+def _pass(rows: DataFrame, phrases: Phrases, text_col: str, kinds: list) -> DataFrame:
+    rows = rows.withColumn("_text", F.col("doc").getField(text_col).cast("string"))
+    schema = T.StructType([*(f for f in rows.schema.fields if f.name != "_text"), *kinds])
+    return rows.mapInArrow(_marker(stored(rows.sparkSession, phrases)), schema)
 
 
 def _merged(marked: DataFrame, text_col: str) -> DataFrame:

@@ -197,7 +197,8 @@ def payload_facts(records: DataFrame) -> DataFrame:
     read = records.select("page_id", "record_type", "refers_to", "stated_digest", F.octet_length("payload").cast("long").alias("bytes"), F.sha2("payload", 256).alias("digest"))
     read = materialize(read, "warc-read")
     answers = read.filter("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), F.col("digest").alias("stated_digest")).agg(F.first("bytes").alias("there"))
-    revisits = read.filter("record_type = 'revisit'").join(answers, ["refers_to", "stated_digest"], "left")
+    answers = materialize(answers, "warc-answers")  # a written table, so that the revisits of one page are split
+    revisits = read.filter("record_type = 'revisit'").join(answers.hint("merge"), ["refers_to", "stated_digest"], "left")
     digest = F.when(F.col("there").isNotNull(), F.col("stated_digest"))
     return (
         read.filter("record_type = 'response'")

@@ -88,3 +88,13 @@ def test_spans_are_the_same_in_one_pass_and_in_many(spark):
     assert found[0] == found[1] == {0: [(4, 23), (29, 36)], 1: [(0, 18)]}
     with pytest.raises(ValueError):
         mark(docs, bench, pass_bytes=0)
+
+
+def test_no_stage_has_two_passes_and_closures_stay_small(spark):
+    """Ten passes: each reads what the one before wrote, and the phrases go out as a file."""
+    docs = spark.createDataFrame([(i, f"alpha beta{i} gamma delta epsilon") for i in range(10)], "doc_id long, text string")
+    bench = spark.createDataFrame([(str(i), f"alpha beta{i} gamma") for i in range(10)], "item_id string, text string")
+    marked = mark(docs, bench, pass_bytes=10)
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert {r.doc.doc_id: (r.n_words, r.n_hit, list(r["items"])) for r in marked.collect()} == {i: (5, 3, [str(i)]) for i in range(10)}
