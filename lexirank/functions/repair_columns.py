@@ -1,0 +1,89 @@
+"""Repair of almost-JSON by column expressions: what repair.repair_json() and parse_content() give, without Python, or null.
+
+Strings are told from the rest by one pattern, so every step is a replacement over strings and what it is after; the open
+brackets are a fold over the brackets alone. What needs a JSON writer to compare (escapes, numbers in other than their
+shortest form) or more than a repair is left to Python, by a null.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .repair import parse_content_udf
+
+# Possessive throughout, so that a long text costs no stack.
+_BODY = r'"[^"\\]*+(?:\\.[^"\\]*+)*+'
+_STRING = rf'(?s)({_BODY}(?:"|\\?\z))'
+_OPEN_AT_END = rf'(?s)\A(?:[^"]++|{_BODY}")*+({_BODY})\\?\z'
+#: Numbers as a JSON writer puts them, in which no digit is lost; and the words that stand without quotes.
+_SHORTEST = r"-?(?:0|[1-9]\d{0,14})(?:\.(?:0|\d{0,5}[1-9]))?|true|false|null"
+
+
+def _outside(text: Column, pattern: str, by: str = "") -> Column:
+    """Replace a pattern outside of strings; by may have $2 and further groups, of the pattern."""
+    return F.regexp_replace(text, F.lit(rf"{_STRING}|{pattern}"), F.lit(f"$1{by}"))
+
+
+def closed_strings(text: Column) -> Column:
+    """A string that is open at the end is closed, without the backslash that has nothing after it."""
+    open_ = F.regexp_extract(text, _OPEN_AT_END, 1) != ""
+    return F.when(open_, F.concat(F.regexp_replace(text, F.lit(r"(?s)(?<!\\)((?:\\\\)*+)\\\z"), F.lit("$1")), F.lit('"'))).otherwise(text)
+
+
+def closers(text: Column) -> Column:
+    """What closes the brackets that are open at the end, the innermost first; closers that fit nothing change nothing."""
+    brackets = F.filter(F.regexp_extract_all(text, F.lit(rf"{_STRING}|([\[{{\]}}])"), F.lit(2)), lambda x: x != "")
+    step = lambda s, x: (
+        F.when(x == "[", F.concat(F.lit("]"), s)).when(x == "{", F.concat(F.lit("}"), s)).when(s.startswith(x), F.substring(s, F.lit(2), F.length(s))).otherwise(s)
+    )
+    return F.aggregate(brackets, F.lit(""), step)
+
+
+def repaired(text: Column) -> Column:
+    """repair_json() of a column, but for white space after commas, which stays where nothing else goes."""
+    text = closed_strings(_outside(text, r"[^\S\n]*//[^\n]*"))
+    text = _outside(text, r",[\s,]*+(?=[\]}])")
+    text = _outside(text, r"(,)[\s,]*+", "$2")
+    parts = F.regexp_extract_all(text, F.lit(rf"(?s){_BODY}(?:\"|\\?\z)|\d\.(?!\d)|[^\"\d]++|."), F.lit(0))
+    text = F.array_join(F.transform(parts, lambda x: F.when(x.rlike(r"\A\d\.\z"), F.concat(x, F.lit("0"))).otherwise(x)), "")
+    close = closers(text)
+    return F.when(close == "", text).otherwise(F.concat(F.regexp_replace(text, F.lit(r",\z"), F.lit("")), close))
+
+
+def written(text: Column) -> Column:
+    """Sound JSON as a writer puts it, a space after commas and colons; null if it has what a writer may put otherwise, or is no array or object."""
+    parts = F.regexp_extract_all(text, F.lit(rf"(?s){_BODY}\"|\s++|[,:]|[^\s,:\"]++"), F.lit(0))
+    plain = F.array_join(F.transform(parts, lambda x: F.when(x.rlike(r"\A\s"), "").when(x.isin(",", ":"), F.concat(x, F.lit(" "))).otherwise(x)), "")
+    # strings become one mark, so that what is left is brackets, commas, colons, numbers and words
+    rest = F.regexp_replace(text, F.lit(rf"(?s){_BODY}\""), F.lit("_"))
+    odd = rest.rlike(rf"[^\[\]{{}},:\s_]") & F.exists(
+        F.regexp_extract_all(rest, F.lit(r"[^\[\]{},:\s_]++"), F.lit(0)), lambda x: ~x.rlike(rf"\A(?:{_SHORTEST})\z")
+    )
+    sound = F.try_parse_json(text).isNotNull() & F.ltrim(F.regexp_replace(text, F.lit(r"\s"), F.lit(" "))).rlike(r"\A[\[{]")
+    # the parser reads one value and doesn't look at what follows: the outermost bracket must close once, at the end
+    depths = F.aggregate(
+        F.regexp_extract_all(rest, F.lit(r"[\[{\]}]"), F.lit(0)),
+        F.struct(F.lit(0).alias("depth"), F.lit(0).alias("ends")),
+        lambda s, x: F.struct(
+            (s["depth"] + F.when(x.isin("[", "{"), 1).otherwise(-1)).alias("depth"), (s["ends"] + F.when(x.isin("]", "}") & (s["depth"] == 1), 1).otherwise(0)).alias("ends")
+        ),
+    )
+    sound &= (depths["depth"] == 0) & (depths["ends"] == 1) & rest.rlike(r"[\]}]\s*\z")
+    control = text.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f\\]")
+    return F.when(sound & ~odd & ~control, plain)
+
+
+def parse_natively(text: Column) -> Column:
+    """(node, stage) of parse_content() where the text is sound, or sound once it is repaired; null where that isn't all."""
+    mended = repaired(text)
+    as_is, after = written(text), written(mended)
+    found = F.struct(F.coalesce(as_is, after).alias("node"), F.when(as_is.isNotNull(), "plain").otherwise("repaired").alias("stage"))
+    return F.when(as_is.isNotNull(), found).when(F.try_parse_json(text).isNull() & after.isNotNull(), found)
+
+
+def parse_contents(df: DataFrame, column: str, out: str = "parsed") -> DataFrame:
+    """df with parse_content() of a column: by columns, and by Python the rows of which that makes nothing."""
+    tried = df.withColumn(out, parse_natively(F.col(column)))
+    rest = tried.where(F.col(out).isNull()).withColumn(out, parse_content_udf(F.col(column)))
+    return tried.where(F.col(out).isNotNull()).unionByName(rest)
