@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import repair, repair_columns, responses
+from ..functions import repair, responses
 from ..functions import scalars as S
 from ..operators import audit, compare, dedup, distribution, metrics, rebalance, retry, review, scoring, upload
 from ..sources import sinks, tables
@@ -29,6 +29,12 @@ def query(sql: str | None = None):
     return add
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows of a table of few files, before work that costs more than moving them: as many tasks as run at once."""
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(tasks) if rows.rdd.getNumPartitions() < tasks else rows
+
+
 # Merging runs -------------------------------------------------------------------------------------------------------
 
 _JOINED = """, j AS (
@@ -571,8 +577,8 @@ def json_repair(spark: SparkSession, d: str) -> DataFrame:
     """Arrays damaged by a comment, a bare decimal, surplus commas and a missing end, as they were."""
     e = F.col("event_id").cast("string")
     damaged = F.concat(F.lit('[{"word_id": '), e, F.lit(', "rarity_level": '), (F.col("event_id") % 5 + 1).cast("string"), F.lit(', // level\n"confidence": 1.,,'))
-    parsed = repair_columns.parse_natively(damaged)
-    return views.table(spark, d, "events").select("event_id", parsed.alias("p")).select("event_id", F.col("p.node").alias("repaired"), F.col("p.stage").alias("stage"))
+    parsed = repair.parse_content_udf(damaged)
+    return dealt(views.table(spark, d, "events").select("event_id")).select("event_id", parsed.alias("p")).select("event_id", F.col("p.node").alias("repaired"), F.col("p.stage").alias("stage"))
 
 
 _LEVEL = "CAST(word_id % 5 + 1 AS INT)"
