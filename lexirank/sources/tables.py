@@ -141,11 +141,24 @@ def database_options(url: str | None = None, user: str | None = None, password:
     return {k: v for k, v in found.items() if v}
 
 
+def id_bounds(load, count: int, parts: int) -> list[int]:
+    """Ids at which parts of as many rows begin, but for the first: the database's own quantiles, in one question."""
+    at = sorted({round(k * count / parts) for k in range(1, parts)} - {0, count})
+    if not at:
+        return []
+    one = "SELECT id FROM (SELECT id FROM words ORDER BY id OFFSET {} ROWS FETCH NEXT 1 ROWS ONLY) q{}"
+    rows = load(query=" UNION ALL ".join(one.format(offset, n) for n, offset in enumerate(at)))
+    return sorted({int(r[0]) for r in rows.collect()})
+
+
 def read_words_table(spark: SparkSession, options: dict[str, str], columns: tuple[str, ...] = ("id", "word", "type"), partitions: int = 16) -> DataFrame:
-    """The words table by JDBC, in ranges of the ids that there are, read side by side; only the columns named are fetched."""
+    """The words table by JDBC, in ranges of ids that hold as many rows each, read side by side; only the columns named are fetched."""
     load = lambda **more: spark.read.format("jdbc").options(**options, **more).load()
-    low, high = load(query="SELECT min(id) AS low, max(id) AS high FROM words").first()
-    ranged = {} if low is None else {"partitionColumn": "id", "lowerBound": str(low), "upperBound": str(high + 1), "numPartitions": str(partitions)}
-    rows = load(dbtable="words", **ranged)
+    count = load(query="SELECT count(*) AS n FROM words").first()[0]
+    bounds = id_bounds(load, count, partitions)
+    ends = [None, *bounds, None]
+    ranges = [" AND ".join(["1 = 1" if low is None else f"id >= {low}", *([] if high is None else [f"id < {high}"])]) for low, high in zip(ends, ends[1:])]
+    rest = {k: v for k, v in options.items() if k != "url"}
+    rows = spark.read.jdbc(options["url"], "words", predicates=ranges, properties=rest)
     own = {c.lower(): c for c in rows.columns}
     return rows.select(*[F.col(own[c]).alias("word_id" if c == "id" else c) for c in columns])

@@ -89,3 +89,16 @@ def test_words_of_a_database(spark, tmp_path):
     got = tables.read_words_table(spark, options, ("id", "rarity_level"), partitions=4)
     sizes = [len(x) for x in got.rdd.glom().collect()]
     assert sorted(got.columns) == ["rarity_level", "word_id"] and sum(sizes) == 400 and max(sizes) <= 110
+
+
+@pytest.mark.parametrize("n,far", [(1000, 2**40), (3, 2**40), (0, None)])
+def test_words_with_gaps_are_read_in_even_parts(spark, tmp_path, n, far):
+    """Ids from 1 on and one very far from them: parts hold as many rows each; few or no rows are read as well."""
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    options = {"url": url, "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    rows = spark.range(n).selectExpr("id + 1 as ID").union(spark.createDataFrame([(far,)] if far else [], "ID long"))
+    rows.selectExpr("ID", "'w' as WORD", "'N' as TYPE").write.format("jdbc").options(dbtable="words", **options).save()
+    got = tables.read_words_table(spark, options, partitions=8)
+    sizes = [len(x) for x in got.rdd.glom().collect()]
+    assert sum(sizes) == n + bool(far) and max(sizes) <= n // 8 + 2
+    assert {r.word_id for r in got.collect()} == {*range(1, n + 1), *([far] if far else [])}
