@@ -103,6 +103,8 @@ GIVEN_SETS, HELD_PARTS = 100_000, 400_000
 #: Parts of one range, about: what a task holds at a time to find those that are alike. A part that more of the sets
 #: that a task holds have is a common one.
 RANGE_PARTS, COMMON = 1_000_000, 128
+#: Bytes of unpacked parts that a task compares at a time: about 20 for each part.
+HELD_BYTES = 8 << 20
 
 
 def _set_ids(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -217,8 +219,17 @@ def _alike(bits: int, ranges: int):
     """Of rows of packed_parts(), sorted by range: (part, set, spares, how many sets have the part) of parts that several sets have."""
     width = -(-(1 << bits) // ranges)
 
-    def found(which: int, held: list[bytes]) -> pa.RecordBatch:
-        parts, ids, spares = (np.concatenate(x) for x in zip(*map(unpacked_parts, held)))
+    def slices(which: int, held: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The range's parts in as many slices, by their hashes, as keep what is unpacked at a time small, whatever texts share."""
+        many = -(-sum(int(np.frombuffer(packed[:8], np.uint64)[0]) for packed in held) // HELD_BYTES)
+        for own in range(many):
+            got = []
+            for parts, ids, spares in map(unpacked_parts, held):
+                at = (mix(parts + np.uint64(which)) % np.uint64(many)) == own if many > 1 else slice(None)
+                got.append((parts[at], ids[at], spares[at]))
+            yield tuple(np.concatenate(x) for x in zip(*got))
+
+    def found(which: int, parts: np.ndarray, ids: np.ndarray, spares: np.ndarray) -> pa.RecordBatch:
         if which < ranges:  # most parts are of one set alone and go first
             order = np.argsort(parts, kind="stable")
             parts = parts[order]
@@ -245,12 +256,12 @@ def _alike(bits: int, ranges: int):
         for batch in batches:
             for name, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if name != now and held:
-                    yield found(now, held)
+                    yield from (found(now, *own) for own in slices(now, held))
                     held = []
                 now = name
                 held.append(packed.as_py())
         if held:
-            yield found(now, held)
+            yield from (found(now, *own) for own in slices(now, held))
 
     return alike
 

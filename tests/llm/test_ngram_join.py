@@ -64,6 +64,13 @@ def test_groups_of_many_blocks(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 3, 90)
 
 
+def test_parts_compared_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(J, "HELD_BYTES", 300)
+    rows = near_copies(4, groups=4, members=12, length=60, edits=3)
+    got = J.link_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), shingle=3, percent=90)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 3, 90)
+
+
 @pytest.mark.parametrize("share", [1, 60, 250_000])
 def test_components_at_every_share_of_a_task(spark, monkeypatch, share):
     """Rounds of stars until nothing changes, until few edges are left, or none at all."""
