@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,3 +140,28 @@ def test_folding(spark):
     assert value(spark, S.normalize(F.lit("ȘȚĂâîşţé"))) == "staaisté"
     assert value(spark, S.matches(F.lit("țară"), F.lit("tara"))) and not value(spark, S.matches(F.lit("casa"), F.lit("padure")))
     assert value(spark, S.confidence(F.lit("NaN"))) == 0.5 and value(spark, S.confidence(F.lit("85"))) == 0.85
+
+
+def test_adaptive_sizes_in_slices_are_those_of_a_loop(spark):
+    """Keys of many lengths, one of them over many slices, with gaps in their order; a null key is a key."""
+    rng = random.Random(3)
+    rows, want = [], []
+    for key, n in ((1, 3000), (2, 1), (3, 11), (None, 250)):
+        size, last, at = 50, [], 0
+        for i in range(n):
+            at += rng.choice([1, 1, 1, 7])
+            ratio = rng.choice([0.1, 0.95, 1.0, 1.0]) if i // 40 % 2 else rng.choice([0.2, 0.3, 1.0])
+            rows.append((key, at, ratio))
+            last = [*last[-9:], ratio >= 0.9]
+            rate = sum(last) / len(last)
+            size = max(3, size * 2 // 3) if rate < 0.5 else min(50, size * 3 // 2) if rate > 0.9 else size
+            want.append((key, i, size))
+    frame = spark.createDataFrame(rows, "k int, o long, r double").repartition(5)
+    for slice_rows in (1, 16, 500, None):
+        got = [tuple(r) for r in metrics.batch_sizes(frame, "k", "o", "r", 50, slice_rows=slice_rows).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str), slice_rows
+
+
+def test_a_key_of_very_many_outcomes_is_split(spark):
+    frame = spark.range(100_000).selectExpr("1 as k", "id as o", "cast(pmod(hash(id), 3) > 0 as double) as r")
+    assert metrics.batch_sizes(frame, "k", "o", "r", 50).agg(F.count("*"), F.max("i")).first() == (100_000, 99_999)
