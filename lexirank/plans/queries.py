@@ -699,7 +699,7 @@ def run_scan(spark: SparkSession, d: str) -> DataFrame:
     sinks.append_run(rows.where("seq % 2 = 0").drop("run"), log, 0)
     sinks.append_run(rows.where("seq % 2 = 1").drop("run"), log, 1)
     order = spark.read.parquet(log).join(rows.select("word_id", "confidence", "rarity_level", F.col("seq").alias("at")), ["word_id", "confidence", "rarity_level"]).groupBy("at").agg(*[F.first(c).alias(c) for c in ("word_id", "word", "type", "rarity_level", "confidence", "model")])
-    sinks.write_csv(order.orderBy("at").drop("at"), path, one_file=True)
+    sinks.write_csv(order.orderBy("at").drop("at"), path)
     return tables.read_run(spark, path).select("word_id", "rarity_level", "confidence", "model")
 
 
@@ -720,10 +720,10 @@ def run_rows(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT word_id, CAST(rarity_level AS INT) AS level FROM run_log QUALIFY row_number() OVER (PARTITION BY word_id ORDER BY seq DESC) = 1")
 def final_level_scan(spark: SparkSession, d: str) -> DataFrame:
-    """A file of all labels in order: the last of each word counts, of final_level before rarity_level."""
+    """Files of all labels in order: the last of each word counts, of final_level before rarity_level."""
     path = scratch_path(spark, "levels")
     rows = views.run_log(spark, d).select("word_id", F.col("rarity_level").alias("final_level"), F.lit(5).alias("rarity_level"), "seq")
-    sinks.write_csv(rows.orderBy("seq").drop("seq"), path, one_file=True)
+    sinks.write_csv(rows.orderBy("seq").drop("seq"), path)
     return tables.read_final_levels(spark, path)
 
 

@@ -57,15 +57,18 @@ def replace(spark: SparkSession, staged: str, path: str) -> None:
         fs.delete(aside, True)
 
 
-def write_csv(df: DataFrame, path: str, *, one_file: bool = False) -> None:
-    """All cells quoted, with a header; staged, then put in place, so that df may read what it replaces."""
-    replace(df.sparkSession, stage_csv(df, path, one_file=one_file), path)
+def write_csv(df: DataFrame, path: str) -> None:
+    """All cells quoted, with a header; staged, then put in place, so that df may read what it replaces.
+
+    A file from each task: their names follow the order of a sorted df, in which read_in_order() gives its rows back.
+    """
+    replace(df.sparkSession, stage_csv(df, path), path)
 
 
-def stage_csv(df: DataFrame, path: str, *, one_file: bool = False) -> str:
-    """A CSV file beside where it belongs, for replace()."""
+def stage_csv(df: DataFrame, path: str) -> str:
+    """CSV files beside where they belong, for replace()."""
     staged = f"{path}.tmp-{uuid.uuid4().hex}"
-    (df.coalesce(1) if one_file else df).write.options(**_CSV).csv(staged)
+    df.write.options(**_CSV).csv(staged)
     return staged
 
 

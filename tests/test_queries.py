@@ -43,3 +43,25 @@ def test_fuzzy_answers(spark):
 
     results = responses.valid_results(answers.withColumn("nodes", responses.result_nodes(F.col("response"))))
     assert [(r.word_id, r.rarity_level) for r in responses.match_fuzzy(words, results).collect()] == [(1, 2)]
+
+
+@pytest.mark.parametrize("name", ["run_scan", "final_level_scan"])
+def test_sorted_logs_are_written_by_many_tasks(spark, duck, monkeypatch, name):
+    """No file has all rows; by name and place they are in the log's order, and the last of each word is the SQL's."""
+    from lexirank.plans import queries
+    from lexirank.sources import tables
+
+    paths, write = [], queries.sinks.write_csv
+    monkeypatch.setattr(queries.sinks, "write_csv", lambda df, path, **more: (paths.append(path), write(df, path, **more)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = QUERIES[name](spark, SF).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert rows(got) == rows(duck.execute(ORACLE_SQL[name]).df())
+    log = duck.execute("SELECT o_custkey, substr(o_orderpriority, 1, 1) FROM orders ORDER BY o_orderkey").fetchall()
+    level = "rarity_level" if name == "run_scan" else "final_level"
+    read = tables.read_in_order(spark, paths[0]).orderBy("seq").collect()
+    assert [(int(r.word_id), r[level]) for r in read] == log
+    sizes = [x["count"] for x in spark.read.text(paths[0]).groupBy("_metadata.file_path").count().collect()]
+    assert len(sizes) > 2 and max(sizes) < len(log) / 2
